@@ -1,0 +1,53 @@
+"""The only state beyond open windows: the newest rates of each source."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from sluicegate.operators.forecast import POINTS, RECENT, with_points
+
+_ROWS_PER_CHUNK = 10_000
+
+
+class RecentPoints(StatefulProcessor):
+    """Adds the newest ``depth`` rates to each closed window of a source."""
+
+    def __init__(self, depth: int, columns: list[str]):
+        self.depth = depth
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("recent", "points array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = list(self.held.get()[0]) if self.held.exists() else []
+        # Several windows of a source may close in one batch, in any order.
+        closed = pd.concat(list(rows), ignore_index=True).sort_values("window_start", ignore_index=True)
+        points = before + [int(p) for p in closed[POINTS]]
+        self.held.update((points[-self.depth :],))
+        known = len(before)
+        for at in range(0, len(closed), _ROWS_PER_CHUNK):
+            chunk = closed.iloc[at : at + _ROWS_PER_CHUNK]
+            ends = range(known + at + 1, known + at + len(chunk) + 1)
+            recent = [points[max(0, end - self.depth) : end] for end in ends]
+            yield chunk[self.columns].assign(**{RECENT: recent})
+
+    def close(self) -> None:
+        pass
+
+
+def with_recent_state(metrics: DataFrame, depth: int) -> DataFrame:
+    """Streaming counterpart of the batch's trailing frame."""
+    schema = T.StructType([*metrics.schema.fields, T.StructField(RECENT, T.ArrayType(T.LongType()))])
+    return (
+        with_points(metrics)
+        .groupBy("source")
+        .transformWithStateInPandas(
+            RecentPoints(depth, metrics.columns), outputStructType=schema, outputMode="Append", timeMode="None"
+        )
+    )
