@@ -1,4 +1,4 @@
-"""Percentages in integer arithmetic.
+"""Percentages in integer arithmetic, as SQL expressions.
 
 Rates and forecasts are carried in hundredths of a percent ("points"), rounded
 half up, so that a result never depends on the order in which doubles were added.
@@ -6,36 +6,33 @@ half up, so that a result never depends on the order in which doubles were added
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def number(value: float) -> str:
+    """A DOUBLE literal; a bare ``2.0`` would be a decimal."""
+    return f"{float(value)!r}D"
 
-def idiv(a: Column, b: Column | int) -> Column:
-    """Integer quotient, truncated toward zero."""
-    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
 
+def floor_ratio(above: str, below: str) -> str:
+    """Integer quotient rounded down; a non-positive divisor counts as 1."""
+    below = f"greatest({below}, 1)"
+    return f"((({above}) - pmod({above}, {below})) div {below})"
 
-def floordiv(a: Column, b: Column) -> Column:
-    """Integer quotient rounded down; ``b`` must be positive."""
-    return idiv(a - F.pmod(a, b), b)
 
-
-def share_points(part: Column, whole: Column) -> Column:
+def share_points(part: str, whole: str) -> str:
     """``part / whole`` in hundredths of a percent, half up; 0 for an empty whole."""
-    part, whole = part.cast("long"), whole.cast("long")
-    return idiv(part * 20000 + whole, F.greatest(whole * 2, F.lit(1)))
+    return floor_ratio(f"20000 * {part} + {whole}", f"2 * {whole}")
 
 
-def points_to_pct(points: Column) -> Column:
-    return points.cast("double") / F.lit(100.0)
+def points_to_pct(points: str) -> str:
+    return f"({points}) / 100.0D"
 
 
-def pct_to_points(pct: Column) -> Column:
+def pct_to_points(pct: str) -> str:
     """Inverse of :func:`points_to_pct` for a stored two-decimal percentage."""
-    return F.round(pct * F.lit(100.0), 0).cast("long")
+    return f"CAST(round({pct} * 100.0D, 0) AS BIGINT)"
 
 
-def half_up(x: Column, scale: int) -> Column:
+def half_up(value: str, scale: int) -> str:
     """Round a non-negative double half up to ``scale`` decimals."""
-    shift = float(10**scale)
-    return F.floor(x * F.lit(shift) + F.lit(0.5)).cast("double") / F.lit(shift)
+    shift = number(10**scale)
+    return f"CAST(floor({value} * {shift} + 0.5D) AS DOUBLE) / {shift}"

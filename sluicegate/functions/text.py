@@ -1,36 +1,30 @@
-"""Texts of the health report."""
+"""Texts of the health report, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from sluicegate.functions.exact import half_up
 from sluicegate.settings import DASH
 
 
-def or_dash(text: Column) -> Column:
-    return F.coalesce(text, F.lit(DASH))
+def or_dash(text: str) -> str:
+    return f"coalesce({text}, '{DASH}')"
 
 
-def pct_text(pct: Column) -> Column:
+def pct_text(pct: str) -> str:
     """``12.34%``, or a dash when unknown."""
-    known = pct.isNotNull() & ~F.isnan(pct)
-    return or_dash(F.when(known, F.format_string("%.2f%%", pct)))
+    return or_dash(f"CASE WHEN NOT isnan({pct}) THEN format_string('%.2f%%', {pct}) END")
 
 
-def eta_text(minutes: Column) -> Column:
+def eta_text(minutes: str) -> str:
     """``now``, ``42s``, ``3.5 min``, or a dash when no breach is in sight."""
-    whole_seconds = F.floor(minutes * F.lit(60.0) + F.lit(0.5))
-    known = minutes.isNotNull() & ~F.isnan(minutes)
-    shown = (
-        F.when(minutes <= 0, F.lit("now"))
-        .when(minutes < 1, F.format_string("%ds", whole_seconds))
-        .otherwise(F.format_string("%.1f min", half_up(minutes, 1)))
+    return or_dash(
+        f"""CASE WHEN {minutes} IS NULL OR isnan({minutes}) THEN NULL
+                 WHEN {minutes} <= 0 THEN 'now'
+                 WHEN {minutes} < 1 THEN format_string('%ds', floor({minutes} * 60.0D + 0.5D))
+                 ELSE format_string('%.1f min', {half_up(minutes, 1)}) END"""
     )
-    return or_dash(F.when(known, shown))
 
 
-def clock_text(ts: Column) -> Column:
+def clock_text(ts: str) -> str:
     """Time of day in the session time zone."""
-    return F.date_format(ts, "HH:mm:ss")
+    return f"date_format({ts}, 'HH:mm:ss')"

@@ -2,29 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from sluicegate.functions.exact import idiv
-
 # Fixed value: the accepted ISO-8601 shape.  Spark's own cast also takes '2026',
 # '12:30' (today) or 'now', which would tie a verdict to the wall clock.
 ISO_8601 = (
     r"\A\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?)?\z"
+    r"(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:\d{2})?)?\z"
 )
 
 
-def to_millis(ts: Column) -> Column:
-    """A timestamp cut to whole milliseconds, the precision of the declared tables."""
-    return F.timestamp_millis(F.unix_millis(ts))
-
+def parse_iso(text: str) -> str:
+    """Timestamp of an ISO-8601 text, NULL when it is missing or malformed.
 
-def parse_iso(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text, NULL when it is missing or malformed."""
-    return F.when(text.rlike(ISO_8601), to_millis(text.try_cast("timestamp")))
+    Cut to whole milliseconds, the precision of the declared tables.
+    """
+    parsed = f"timestamp_millis(unix_millis(try_cast({text} AS TIMESTAMP)))"
+    return f"CASE WHEN {text} RLIKE r'{ISO_8601}' THEN {parsed} END"
 
 
-def seconds_between(earlier: Column, later: Column) -> Column:
+def seconds_between(earlier: str, later: str) -> str:
     """Whole seconds from ``earlier`` to ``later``, truncated; may be negative."""
-    return idiv(F.unix_micros(later) - F.unix_micros(earlier), 1_000_000)
+    return f"(unix_micros({later}) - unix_micros({earlier})) div 1000000"

@@ -18,95 +18,94 @@ top reason         most frequent,       first that         most frequent,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from sluicegate import schemas
+from sluicegate.functions.exact import number
 from sluicegate.operators import forecast, reasons
 from sluicegate.operators.contract import ORDER_EVENTS, Contract
+from sluicegate.operators.forecast import FORECAST
 from sluicegate.settings import BREACH, DEFAULTS, OK, WATCH, Settings
 
-CURRENT, FORECAST, SLOPE = "current_error_pct", "forecast_error_pct", "error_rate_slope"
+CURRENT = "current_error_pct"
+RISE = "error_rate_slope"
 ETA = "minutes_to_sla_breach"
 
 
-def _minutes_until(rise: Column, settings: Settings) -> Column:
-    """Minutes until the SLA is crossed at the given rise per window."""
-    return F.try_divide(F.lit(settings.sla_pct) - F.col(CURRENT), rise) * F.lit(settings.window_minutes)
+def _minutes_until(settings: Settings) -> str:
+    """Minutes until the SLA is crossed if every window adds the forecast rise."""
+    windows = f"try_divide({number(settings.sla_pct)} - {CURRENT}, {RISE})"
+    return f"{windows} * {number(settings.window_minutes)}"
 
 
-def _breached(settings: Settings) -> Column:
-    return F.col(CURRENT) >= settings.sla_pct
+def _breached(settings: Settings) -> str:
+    return f"{CURRENT} >= {number(settings.sla_pct)}"
 
 
-def minutes_to_breach(rise: Column, rising: Column, settings: Settings = DEFAULTS) -> Column:
+def minutes_to_breach(rising: str, settings: Settings = DEFAULTS) -> str:
     """0 when breached already, NULL when no breach is in sight."""
-    return F.when(_breached(settings), F.lit(0.0)).when(rising, _minutes_until(rise, settings))
+    return f"CASE WHEN {_breached(settings)} THEN 0.0D WHEN {rising} THEN {_minutes_until(settings)} END"
 
 
-def status(settings: Settings = DEFAULTS, early_warning: Column | None = None) -> Column:
-    due = F.col(FORECAST) >= settings.sla_pct
-    if early_warning is not None:
-        due = due | early_warning
-    return F.when(_breached(settings), F.lit(BREACH)).when(due, F.lit(WATCH)).otherwise(F.lit(OK))
+def status(settings: Settings = DEFAULTS, early_warning: str = "false") -> str:
+    return f"""CASE WHEN {_breached(settings)} THEN '{BREACH}'
+                    WHEN {FORECAST} >= {number(settings.sla_pct)} OR {early_warning} THEN '{WATCH}'
+                    ELSE '{OK}' END"""
 
 
-def _alert_rows(metrics: DataFrame, point: Column, top_reason: Column) -> DataFrame:
-    return metrics.select(
+def _alert_rows(forecasts: DataFrame, top_reason: str) -> DataFrame:
+    return forecasts.selectExpr(
         "source",
-        F.col("window_end").alias("ts"),
+        "window_end AS ts",
         "total_events",
-        F.col("error_rate_pct").alias(CURRENT),
-        point.alias(FORECAST),
-        top_reason.alias("top_reason"),
+        f"error_rate_pct AS {CURRENT}",
+        FORECAST,
+        f"{FORECAST} AS forecast_upper_pct",
+        f"{FORECAST} - error_rate_pct AS {RISE}",
+        f"{top_reason} AS top_reason",
     )
 
 
 def alerts_from_recent(
-    metrics: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
+    known: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
 ) -> DataFrame:
     """The full variant, from metrics that carry ``recent_points``."""
-    point = forecast.trend_forecast(F.col(forecast.RECENT), settings)
-    rows = _alert_rows(metrics, point, reasons.most_frequent(contract)).filter(F.col(FORECAST).isNotNull())
-    slope = F.col(SLOPE)
-    rising = slope > settings.slope_floor
-    near = F.coalesce(_minutes_until(slope, settings) < settings.warn_minutes, F.lit(False))
-    full = (
-        rows.withColumn(SLOPE, F.col(FORECAST) - F.col(CURRENT))
-        .withColumn("forecast_upper_pct", F.col(FORECAST))
-        .withColumn("sla_pct", F.lit(settings.sla_pct))
-        .withColumn(ETA, minutes_to_breach(slope, rising, settings))
-        .withColumn("status", status(settings, early_warning=rising & near))
+    forecasts = forecast.add_trend(forecast.trained(known, settings), settings)
+    rising = f"{RISE} > {number(settings.slope_floor)}"
+    near = f"{_minutes_until(settings)} < {number(settings.warn_minutes)}"
+    full = _alert_rows(forecasts, reasons.most_frequent(contract)).selectExpr(
+        "*",
+        f"{number(settings.sla_pct)} AS sla_pct",
+        f"{minutes_to_breach(rising, settings)} AS {ETA}",
+        f"{status(settings, early_warning=f'({rising} AND coalesce({near}, false))')} AS status",
     )
     return schemas.conform(full, schemas.DQ_ALERTS)
 
 
 def alerts_simple_from_recent(
-    metrics: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
+    known: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
 ) -> DataFrame:
-    point = forecast.trend_forecast(F.col(forecast.RECENT), settings)
-    rows = _alert_rows(metrics, point, reasons.first_occurring(contract)).filter(F.col(FORECAST).isNotNull())
-    return schemas.conform(rows.withColumn("status", status(settings)), schemas.DQ_ALERTS_SIMPLE)
+    """The simple variant, from metrics that carry ``recent_points``."""
+    forecasts = forecast.add_trend(forecast.trained(known, settings), settings)
+    rows = _alert_rows(forecasts, reasons.first_occurring(contract))
+    return schemas.conform(rows.selectExpr("*", f"{status(settings)} AS status"), schemas.DQ_ALERTS_SIMPLE)
 
 
 def serving_alerts_from_recent(
-    metrics: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
+    known: DataFrame, settings: Settings = DEFAULTS, contract: Contract = ORDER_EVENTS
 ) -> DataFrame:
     """The serving variant; the metrics must carry the first-seen times."""
-    point = forecast.damped_forecast(F.col(forecast.RECENT), settings)
-    rows = _alert_rows(metrics, point, reasons.most_frequent_first_seen(contract))
-    rise = F.col(FORECAST) - F.col(CURRENT)
-    full = (
-        rows.withColumn("forecast_upper_pct", F.col(FORECAST))
-        .withColumn(ETA, minutes_to_breach(rise, F.col(FORECAST) > F.col(CURRENT), settings))
-        .withColumn("status", status(settings))
+    rows = _alert_rows(forecast.add_damped(known), reasons.most_frequent_first_seen(contract))
+    full = rows.selectExpr(
+        "*",
+        f"{minutes_to_breach(f'{FORECAST} > {CURRENT}', settings)} AS {ETA}",
+        f"{status(settings)} AS status",
     )
     return schemas.conform(full, schemas.SERVING_ALERTS)
 
 
 def alerts(metrics: DataFrame, settings: Settings = DEFAULTS, recent_only: bool = False) -> DataFrame:
-    known = forecast.with_recent(metrics, settings.train_max, settings, recent_only)
-    return alerts_from_recent(known, settings)
+    return alerts_from_recent(forecast.with_recent(metrics, settings.train_max, settings, recent_only), settings)
 
 
 def alerts_simple(metrics: DataFrame, settings: Settings = DEFAULTS, recent_only: bool = False) -> DataFrame:

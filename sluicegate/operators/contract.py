@@ -1,20 +1,21 @@
 """The data contract: an ordered list of rules, checked row by row.
 
-All rules are Spark expressions, so a check is one projection inside whole-stage
-code generation, the same for a batch and for a stream.  Every flag is guarded
-against NULL, so each row is either valid or not, never unknown.
+A rule is a SQL predicate that is true when the rule is broken, so a contract is
+plain data and a check is one projection inside whole-stage code generation, the
+same for a batch and for a stream.  Every predicate is guarded against NULL: a row
+is either valid or not, never unknown.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate import settings as fixed
+from sluicegate.functions.exact import number
+from sluicegate.functions.once import computed_once
 from sluicegate.functions.times import parse_iso, seconds_between
 
 EVENT_TIME = "parsed_event_ts"
@@ -28,33 +29,37 @@ class Rule:
     code: str
     flag: str
     counter: str
-    broken: Callable[[], Column]
+    broken: str
 
 
-def _named(code: str, name: str, broken: Callable[[], Column]) -> Rule:
+def _named(code: str, name: str, broken: str) -> Rule:
     return Rule(code, f"v_{name}", f"cnt_{name}", broken)
 
 
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def present(code: str, name: str, column: str) -> Rule:
     """The column is neither NULL nor empty; blanks count as present."""
-    return _named(code, name, lambda: F.col(column).isNull() | (F.char_length(column) == 0))
+    return _named(code, name, f"{column} IS NULL OR char_length({column}) = 0")
 
 
 def in_range(code: str, name: str, column: str, low: float, high: float) -> Rule:
     """The number lies in ``[low, high]``; NULL and NaN do not."""
-    return _named(
-        code, name, lambda: F.col(column).isNull() | (F.col(column) < low) | (F.col(column) > high)
-    )
+    return _named(code, name, f"{column} IS NULL OR {column} < {number(low)} OR {column} > {number(high)}")
 
 
 def one_of(code: str, name: str, column: str, allowed: tuple[str, ...]) -> Rule:
     """The text is one of ``allowed``, case included."""
-    return _named(code, name, lambda: F.col(column).isNull() | ~F.col(column).isin(*allowed))
+    listed = ", ".join(_text(value) for value in allowed)
+    return _named(code, name, f"{column} IS NULL OR {column} NOT IN ({listed})")
 
 
 def parseable_time(code: str, name: str) -> Rule:
     """The event's own time could be parsed."""
-    return _named(code, name, lambda: F.col(EVENT_TIME).isNull())
+    return _named(code, name, f"{EVENT_TIME} IS NULL")
 
 
 def fresh(code: str, name: str, max_age_seconds: int) -> Rule:
@@ -62,7 +67,7 @@ def fresh(code: str, name: str, max_age_seconds: int) -> Rule:
 
     An unparseable time has no age, so it never breaks this rule as well.
     """
-    return _named(code, name, lambda: F.coalesce(F.col(FRESHNESS) > max_age_seconds, F.lit(False)))
+    return _named(code, name, f"coalesce({FRESHNESS} > {max_age_seconds}, false)")
 
 
 @dataclass(frozen=True)
@@ -71,12 +76,12 @@ class Contract:
 
     def check(self, raw: DataFrame) -> DataFrame:
         """Add the parsed time, the freshness, one flag per rule and the violations."""
-        aged = raw.withColumn(EVENT_TIME, parse_iso(F.col("event_ts"))).withColumn(
-            FRESHNESS, seconds_between(F.col(EVENT_TIME), F.col("received_time"))
-        )
-        flagged = aged.withColumns({rule.flag: rule.broken() for rule in self.rules})
-        codes = [F.when(F.col(rule.flag), F.lit(rule.code)) for rule in self.rules]
-        return flagged.withColumn("violations", F.array_compact(F.array(*codes)))
+        timed = computed_once(raw, EVENT_TIME, parse_iso("event_ts"))
+        aged = timed.selectExpr("*", f"{seconds_between(EVENT_TIME, 'received_time')} AS {FRESHNESS}")
+        flagged = aged.selectExpr("*", *[f"({rule.broken}) AS {rule.flag}" for rule in self.rules])
+        # Joined arrays compile; dropping the NULLs of one array would not.
+        found = [f"CASE WHEN {rule.flag} THEN array({_text(rule.code)}) ELSE array() END" for rule in self.rules]
+        return flagged.selectExpr("*", f"CAST(concat({', '.join(found)}) AS ARRAY<STRING>) AS violations")
 
     def verdict(self, checked: DataFrame) -> DataFrame:
         """Add ``is_valid``: no rule is broken.
@@ -84,8 +89,7 @@ class Contract:
         Derived from the flags rather than from the array, so that a filter on it
         never makes Spark build the array for rows that are filtered out.
         """
-        broken = reduce(lambda a, b: a | b, [F.col(rule.flag) for rule in self.rules])
-        return checked.withColumn("is_valid", ~broken)
+        return checked.withColumn("is_valid", F.expr(f"NOT ({' OR '.join(rule.flag for rule in self.rules)})"))
 
     def judge(self, raw: DataFrame) -> DataFrame:
         return self.verdict(self.check(raw))

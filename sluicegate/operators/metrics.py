@@ -6,7 +6,7 @@ shuffle and a source that sends a third of all rows is spread over its windows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.functions.exact import points_to_pct, share_points
@@ -20,7 +20,7 @@ def first_seen(counter: str) -> str:
 
 def name_blank_sources(events: DataFrame) -> DataFrame:
     """Give events without a source the name the serving layer shows."""
-    return events.withColumn("source", F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit(UNKNOWN_SOURCE)))
+    return events.withColumn("source", F.expr(f"coalesce(nullif(source, ''), '{UNKNOWN_SOURCE}')"))
 
 
 def window_metrics(
@@ -34,29 +34,27 @@ def window_metrics(
     ``with_first_seen`` adds, per rule, when it was first broken in the window:
     the serving layer breaks ties between reasons by it.
     """
-    measures: list[Column] = [
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_if(~F.col("is_valid")).alias("bad_events"),
-        *[F.count_if(rule.flag).alias(rule.counter) for rule in contract.rules],
-        F.avg(F.col(FRESHNESS).cast("double")).alias("avg_freshness"),
-    ]
-    if with_first_seen:
-        measures += [
-            F.min(F.when(F.col(rule.flag), F.col("received_time"))).alias(first_seen(rule.counter))
-            for rule in contract.rules
-        ]
-    grouped = verdicts.groupBy("source", F.window("received_time", settings.window).alias("w")).agg(*measures)
-    return grouped.select(
+    counters = [rule.counter for rule in contract.rules]
+    seen = {first_seen(rule.counter): rule.flag for rule in contract.rules} if with_first_seen else {}
+    measures = {
+        "total_events": "count(*)",
+        "bad_events": "count_if(NOT is_valid)",
+        **{rule.counter: f"count_if({rule.flag})" for rule in contract.rules},
+        "avg_freshness": f"avg(CAST({FRESHNESS} AS DOUBLE))",
+        **{name: f"min(CASE WHEN {flag} THEN received_time END)" for name, flag in seen.items()},
+    }
+    grouped = verdicts.groupBy("source", F.window("received_time", settings.window).alias("w"))
+    return grouped.agg(*[F.expr(f"{value} AS {name}") for name, value in measures.items()]).selectExpr(
         "source",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        (F.col("w.end") - F.expr("INTERVAL '0.001' SECOND")).alias("window_time"),
+        "w.start AS window_start",
+        "w.end AS window_end",
+        "w.end - INTERVAL '0.001' SECOND AS window_time",
         "total_events",
         "bad_events",
-        points_to_pct(share_points(F.col("bad_events"), F.col("total_events"))).alias("error_rate_pct"),
-        *[rule.counter for rule in contract.rules],
-        F.round("avg_freshness", 1).alias("avg_freshness_sec"),
-        *[first_seen(rule.counter) for rule in contract.rules if with_first_seen],
+        f"{points_to_pct(share_points('bad_events', 'total_events'))} AS error_rate_pct",
+        *counters,
+        "round(avg_freshness, 1) AS avg_freshness_sec",
+        *seen,
     )
 
 
@@ -66,7 +64,6 @@ def reason_counts(metrics: DataFrame, contract: Contract = ORDER_EVENTS) -> Data
     Unpivots the aggregated counters; exploding each event's violations before
     the aggregation would give the same rows for more work.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(rule.code).alias("reason"), F.col(rule.counter).alias("n")) for rule in contract.rules]
-    )
-    return metrics.select("source", "window_start", "window_end", F.inline(pairs)).filter(F.col("n") > 0)
+    pairs = ", ".join(f"'{rule.code}', {rule.counter}" for rule in contract.rules)
+    unpivoted = f"stack({len(contract.rules)}, {pairs}) AS (reason, n)"
+    return metrics.selectExpr("source", "window_start", "window_end", unpivoted).filter("n > 0")

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluicegate.functions.exact import half_up
+from sluicegate.functions.exact import half_up, number
 from sluicegate.operators.series import newest
-from sluicegate.settings import DEFAULTS, SEVERITY, SEVERITY_OTHER, Settings
+from sluicegate.settings import BREACH, DEFAULTS, SEVERITY, SEVERITY_OTHER, WATCH, Settings
 
 
 def top(df: DataFrame, count: int, *order: Column) -> DataFrame:
@@ -57,38 +57,40 @@ def latest_per_source(rows: DataFrame, time: str = "ts") -> DataFrame:
     return (
         rows.groupBy("source")
         .agg(F.max_by(F.struct(*rows.columns), F.col(time)).alias("latest"))
-        .select(*[F.col("latest")[name].alias(name) for name in rows.columns])
+        .select("latest.*")
     )
 
 
 def source_health(alerts: DataFrame) -> DataFrame:
     """One row per source: its latest alert, time to breach to one decimal."""
-    return latest_per_source(alerts).select(
+    return latest_per_source(alerts).selectExpr(
         "source",
         "status",
         "current_error_pct",
         "forecast_error_pct",
-        half_up(F.col("minutes_to_sla_breach"), 1).alias("eta_min"),
+        f"{half_up('minutes_to_sla_breach', 1)} AS eta_min",
         "top_reason",
     )
 
 
+# A chart point.
+_POINT = (
+    "ts",
+    "current_error_pct AS current",
+    "forecast_error_pct AS forecast",
+    "forecast_upper_pct AS upper",
+)
+
+
 def history(alerts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The newest points per source, as a chart shows them."""
-    return newest(alerts, settings.history_points, "ts").select(
-        "source",
-        "ts",
-        F.col("current_error_pct").alias("current"),
-        F.col("forecast_error_pct").alias("forecast"),
-        F.col("forecast_upper_pct").alias("upper"),
-    )
+    return newest(alerts, settings.history_points, "ts").selectExpr("source", *_POINT)
 
 
-def severity(status: Column) -> Column:
-    place = F.lit(SEVERITY_OTHER)
-    for name, number in SEVERITY.items():
-        place = F.when(status == name, F.lit(number)).otherwise(place)
-    return place
+def severity(status: str) -> str:
+    """Place of a status on the health board, as a SQL expression."""
+    known = " ".join(f"WHEN '{name}' THEN {place}" for name, place in SEVERITY.items())
+    return f"CASE {status} {known} ELSE {SEVERITY_OTHER} END"
 
 
 def worst_first() -> list[Column]:
@@ -102,15 +104,15 @@ def health_board(alerts: DataFrame) -> DataFrame:
     Sorted in parallel; there is no position column, since numbering all rows
     would take them through one task.
     """
-    board = latest_per_source(alerts).withColumn("severity", severity(F.col("status")))
+    board = latest_per_source(alerts).withColumn("severity", F.expr(severity("status")))
     return board.orderBy(*worst_first())
 
 
 def status_counts(board: DataFrame) -> DataFrame:
     """How many sources breach and how many are to be watched."""
     return board.agg(
-        F.count_if(F.col("status") == "BREACH").alias("breaching"),
-        F.count_if(F.col("status") == "WATCH").alias("watching"),
+        F.expr(f"count_if(status = '{BREACH}') AS breaching"),
+        F.expr(f"count_if(status = '{WATCH}') AS watching"),
     )
 
 
@@ -120,18 +122,14 @@ def worst_source_history(alerts: DataFrame, settings: Settings = DEFAULTS) -> Da
     The few points of each source are nested beside its latest state, so that
     picking the worst source needs neither a join nor a second scan.
     """
-    point = F.struct(
-        "ts",
-        F.col("current_error_pct").alias("current"),
-        F.col("forecast_error_pct").alias("forecast"),
-        F.col("forecast_upper_pct").alias("upper"),
-    )
-    state = F.struct("status", "minutes_to_sla_breach")
     nested = (
         newest(alerts, settings.history_points, "ts")
         .groupBy("source")
-        .agg(F.max_by(state, F.col("ts")).alias("now"), F.sort_array(F.collect_list(point)).alias("points"))
-        .select("source", severity(F.col("now.status")).alias("severity"), "now.minutes_to_sla_breach", "points")
+        .agg(
+            F.expr("max_by(struct(status, minutes_to_sla_breach), ts) AS now"),
+            F.expr(f"sort_array(collect_list(struct({', '.join(_POINT)}))) AS points"),
+        )
+        .selectExpr("source", f"{severity('now.status')} AS severity", "now.minutes_to_sla_breach", "points")
     )
     worst = nested.orderBy(*worst_first()).limit(1)
     return worst.select("source", F.inline("points"))
@@ -139,7 +137,7 @@ def worst_source_history(alerts: DataFrame, settings: Settings = DEFAULTS) -> Da
 
 def chart_bounds(points: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Upper end of a chart's axis: twice the SLA at least, rounded up to tens."""
-    highest = F.greatest(F.lit(settings.sla_pct * 2), F.max("current"), F.max("forecast"))
-    return points.agg(highest.alias("data_max"), F.count(F.lit(1)).alias("points")).withColumn(
-        "axis_max", F.greatest(F.lit(10), F.ceil(F.col("data_max") / 10) * 10).cast("double")
+    highest = f"greatest({number(settings.sla_pct * 2)}, max(current), max(forecast))"
+    return points.agg(F.expr(f"{highest} AS data_max"), F.expr("count(*) AS points")).withColumn(
+        "axis_max", F.expr("CAST(greatest(10, ceil(data_max / 10.0D) * 10) AS DOUBLE)")
     )

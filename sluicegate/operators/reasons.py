@@ -1,10 +1,7 @@
-"""Top failure reason of a window, in its three variants."""
+"""Top failure reason of a window, in its three variants, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from sluicegate.operators.contract import ORDER_EVENTS, Contract
 from sluicegate.operators.metrics import first_seen
 from sluicegate.settings import NO_REASON, TIE_ORDER
@@ -14,43 +11,36 @@ def _counters(contract: Contract) -> dict[str, str]:
     return {rule.code: rule.counter for rule in contract.rules}
 
 
-def _code_of_largest(candidates: list[Column]) -> Column:
-    """Code of the largest candidate struct; its first field is the count."""
-    best = F.greatest(*candidates) if len(candidates) > 1 else candidates[0]
-    return F.when(best["n"] > 0, best["code"]).otherwise(F.lit(NO_REASON))
+def _code_of_largest(candidates: list[str]) -> str:
+    """Code of the largest candidate struct, which compares by count first."""
+    best = f"array_max(array({', '.join(candidates)}))"
+    return f"CASE WHEN {best}.n > 0 THEN {best}.code ELSE '{NO_REASON}' END"
 
 
-def most_frequent(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> Column:
+def most_frequent(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> str:
     """The most frequent code; ``order`` decides between equal counts."""
     counters = _counters(contract)
     return _code_of_largest(
-        [
-            F.struct(F.col(counters[code]).alias("n"), F.lit(-place).alias("place"), F.lit(code).alias("code"))
-            for place, code in enumerate(order)
-        ]
+        [f"named_struct('n', {counters[code]}, 'place', {-place}, 'code', '{code}')" for place, code in enumerate(order)]
     )
 
 
-def first_occurring(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> Column:
+def first_occurring(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> str:
     """The first code of ``order`` that occurred at all, however rarely."""
     counters = _counters(contract)
-    found = [F.when(F.col(counters[code]) > 0, F.lit(code)) for code in order]
-    return F.coalesce(*found, F.lit(NO_REASON))
+    found = [f"CASE WHEN {counters[code]} > 0 THEN '{code}' END" for code in order]
+    return f"coalesce({', '.join(found)}, '{NO_REASON}')"
 
 
-def most_frequent_first_seen(contract: Contract = ORDER_EVENTS) -> Column:
+def most_frequent_first_seen(contract: Contract = ORDER_EVENTS) -> str:
     """The most frequent code; of equal counts the one seen first in the window.
 
     Codes first broken by the same event keep the contract's order.
     """
     return _code_of_largest(
         [
-            F.struct(
-                F.col(rule.counter).alias("n"),
-                (-F.unix_micros(first_seen(rule.counter))).alias("seen"),
-                F.lit(-place).alias("place"),
-                F.lit(rule.code).alias("code"),
-            )
+            f"named_struct('n', {rule.counter}, 'seen', -unix_micros({first_seen(rule.counter)}),"
+            f" 'place', {-place}, 'code', '{rule.code}')"
             for place, rule in enumerate(contract.rules)
         ]
     )

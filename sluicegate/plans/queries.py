@@ -27,15 +27,8 @@ FIREWALL = Firewall()
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    shown = []
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.TimestampType):
-            column = F.unix_millis(column)
-        elif isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column, ",")
-        shown.append(column.alias(field.name))
-    return df.select(*shown)
+    shown = {T.TimestampType: "unix_millis({0}) AS {0}", T.ArrayType: "array_join({0}, ',') AS {0}"}
+    return df.selectExpr(*[shown.get(type(f.dataType), "{0}").format(f.name) for f in df.schema.fields])
 
 
 def _over_raw(build: Callable[[DataFrame], DataFrame], *keep: str) -> Query:
@@ -53,15 +46,14 @@ def inject_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 def wire_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Round trip through the envelope: plain JSON, ids that contain the byte of a
-    brace or bracket, and messages whose last byte was lost."""
+    brace (123) or bracket (91), and messages whose last byte was lost."""
     raw = derived.read_raw(spark, folder, "sequence")
-    number = F.col("sequence")
-    schema_id = (
-        F.when(number % 4 == 1, F.lit(1)).when(number % 4 == 2, F.lit(0x7B)).when(number % 4 == 3, F.lit(0x5B))
-    )
+    schema_id = "CASE sequence % 4 WHEN 1 THEN 1 WHEN 2 THEN 123 WHEN 3 THEN 91 END"
     sent = wire.encode(raw, schema_id).select("sequence", "received_time", "value")
-    cut = F.substr("value", F.lit(1), F.length("value") - 1)
-    damaged = sent.withColumn("value", F.when(number % 50 == 7, cut).otherwise(F.col("value")))
+    cut = "substring(value, 1, length(value) - 1)"
+    damaged = sent.selectExpr(
+        "sequence", "received_time", f"CASE WHEN sequence % 50 = 7 THEN {cut} ELSE value END AS value"
+    )
     return comparable(wire.decode(damaged).drop("value", "wire_text"))
 
 
@@ -92,15 +84,15 @@ def reason_counts(raw: DataFrame) -> DataFrame:
 
 
 def top_reason_full(raw: DataFrame) -> DataFrame:
-    return FIREWALL.dq_metrics(raw).select(*_WINDOW, reasons.most_frequent().alias("top_reason"))
+    return FIREWALL.dq_metrics(raw).selectExpr(*_WINDOW, f"{reasons.most_frequent()} AS top_reason")
 
 
 def top_reason_simple(raw: DataFrame) -> DataFrame:
-    return FIREWALL.dq_metrics(raw).select(*_WINDOW, reasons.first_occurring().alias("top_reason"))
+    return FIREWALL.dq_metrics(raw).selectExpr(*_WINDOW, f"{reasons.first_occurring()} AS top_reason")
 
 
 def top_reason_serving(raw: DataFrame) -> DataFrame:
-    return FIREWALL.serving_metrics(raw).select(*_WINDOW, reasons.most_frequent_first_seen().alias("top_reason"))
+    return FIREWALL.serving_metrics(raw).selectExpr(*_WINDOW, f"{reasons.most_frequent_first_seen()} AS top_reason")
 
 
 def forecast_damped(raw: DataFrame) -> DataFrame:
@@ -115,8 +107,7 @@ def forecast_trend(raw: DataFrame) -> DataFrame:
 
 def serving_windows(raw: DataFrame) -> DataFrame:
     """Serving alerts when some events come without a source."""
-    turn = F.col("sequence") % 11
-    blanked = F.when(turn == 0, F.lit(None)).when(turn == 1, F.lit("")).otherwise(F.col("source"))
+    blanked = F.expr("CASE sequence % 11 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END")
     return FIREWALL.serving_alerts(raw.withColumn("source", blanked))
 
 
@@ -158,13 +149,12 @@ def alerts_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Store alerts with gaps in them, then serve the history from the stored table."""
     root = work_folder(spark, "alerts-reload")
     full = FIREWALL.dq_alerts(derived.read_raw(spark, folder))
-    n = F.col("total_events")
     gaps = full.withColumns(
         {
-            "source": F.when(n % 13 == 0, F.lit(None)).when(n % 13 == 1, F.lit("")).otherwise(F.col("source")),
-            "current_error_pct": F.when(n % 7 != 0, F.col("current_error_pct")),
-            "forecast_error_pct": F.when(n % 5 != 0, F.col("forecast_error_pct")),
-            "forecast_upper_pct": F.when(n % 3 != 0, F.col("forecast_upper_pct")),
+            "source": F.expr("CASE total_events % 13 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END"),
+            "current_error_pct": F.expr("CASE WHEN total_events % 7 <> 0 THEN current_error_pct END"),
+            "forecast_error_pct": F.expr("CASE WHEN total_events % 5 <> 0 THEN forecast_error_pct END"),
+            "forecast_upper_pct": F.expr("CASE WHEN total_events % 3 <> 0 THEN forecast_upper_pct END"),
         }
     )
     tables.write_batch(gaps, root, "dq_alerts", 0, F.col("ts"))

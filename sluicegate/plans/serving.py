@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.functions.text import clock_text, eta_text, or_dash, pct_text
@@ -15,35 +15,27 @@ from sluicegate.sources import tables
 
 def usable_alerts(stored: DataFrame) -> DataFrame:
     """Stored alert rows that name a source."""
-    return stored.filter(F.col("source").isNotNull() & (F.col("source") != ""))
+    return stored.filter("source IS NOT NULL AND source <> ''")
 
 
-def history_points(stored: DataFrame, now: Column | None = None) -> DataFrame:
+def history_points(stored: DataFrame, now: str = "current_timestamp()") -> DataFrame:
     """Chart points of stored alerts; missing numbers read as 0, a missing time as now."""
-    now = F.current_timestamp() if now is None else now
-    return usable_alerts(stored).select(
+    return usable_alerts(stored).selectExpr(
         "source",
-        F.coalesce("ts", now).alias("ts"),
-        *[
-            F.coalesce(F.col(column), F.lit(0.0)).alias(name)
-            for name, column in {
-                "current": "current_error_pct",
-                "forecast": "forecast_error_pct",
-                "upper": "forecast_upper_pct",
-            }.items()
-        ],
+        f"coalesce(ts, {now}) AS ts",
+        "coalesce(current_error_pct, 0.0D) AS current",
+        "coalesce(forecast_error_pct, 0.0D) AS forecast",
+        "coalesce(forecast_upper_pct, 0.0D) AS upper",
     )
 
 
-def reject_rows(stored: DataFrame, now: Column | None = None) -> DataFrame:
+def reject_rows(stored: DataFrame, now: str = "current_timestamp()") -> DataFrame:
     """Feed rows of stored rejects; missing violations read as none."""
-    now = F.current_timestamp() if now is None else now
-    none = F.array().cast("array<string>")
-    return stored.select(
+    return stored.selectExpr(
         "source",
         "event_id",
-        F.coalesce("violations", none).alias("violations"),
-        F.coalesce("quarantined_at", now).alias("at"),
+        "coalesce(violations, CAST(array() AS ARRAY<STRING>)) AS violations",
+        f"coalesce(quarantined_at, {now}) AS at",
     )
 
 
@@ -87,26 +79,25 @@ def snapshot_json(board: DataFrame) -> DataFrame:
 
 def health_report(board: DataFrame) -> DataFrame:
     """The health board in words."""
-    reason = F.col("top_reason")
-    return board.select(
+    return board.selectExpr(
         "source",
-        F.coalesce("status", F.lit(OK)).alias("status"),
-        pct_text(F.col("current_error_pct")).alias("error_rate"),
-        pct_text(F.col("forecast_error_pct")).alias("forecast"),
-        eta_text(F.col("minutes_to_sla_breach")).alias("time_to_breach"),
-        or_dash(F.col("total_events").cast("string")).alias("events_per_window"),
-        F.when(reason != NO_REASON, reason).alias("top_failure_mode"),
+        f"coalesce(status, '{OK}') AS status",
+        f"{pct_text('current_error_pct')} AS error_rate",
+        f"{pct_text('forecast_error_pct')} AS forecast",
+        f"{eta_text('minutes_to_sla_breach')} AS time_to_breach",
+        f"{or_dash('CAST(total_events AS STRING)')} AS events_per_window",
+        f"nullif(top_reason, '{NO_REASON}') AS top_failure_mode",
         "severity",
     )
 
 
 def dlq_report(feed: DataFrame) -> DataFrame:
     """The reject feed in words."""
-    rules = F.array_join("violations", " ")
-    return feed.select(
+    rules = or_dash("nullif(array_join(violations, ' '), '')")
+    return feed.selectExpr(
         "rank",
-        clock_text(F.col("at")).alias("time"),
-        or_dash(F.col("source")).alias("source"),
-        F.coalesce("event_id", F.lit("null")).alias("event_id"),
-        F.when(rules == "", or_dash(F.lit(None))).otherwise(rules).alias("failed_rules"),
+        f"{clock_text('at')} AS time",
+        f"{or_dash('source')} AS source",
+        "coalesce(event_id, 'null') AS event_id",
+        f"{rules} AS failed_rules",
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _STRING, _DOUBLE, _LONG, _TIME = T.StringType(), T.DoubleType(), T.LongType(), T.TimestampType()
@@ -98,6 +99,10 @@ SERVING_ALERTS = _schema(
 )
 
 
-def conform(df, schema: T.StructType):
+# The columns of the ``events`` test table that raw events are derived from.
+EVENTS = _schema(event_id=_LONG, user_id=_LONG, event_type=_STRING, value=_DOUBLE)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto a declared table schema, by name."""
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])

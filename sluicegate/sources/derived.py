@@ -8,16 +8,17 @@ only four of the table's columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate import schemas
+from sluicegate.functions.exact import number
+from sluicegate.functions.once import computed_once
 
 # Event spacing, start of the stream, ramp and rates.
 MILLIS_PER_EVENT = 50
 EPOCH_MILLIS = 1704067200000  # 2024-01-01 00:00:00 UTC
-RAMP_START_MILLIS = 90000.0
-RAMP_MILLIS = 180000.0
+RAMP_START_MILLIS = 90000
+RAMP_MILLIS = 180000
 PEAK_RATE = 0.35
 DEGRADING_SOURCE, DEGRADING_BASE = "purchase", 0.01
 BASE_RATES = {"click": 0.005, "view": 0.02}
@@ -26,26 +27,27 @@ STALE_BY_MILLIS = 1200000
 
 # What each corruption mode writes.
 CLEAN, NO_USER, BAD_AMOUNT, BAD_CURRENCY, BAD_TIME, NO_ID, STALE = -1, 0, 1, 2, 3, 4, 5
-BAD_AMOUNTS = (-50.0, 250000.0, 999999.0)
-GOOD_CURRENCIES = ("USD", "EUR", "GBP", "JPY", "INR")
-BAD_CURRENCIES = ("usd", "BTC", "XYZ", "", "US")
-BAD_TIMES = ("not-a-date", "13/45/2026", "")
+BAD_AMOUNTS = ("-50.0D", "250000.0D", "999999.0D")
+GOOD_CURRENCIES = ("'USD'", "'EUR'", "'GBP'", "'JPY'", "'INR'")
+BAD_CURRENCIES = ("'usd'", "'BTC'", "'XYZ'", "''", "'US'")
+BAD_TIMES = ("'not-a-date'", "'13/45/2026'", "''")
 
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Fixed value: how a source stamps its events; quotes escaped for SQL.
+ISO_MILLIS = r"yyyy-MM-dd\'T\'HH:mm:ss.SSS\'Z\'"
 
 
-def _cycle(number: Column, choices: tuple) -> Column:
-    """The choice at ``number`` modulo the number of choices."""
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (number % len(choices) + 1).cast("int"))
+def _cycle(turn: str, choices: tuple[str, ...]) -> str:
+    """The choice at ``turn`` modulo the number of choices."""
+    return f"element_at(array({', '.join(choices)}), CAST({turn} % {len(choices)} + 1 AS INT))"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(schemas.EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def stream_events(spark: SparkSession, folder: str, **options: object) -> DataFrame:
-    """The same table as a file stream; the schema comes from the file footer."""
-    reader = spark.readStream.schema(read_events(spark, folder).schema)
+    """The same table as a file stream."""
+    reader = spark.readStream.schema(schemas.EVENTS)
     for key, value in {"pathGlobFilter": "events.parquet", **options}.items():
         reader = reader.option(key, value)
     return reader.parquet(folder)
@@ -53,48 +55,42 @@ def stream_events(spark: SparkSession, folder: str, **options: object) -> DataFr
 
 def injection(events: DataFrame) -> DataFrame:
     """Bad rate and corruption mode of every event."""
-    number, user = F.col("event_id"), F.col("user_id")
-    elapsed = number * MILLIS_PER_EVENT
-    x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (elapsed - F.lit(RAMP_START_MILLIS)) / F.lit(RAMP_MILLIS)))
-    smooth = x * x * (F.lit(3) - F.lit(2) * x)
-    rate = F.when(
-        F.col("event_type") == DEGRADING_SOURCE,
-        F.lit(DEGRADING_BASE) + smooth * (F.lit(PEAK_RATE) - F.lit(DEGRADING_BASE)),
+    ramped = events.selectExpr(
+        "*",
+        f"event_id * {MILLIS_PER_EVENT} AS elapsed_ms",
+        f"""greatest(0.0D, least(1.0D, (event_id * {MILLIS_PER_EVENT} - {number(RAMP_START_MILLIS)})
+                                       / {number(RAMP_MILLIS)})) AS ramp""",
     )
-    for source, base in BASE_RATES.items():
-        rate = rate.when(F.col("event_type") == source, F.lit(base))
-    draw = (number * 7919 + user * 104729) % 10000
-    pick = (number * 131 + user * 17) % 6
-    return (
-        events.withColumn("elapsed_ms", elapsed)
-        .withColumn("rate", rate.otherwise(F.lit(OTHER_BASE)))
-        .withColumn("mode", F.when(draw < F.col("rate") * 10000, pick).otherwise(F.lit(CLEAN)).cast("int"))
+    degraded = (
+        f"{number(DEGRADING_BASE)} + ramp * ramp * (3 - 2 * ramp)"
+        f" * ({number(PEAK_RATE)} - {number(DEGRADING_BASE)})"
     )
+    steady = " ".join(f"WHEN '{source}' THEN {number(base)}" for source, base in BASE_RATES.items())
+    rate = f"CASE event_type WHEN '{DEGRADING_SOURCE}' THEN {degraded} {steady} ELSE {number(OTHER_BASE)} END"
+    draw = "(event_id * 7919 + user_id * 104729) % 10000"
+    pick = "CAST((event_id * 131 + user_id * 17) % 6 AS INT)"
+    rated = ramped.selectExpr(*events.columns, "elapsed_ms", f"{rate} AS rate")
+    return computed_once(rated, "mode", f"CASE WHEN {draw} < rate * 10000 THEN {pick} ELSE {CLEAN} END")
 
 
 def raw_events(events: DataFrame, *keep: str) -> DataFrame:
     """The raw event stream; ``keep`` adds ``sequence`` or ``mode`` columns."""
-    number, user, mode = F.col("event_id"), F.col("user_id"), F.col("mode")
-    received = F.timestamp_millis(F.lit(EPOCH_MILLIS) + F.col("elapsed_ms"))
-    stamped = F.when(
-        mode == STALE, F.timestamp_millis(F.lit(EPOCH_MILLIS - STALE_BY_MILLIS) + F.col("elapsed_ms"))
-    ).otherwise(received)
+    received = f"{EPOCH_MILLIS} + elapsed_ms"
+    stamped = f"timestamp_millis({received} - CASE WHEN mode = {STALE} THEN {STALE_BY_MILLIS} ELSE 0 END)"
     columns = {
-        "event_id": F.when(mode != NO_ID, F.concat(F.lit("e-"), number.cast("string"))),
-        "source": F.col("event_type"),
-        "amount": F.when(mode == BAD_AMOUNT, _cycle(number, BAD_AMOUNTS)).otherwise(F.col("value")),
-        "currency": F.when(mode == BAD_CURRENCY, _cycle(number, BAD_CURRENCIES)).otherwise(
-            _cycle(number + user, GOOD_CURRENCIES)
-        ),
-        "user_id": F.when(mode != NO_USER, F.concat(F.lit("u-"), user.cast("string"))),
-        "event_ts": F.when(mode == BAD_TIME, _cycle(number, BAD_TIMES)).otherwise(
-            F.date_format(stamped, ISO_MILLIS)
-        ),
-        "received_time": received,
+        "event_id": f"CASE WHEN mode <> {NO_ID} THEN 'e-' || event_id END",
+        "source": "event_type",
+        "amount": f"CASE WHEN mode = {BAD_AMOUNT} THEN {_cycle('event_id', BAD_AMOUNTS)} ELSE value END",
+        "currency": f"""CASE WHEN mode = {BAD_CURRENCY} THEN {_cycle('event_id', BAD_CURRENCIES)}
+                             ELSE {_cycle('(event_id + user_id)', GOOD_CURRENCIES)} END""",
+        "user_id": f"CASE WHEN mode <> {NO_USER} THEN 'u-' || user_id END",
+        "event_ts": f"""CASE WHEN mode = {BAD_TIME} THEN {_cycle('event_id', BAD_TIMES)}
+                             ELSE date_format({stamped}, '{ISO_MILLIS}') END""",
+        "received_time": f"timestamp_millis({received})",
     }
-    extra = {"sequence": number, "mode": mode}
-    selected = [columns[f.name].alias(f.name) for f in schemas.RAW_EVENTS.fields]
-    return injection(events).select(*selected, *[extra[k].alias(k) for k in keep])
+    extra = {"sequence": "event_id", "mode": "mode"}
+    selected = [f"{columns[f.name]} AS {f.name}" for f in schemas.RAW_EVENTS.fields]
+    return injection(events).selectExpr(*selected, *[f"{extra[name]} AS {name}" for name in keep])
 
 
 def read_raw(spark: SparkSession, folder: str, *keep: str) -> DataFrame:

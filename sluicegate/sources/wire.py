@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate import schemas
 
-MAGIC = bytearray(b"\x00")
-PAYLOAD_AT = 6  # 1-based offset of the JSON behind the prefix
+# First byte of an envelope, 1-based offset of the JSON in it.
+MAGIC = "X'00'"
+PAYLOAD_AT = 6
 
 DECODED, CORRUPT, EMPTY = "decoded", "corrupt", "empty"
+
 _CORRUPT_TEXT = "_corrupt_text"
+_PARSE_AS = T.StructType([*schemas.PAYLOAD.fields, T.StructField(_CORRUPT_TEXT, T.StringType())])
+_FIELDS = [f.name for f in schemas.PAYLOAD.fields]
 
 
-def payload_text(value: Column) -> Column:
-    """JSON text of a message.
+def payload_text(value: str) -> str:
+    """JSON text of a message, as a SQL expression.
 
     The payload is found by its offset, never by looking for a brace: a schema
     id may itself contain the byte of one.
     """
-    enveloped = F.substring(value, 1, 1) == F.lit(MAGIC)
-    return F.when(enveloped, F.substr(value, F.lit(PAYLOAD_AT))).otherwise(value).cast("string")
+    enveloped = f"substring({value}, 1, 1) = {MAGIC}"
+    return f"CAST(CASE WHEN {enveloped} THEN substring({value}, {PAYLOAD_AT}) ELSE {value} END AS STRING)"
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -31,29 +35,20 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     A field of the wrong type becomes NULL and the event stays in the stream, so
     the contract reports it; only text that is no JSON at all is ``corrupt``.
     """
-    parse_as = T.StructType([*schemas.PAYLOAD.fields, T.StructField(_CORRUPT_TEXT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT_TEXT}
-    parsed = messages.withColumn("wire_text", payload_text(F.col(value))).withColumn(
-        "_payload", F.from_json("wire_text", parse_as, options)
+    parsed = messages.withColumn("wire_text", F.expr(payload_text(value))).withColumn(
+        "_payload", F.from_json("wire_text", _PARSE_AS, options)
     )
-    blank = F.col("wire_text").isNull() | F.trim("wire_text").isin("", "null")
     # The second parse only runs for rows that the first one stumbled over.
-    no_json = F.when(
-        F.col(f"_payload.{_CORRUPT_TEXT}").isNotNull(), F.try_parse_json(F.col("wire_text")).isNull()
-    ).otherwise(F.lit(False))
-    state = F.when(blank, F.lit(EMPTY)).when(no_json, F.lit(CORRUPT)).otherwise(F.lit(DECODED))
-    return (
-        parsed.withColumn("wire_state", state)
-        .withColumns(
-            {
-                **{
-                    f.name: F.when(F.col("wire_state") == DECODED, F.col(f"_payload.{f.name}"))
-                    for f in schemas.PAYLOAD.fields
-                },
-                "wire_text": F.when(F.col("wire_state") == CORRUPT, F.col("wire_text")),
-            }
-        )
-        .drop("_payload")
+    state = f"""CASE WHEN wire_text IS NULL OR trim(wire_text) IN ('', 'null') THEN '{EMPTY}'
+                     WHEN _payload.{_CORRUPT_TEXT} IS NULL THEN '{DECODED}'
+                     WHEN try_parse_json(wire_text) IS NULL THEN '{CORRUPT}'
+                     ELSE '{DECODED}' END"""
+    return parsed.withColumn("wire_state", F.expr(state)).selectExpr(
+        *messages.columns,
+        "wire_state",
+        f"CASE WHEN wire_state = '{CORRUPT}' THEN wire_text END AS wire_text",
+        *[f"CASE WHEN wire_state = '{DECODED}' THEN _payload.{name} END AS {name}" for name in _FIELDS],
     )
 
 
@@ -71,17 +66,14 @@ def undecodable(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("wire_state") == CORRUPT).select("wire_text", "received_time")
 
 
-def encode(events: DataFrame, schema_id: Column | None = None) -> DataFrame:
-    """Messages (``value``, ``received_time``) carrying the given events.
+def encode(events: DataFrame, schema_id: str = "CAST(NULL AS INT)") -> DataFrame:
+    """Add ``value``, the message that carries each event.
 
-    ``schema_id`` is an integer column; where it is NULL the message is plain
+    ``schema_id`` is an integer expression; where it is NULL the message is plain
     JSON without the envelope.
     """
-    names = [f.name for f in schemas.PAYLOAD.fields]
-    body = F.encode(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), "UTF-8")
-    if schema_id is None:
-        value = body
-    else:
-        prefix = F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(schema_id), 8, "0")))
-        value = F.when(schema_id.isNull(), body).otherwise(F.concat(prefix, body))
-    return events.withColumn("value", value)
+    body = f"encode(to_json(struct({', '.join(_FIELDS)}), map('ignoreNullFields', 'false')), 'UTF-8')"
+    prefix = f"{MAGIC} || unhex(lpad(hex({schema_id}), 8, '0'))"
+    return events.withColumn("_body", F.expr(body)).selectExpr(
+        *events.columns, f"CASE WHEN ({schema_id}) IS NULL THEN _body ELSE {prefix} || _body END AS value"
+    )
