@@ -12,7 +12,7 @@ def or_dash(text: str) -> str:
 
 def pct_text(pct: str) -> str:
     """``12.34%``, or a dash when unknown."""
-    return or_dash(f"CASE WHEN NOT isnan({pct}) THEN format_string('%.2f%%', {pct}) END")
+    return or_dash(f"CASE WHEN {pct} IS NOT NULL AND NOT isnan({pct}) THEN format_string('%.2f%%', {pct}) END")
 
 
 def eta_text(minutes: str) -> str:

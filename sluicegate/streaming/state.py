@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -13,6 +15,10 @@ from sluicegate.operators.forecast import POINTS, RECENT, with_points
 
 _ROWS_PER_CHUNK = 10_000
 
+# The state handler travels to the executors as code, so that they need not have
+# this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class RecentPoints(StatefulProcessor):
     """Adds the newest ``depth`` rates to each closed window of a source."""
