@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicegate.operators import ranking
+from sluicegate.plans import serving
 from sluicegate.plans.pipeline import Firewall
+from sluicegate.settings import DEFAULTS, Settings
+from sluicegate.sources import tables
 from sluicegate.streaming.running import stop_all
 
 # In order of dependency.
@@ -18,6 +22,10 @@ VIEWS = (
     "dq_alerts",
     "dq_alerts_simple",
     "serving_alerts",
+    "health_board",
+    "source_history",
+    "source_health",
+    "dlq_feed",
 )
 
 
@@ -29,6 +37,31 @@ def register(raw: DataFrame, firewall: Firewall | None = None) -> None:
         getattr(firewall, name)(raw).createOrReplaceTempView(name)
 
 
+def register_stored(
+    spark: SparkSession, root: str, since: str | None = None, settings: Settings = DEFAULTS
+) -> list[str]:
+    """Create views of the stored tables and of the boards over them.
+
+    Spark lists a table's files when its view is made: register again to show the
+    batches stored since.  ``since`` (a date) keeps it from reading older folders.
+    """
+    stored = {name: tables.read_table(spark, root, name, since) for name in tables.stored(spark, root)}
+    for name, rows in stored.items():
+        rows.createOrReplaceTempView(name)
+    boards = {}
+    if "serving_alerts" in stored:
+        named = serving.usable_alerts(stored["serving_alerts"])
+        boards["health_board"] = ranking.health_board(named)
+        boards["source_history"] = ranking.history(named, settings)
+    if "dq_alerts" in stored:
+        boards["source_health"] = ranking.source_health(stored["dq_alerts"])
+    if "quarantine_events" in stored:
+        boards["dlq_feed"] = ranking.dlq_feed(stored["quarantine_events"], settings)
+    for name, rows in boards.items():
+        rows.createOrReplaceTempView(name)
+    return [*stored, *boards]
+
+
 def listed(spark: SparkSession) -> list[str]:
     """Names of the firewall's views and tables that exist, in dependency order."""
     existing = {table.name for table in spark.catalog.listTables()}

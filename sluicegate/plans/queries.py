@@ -49,12 +49,12 @@ def wire_decode(spark: SparkSession, folder: str) -> DataFrame:
     brace (123) or bracket (91), and messages whose last byte was lost."""
     raw = derived.read_raw(spark, folder, "sequence")
     schema_id = "CASE sequence % 4 WHEN 1 THEN 1 WHEN 2 THEN 123 WHEN 3 THEN 91 END"
-    sent = wire.encode(raw, schema_id).select("sequence", "received_time", "value")
+    sent = wire.encode(raw, schema_id=schema_id).select("sequence", "received_time", "value")
     cut = "substring(value, 1, length(value) - 1)"
     damaged = sent.selectExpr(
         "sequence", "received_time", f"CASE WHEN sequence % 50 = 7 THEN {cut} ELSE value END AS value"
     )
-    return comparable(wire.decode(damaged).drop("value", "wire_text"))
+    return comparable(wire.decode(damaged).drop("wire_text"))
 
 
 # Contract and routing
@@ -176,7 +176,14 @@ def quarantine_reload(spark: SparkSession, folder: str) -> DataFrame:
 def _streamed(spark: SparkSession, folder: str, start, name: str) -> str:
     root = work_folder(spark, name)
     raw = derived.raw_events(derived.stream_events(spark, folder))
-    start(raw, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
+    query = start(
+        raw,
+        f"{root}/tables",
+        f"{root}/checkpoint",
+        available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    query.awaitTermination()
     return f"{root}/tables"
 
 

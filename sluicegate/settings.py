@@ -40,7 +40,7 @@ DASH = "—"
 
 @dataclass(frozen=True)
 class Settings:
-    """Tunable parameters; the defaults are the reference operating point."""
+    """Tunable parameters."""
 
     window_seconds: int = 10
     sla_pct: float = 2.0

@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from sluicegate import schemas
 from sluicegate.sources import wire
 
-FILE_FORMATS = ("parquet", "json", "orc", "csv")
-
-
 def as_instants(df: DataFrame) -> DataFrame:
     """Cast zone-less timestamps to instants, which a watermark requires."""
     zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
@@ -43,14 +40,35 @@ def _kafka_messages(reader, servers: str, topic: str, options: dict) -> DataFram
     return rows.select("value", F.col("timestamp").alias("received_time"))
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str = "raw_events", **options: object) -> DataFrame:
-    """Decoded messages of a topic from its start; needs Spark's Kafka connector."""
-    return wire.decode(_kafka_messages(spark.readStream, servers, topic, options))
+def stream_kafka(
+    spark: SparkSession,
+    servers: str,
+    topic: str = "raw_events",
+    schema: T.StructType = schemas.PAYLOAD,
+    **options: object,
+) -> DataFrame:
+    """Decoded messages of a topic from its start; needs Spark's Kafka connector.
+
+    Raw events by default; the schema of an output table reads that table back.
+    """
+    return wire.decode(_kafka_messages(spark.readStream, servers, topic, options), schema)
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str = "raw_events", **options: object) -> DataFrame:
+def read_kafka(
+    spark: SparkSession,
+    servers: str,
+    topic: str = "raw_events",
+    schema: T.StructType = schemas.PAYLOAD,
+    **options: object,
+) -> DataFrame:
     """The same as a bounded batch."""
-    return wire.decode(_kafka_messages(spark.read, servers, topic, options))
+    return wire.decode(_kafka_messages(spark.read, servers, topic, options), schema)
+
+
+def write_kafka(rows: DataFrame, schema: T.StructType, servers: str, topic: str) -> None:
+    """Send a batch of an output table to a topic, for example from a micro-batch."""
+    sink = wire.messages_of(rows, schema).write.format("kafka")
+    sink.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
 def by_source(events: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -59,6 +77,5 @@ def by_source(events: DataFrame, partitions: int | None = None) -> DataFrame:
     For writing out only.  Sources are few and uneven, so nothing here aggregates
     behind this layout; a hash of the event spreads each source over tasks.
     """
-    salt = F.pmod(F.xxhash64("event_id", "event_ts"), F.lit(16))
-    keys = ("source", salt)
+    keys = ("source", F.expr("pmod(xxhash64(event_id, user_id, event_ts, received_time), 16)"))
     return events.repartition(partitions, *keys) if partitions else events.repartition(*keys)

@@ -7,6 +7,7 @@ reader of recent rows skip the older folders.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,5 +42,19 @@ def read_table(spark: SparkSession, root: str, table: str, since: str | None = N
     return rows.select(*SCHEMAS[table].names)
 
 
+def stored(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables that have been stored below ``root``."""
+    return [name for name in SCHEMAS if _exists(spark, f"{root}/{name}")]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder can be read, on whatever file system it lies."""
+    try:
+        spark.read.schema("present int").parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])

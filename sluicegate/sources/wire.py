@@ -1,4 +1,7 @@
-"""The wire envelope: plain JSON, or a zero byte, a 4-byte schema id and JSON."""
+"""The wire envelope: plain JSON, or a zero byte, a 4-byte schema id and JSON.
+
+Raw events arrive in it, and the output tables can be sent and read back in it.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate import schemas
+from sluicegate.functions.once import computed_once
 
 # First byte of an envelope, 1-based offset of the JSON in it.
 MAGIC = "X'00'"
@@ -15,8 +19,6 @@ PAYLOAD_AT = 6
 DECODED, CORRUPT, EMPTY = "decoded", "corrupt", "empty"
 
 _CORRUPT_TEXT = "_corrupt_text"
-_PARSE_AS = T.StructType([*schemas.PAYLOAD.fields, T.StructField(_CORRUPT_TEXT, T.StringType())])
-_FIELDS = [f.name for f in schemas.PAYLOAD.fields]
 
 
 def payload_text(value: str) -> str:
@@ -29,32 +31,39 @@ def payload_text(value: str) -> str:
     return f"CAST(CASE WHEN {enveloped} THEN substring({value}, {PAYLOAD_AT}) ELSE {value} END AS STRING)"
 
 
-def decode(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add the payload columns, ``wire_state`` and, when corrupt, ``wire_text``.
+def decode(messages: DataFrame, schema: T.StructType = schemas.PAYLOAD, value: str = "value") -> DataFrame:
+    """Replace ``value`` by the fields of ``schema``, ``wire_state`` and ``wire_text``.
 
-    A field of the wrong type becomes NULL and the event stays in the stream, so
-    the contract reports it; only text that is no JSON at all is ``corrupt``.
+    A field of the wrong type becomes NULL and the row stays in the stream, so
+    the contract reports it; only text that is no JSON at all is ``corrupt``, and
+    only then ``wire_text`` holds it.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT_TEXT}
-    parsed = messages.withColumn("wire_text", F.expr(payload_text(value))).withColumn(
-        "_payload", F.from_json("wire_text", _PARSE_AS, options)
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    parse = (
+        f"from_json(wire_text, '{layout}, {_CORRUPT_TEXT} string',"
+        f" map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{_CORRUPT_TEXT}'))"
     )
+    parsed = computed_once(messages.withColumn("wire_text", F.expr(payload_text(value))), "_payload", parse)
     # The second parse only runs for rows that the first one stumbled over.
     state = f"""CASE WHEN wire_text IS NULL OR trim(wire_text) IN ('', 'null') THEN '{EMPTY}'
                      WHEN _payload.{_CORRUPT_TEXT} IS NULL THEN '{DECODED}'
                      WHEN try_parse_json(wire_text) IS NULL THEN '{CORRUPT}'
                      ELSE '{DECODED}' END"""
     return parsed.withColumn("wire_state", F.expr(state)).selectExpr(
-        *messages.columns,
+        *[name for name in messages.columns if name != value],
         "wire_state",
         f"CASE WHEN wire_state = '{CORRUPT}' THEN wire_text END AS wire_text",
-        *[f"CASE WHEN wire_state = '{DECODED}' THEN _payload.{name} END AS {name}" for name in _FIELDS],
+        *[f"CASE WHEN wire_state = '{DECODED}' THEN _payload.{name} END AS {name}" for name in schema.names],
     )
 
 
+def rows_of(decoded: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages that carry a row, in the given schema."""
+    return schemas.conform(decoded.filter(F.col("wire_state") == DECODED), schema)
+
+
 def events_of(decoded: DataFrame) -> DataFrame:
-    """The messages that carry an event, in the raw event schema."""
-    return schemas.conform(decoded.filter(F.col("wire_state") == DECODED), schemas.RAW_EVENTS)
+    return rows_of(decoded, schemas.RAW_EVENTS)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
@@ -66,14 +75,21 @@ def undecodable(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("wire_state") == CORRUPT).select("wire_text", "received_time")
 
 
-def encode(events: DataFrame, schema_id: str = "CAST(NULL AS INT)") -> DataFrame:
-    """Add ``value``, the message that carries each event.
+def encode(
+    rows: DataFrame, schema: T.StructType = schemas.PAYLOAD, schema_id: str = "CAST(NULL AS INT)"
+) -> DataFrame:
+    """Add ``value``, the message that carries each row.
 
     ``schema_id`` is an integer expression; where it is NULL the message is plain
     JSON without the envelope.
     """
-    body = f"encode(to_json(struct({', '.join(_FIELDS)}), map('ignoreNullFields', 'false')), 'UTF-8')"
+    body = f"encode(to_json(struct({', '.join(schema.names)}), map('ignoreNullFields', 'false')), 'UTF-8')"
     prefix = f"{MAGIC} || unhex(lpad(hex({schema_id}), 8, '0'))"
-    return events.withColumn("_body", F.expr(body)).selectExpr(
-        *events.columns, f"CASE WHEN ({schema_id}) IS NULL THEN _body ELSE {prefix} || _body END AS value"
+    return rows.withColumn("_body", F.expr(body)).selectExpr(
+        *rows.columns, f"CASE WHEN ({schema_id}) IS NULL THEN _body ELSE {prefix} || _body END AS value"
     )
+
+
+def messages_of(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Messages (``key``, ``value``) of a table, keyed by source."""
+    return encode(rows, schema).selectExpr("CAST(source AS BINARY) AS key", "value")

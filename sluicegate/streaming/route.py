@@ -29,30 +29,38 @@ _ROUTED = (
 )
 
 
-def lane_writer(root: str) -> Callable[[DataFrame, int], None]:
+def lane_writer(root: str, hold: bool = False) -> Callable[[DataFrame, int], None]:
     """Writes one judged micro-batch to both lanes.
 
-    The batch is read and judged once; each lane's folder for the batch is
-    replaced as a whole, so a repeated batch leaves the same rows.
+    Each lane's folder for the batch is replaced as a whole, so a repeated batch
+    leaves the same rows.  Every lane reads and judges the batch for itself, which
+    costs less than holding it in between; ``hold`` it where reading is dear, as
+    with messages that have to be decoded.
     """
 
     def write(judged: DataFrame, batch_id: int) -> None:
-        held = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = judged.persist(StorageLevel.MEMORY_AND_DISK) if hold else judged
         try:
             for table, project in (
                 ("clean_events", routing.clean_events),
                 ("quarantine_events", routing.quarantine_events),
             ):
-                tables.write_batch(project(held, "received_time"), root, table, batch_id, F.col("received_time"))
+                tables.write_batch(project(rows, "received_time"), root, table, batch_id, F.col("received_time"))
         finally:
-            held.unpersist()
+            if hold:
+                rows.unpersist()
 
     return write
 
 
 def start_routing(
-    raw: DataFrame, root: str, checkpoint: str, firewall: Firewall | None = None, **trigger: object
+    raw: DataFrame,
+    root: str,
+    checkpoint: str,
+    firewall: Firewall | None = None,
+    hold: bool = False,
+    **trigger: object,
 ) -> StreamingQuery:
     """Route a raw event stream.  Stateless, so late events are routed like any other."""
     judged = (firewall or Firewall()).events_verdict(raw).select(*_ROUTED)
-    return running.start(judged, lane_writer(root), "routing", checkpoint, **trigger)
+    return running.start(judged, lane_writer(root, hold), "routing", checkpoint, **trigger)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 NAME_PREFIX = "sluicegate_"
 
-_STATE_CONF = {
+_ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -20,13 +20,13 @@ _STATE_CONF = {
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Keep streaming state in RocksDB for queries started inside the block.
+def query_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the queries started inside the block.
 
     A query takes its settings when it starts, so the session's own are put back.
     """
-    before = {key: spark.conf.get(key, None) for key in _STATE_CONF}
-    for key, value in _STATE_CONF.items():
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield
@@ -45,11 +45,17 @@ def start(
     checkpoint: str,
     available_now: bool = False,
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start an append query that hands each micro-batch to ``write``.
 
     ``checkpoint`` must be on storage that survives the loss of any machine.
+    ``state_partitions`` is the number of state stores, fixed for the life of the
+    checkpoint; without it the session's number of shuffle partitions counts.
     """
+    settings = dict(_ROCKSDB)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     writer = (
         stream.writeStream.outputMode("append")
         .queryName(f"{NAME_PREFIX}{name}")
@@ -60,7 +66,8 @@ def start(
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    return writer.start()
+    with query_conf(stream.sparkSession, settings):
+        return writer.start()
 
 
 def stop_all(spark: SparkSession) -> list[str]:

@@ -130,3 +130,25 @@ def test_views_answer_sql_and_are_torn_down(spark, sf_small):
     assert spark.sql("SELECT sum(total_events) FROM dq_metrics").first()[0] == 1000
     assert catalog.teardown(spark) == list(reversed(catalog.VIEWS))
     assert catalog.listed(spark) == []
+
+
+def test_views_of_stored_tables_follow_what_is_stored(spark, tmp_path, sf_medium):
+    root, firewall = str(tmp_path), Firewall()
+    raw = derived.read_raw(spark, sf_medium)
+    tables.write_batch(firewall.dq_alerts(raw), root, "dq_alerts", 0, F.col("ts"))
+    assert catalog.register_stored(spark, root) == ["dq_alerts", "source_health"]
+    assert spark.sql("SELECT count(*) FROM source_health WHERE status = 'BREACH'").first()[0] >= 1
+    tables.write_batch(firewall.serving_alerts(raw), root, "serving_alerts", 0, F.col("ts"))
+    tables.write_batch(firewall.quarantine_events(raw), root, "quarantine_events", 0, F.col("quarantined_at"))
+    assert len(catalog.register_stored(spark, root)) == 7
+    counts = [spark.table(name).count() for name in ("health_board", "source_history", "dlq_feed")]
+    assert counts == [5, 200, 50]
+    assert set(catalog.teardown(spark)) == set(catalog.VIEWS) & {
+        "dq_alerts",
+        "serving_alerts",
+        "quarantine_events",
+        "health_board",
+        "source_history",
+        "source_health",
+        "dlq_feed",
+    }

@@ -58,12 +58,27 @@ def test_fields_of_the_wrong_type_reach_the_contract(spark):
 
 def test_encode_then_decode_is_the_identity(spark, sf_small):
     raw = derived.read_raw(spark, sf_small, "sequence")
-    sent = wire.encode(raw, "CASE sequence % 3 WHEN 1 THEN 123 WHEN 2 THEN 2000000000 END")
+    sent = wire.encode(raw, schema_id="CASE sequence % 3 WHEN 1 THEN 123 WHEN 2 THEN 2000000000 END")
     back = wire.events_of(wire.decode(sent.select("value", "received_time")))
     plain = raw.drop("sequence")
     assert back.exceptAll(plain).isEmpty() and plain.exceptAll(back).isEmpty()
 
 
+def test_a_message_is_parsed_once(spark):
+    plan = wire.events_of(decoded(spark, [b"{}"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_output_tables_travel_as_messages(spark, sf_medium):
+    raw = derived.read_raw(spark, sf_medium)
+    for name, schema in (("dq_alerts", schemas.DQ_ALERTS), ("quarantine_events", schemas.QUARANTINE_EVENTS)):
+        rows = getattr(Firewall(), name)(raw)
+        sent = wire.messages_of(rows, schema)
+        assert sent.filter("key IS NULL").isEmpty()
+        back = wire.rows_of(wire.decode(sent, schema), schema)
+        assert back.schema == schema and back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
 def test_files_are_read_with_the_declared_schema(spark, tmp_path):
     rows = [event(0), event(1, user_id=None)]
     raw = raw_frame(spark, rows)
