@@ -1,8 +1,9 @@
 """Throughput of the pipeline on many copies of the events table.
 
-    python scale_trial.py <events folder> <shared folder> [copies] [cpus]
+    python scale_trial.py <events folder> [copies] [cpus]
 
 Copies follow each other in time, so the number of windows grows with the data.
+They are written below spark.checkpoint.dir.
 Two thirds of all events are moved to one source, to show what a hot source costs.
 """
 
@@ -44,14 +45,13 @@ def copied(events: DataFrame, copies: int, rows: int) -> DataFrame:
 
 
 def main() -> None:
-    folder, shared = sys.argv[1:3]
-    copies = int(sys.argv[3]) if len(sys.argv) > 3 else 200
-    cpus = sys.argv[4] if len(sys.argv) > 4 else "8"
+    folder = sys.argv[1]
+    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 200
+    cpus = sys.argv[3] if len(sys.argv) > 3 else "8"
     spark = build_session(
         "sluicegate-scale",
         f"local[{cpus}]",
         **{
-            "spark.checkpoint.dir": shared,
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": 64,
             "spark.ui.showConsoleProgress": "false",

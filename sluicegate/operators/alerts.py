@@ -104,15 +104,31 @@ def serving_alerts_from_recent(
     return schemas.conform(full, schemas.SERVING_ALERTS)
 
 
-def alerts(metrics: DataFrame, settings: Settings = DEFAULTS, recent_only: bool = False) -> DataFrame:
-    return alerts_from_recent(forecast.with_recent(metrics, settings.train_max, settings, recent_only), settings)
+def alerts(
+    metrics: DataFrame,
+    settings: Settings = DEFAULTS,
+    contract: Contract = ORDER_EVENTS,
+    recent_only: bool = False,
+) -> DataFrame:
+    known = forecast.with_recent(metrics, settings.train_max, settings, recent_only)
+    return alerts_from_recent(known, settings, contract)
 
 
-def alerts_simple(metrics: DataFrame, settings: Settings = DEFAULTS, recent_only: bool = False) -> DataFrame:
+def alerts_simple(
+    metrics: DataFrame,
+    settings: Settings = DEFAULTS,
+    contract: Contract = ORDER_EVENTS,
+    recent_only: bool = False,
+) -> DataFrame:
     known = forecast.with_recent(metrics, settings.train_max, settings, recent_only)
-    return alerts_simple_from_recent(known, settings)
+    return alerts_simple_from_recent(known, settings, contract)
 
 
-def serving_alerts(metrics: DataFrame, settings: Settings = DEFAULTS, recent_only: bool = False) -> DataFrame:
+def serving_alerts(
+    metrics: DataFrame,
+    settings: Settings = DEFAULTS,
+    contract: Contract = ORDER_EVENTS,
+    recent_only: bool = False,
+) -> DataFrame:
     known = forecast.with_recent(metrics, settings.damped_points, settings, recent_only)
-    return serving_alerts_from_recent(known, settings)
+    return serving_alerts_from_recent(known, settings, contract)

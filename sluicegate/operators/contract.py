@@ -72,7 +72,20 @@ def fresh(code: str, name: str, max_age_seconds: int) -> Rule:
 
 @dataclass(frozen=True)
 class Contract:
+    """Rules in the order in which violations are listed.
+
+    ``tie_order`` decides which of equally frequent codes is the top reason; without
+    it the rules' own order does.
+    """
+
     rules: tuple[Rule, ...]
+    tie_order: tuple[str, ...] = ()
+
+    @property
+    def counters(self) -> dict[str, str]:
+        """Counter column of each code, in the order that decides ties."""
+        by_code = {rule.code: rule.counter for rule in self.rules}
+        return {code: by_code[code] for code in self.tie_order or by_code}
 
     def check(self, raw: DataFrame) -> DataFrame:
         """Add the parsed time, the freshness, one flag per rule and the violations."""
@@ -103,5 +116,6 @@ ORDER_EVENTS = Contract(
         one_of(fixed.INVALID_CURRENCY, "bad_currency", "currency", fixed.CURRENCIES),
         parseable_time(fixed.MALFORMED_TIMESTAMP, "bad_timestamp"),
         fresh(fixed.STALE_EVENT, "stale", fixed.MAX_AGE_SECONDS),
-    )
+    ),
+    fixed.TIE_ORDER,
 )

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluicegate import schemas
 from sluicegate.functions.exact import points_to_pct, share_points
 from sluicegate.operators.contract import FRESHNESS, ORDER_EVENTS, Contract
 from sluicegate.settings import DEFAULTS, UNKNOWN_SOURCE, Settings
@@ -58,6 +60,27 @@ def window_metrics(
     )
 
 
+def schema(contract: Contract = ORDER_EVENTS, with_first_seen: bool = False) -> T.StructType:
+    counters = [rule.counter for rule in contract.rules]
+    return schemas.metrics_schema(counters, [first_seen(c) for c in counters] if with_first_seen else [])
+
+
+def merge_blank_sources(metrics: DataFrame, contract: Contract = ORDER_EVENTS) -> DataFrame:
+    """Metrics with first-seen times as the serving layer groups them.
+
+    Merges the windows of events without a source from their counts and first-seen
+    times, so that the raw events need not be read again.  The mean freshness is
+    left out: alerts do not use it, and means do not add up.
+    """
+    counters = [rule.counter for rule in contract.rules]
+    window = ("source", "window_start", "window_end", "window_time")
+    sums = [F.expr(f"sum({name}) AS {name}") for name in ("total_events", "bad_events", *counters)]
+    earliest = [F.expr(f"min({first_seen(name)}) AS {first_seen(name)}") for name in counters]
+    merged = name_blank_sources(metrics).groupBy(*window).agg(*sums, *earliest)
+    rate = points_to_pct(share_points("bad_events", "total_events"))
+    return merged.withColumn("error_rate_pct", F.expr(rate))
+
+
 def reason_counts(metrics: DataFrame, contract: Contract = ORDER_EVENTS) -> DataFrame:
     """Broken rules per source and window, one row per rule that occurred.
 

@@ -25,12 +25,13 @@ def _newest_events(time: str) -> list[Column]:
 
 
 def latest_raw(raw: DataFrame, count: int = 20) -> DataFrame:
-    return top(raw, count, *_newest_events("received_time"))
+    """The newest raw events."""
+    return top(raw, count, *_newest_events("received_time")).withColumnRenamed("received_time", "received")
 
 
 def latest_verdicts(raw: DataFrame, judge, count: int = 25) -> DataFrame:
     """Verdicts on the newest events.  Only these events are judged."""
-    return judge(latest_raw(raw, count)).select(
+    return judge(top(raw, count, *_newest_events("received_time"))).select(
         "rank", "source", "event_id", "amount", "currency", "is_valid", "violations", "received_time"
     )
 

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from sluicegate.operators.contract import ORDER_EVENTS, Contract
 from sluicegate.operators.metrics import first_seen
-from sluicegate.settings import NO_REASON, TIE_ORDER
-
-
-def _counters(contract: Contract) -> dict[str, str]:
-    return {rule.code: rule.counter for rule in contract.rules}
+from sluicegate.settings import NO_REASON
 
 
 def _code_of_largest(candidates: list[str]) -> str:
@@ -17,18 +13,19 @@ def _code_of_largest(candidates: list[str]) -> str:
     return f"CASE WHEN {best}.n > 0 THEN {best}.code ELSE '{NO_REASON}' END"
 
 
-def most_frequent(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> str:
-    """The most frequent code; ``order`` decides between equal counts."""
-    counters = _counters(contract)
+def most_frequent(contract: Contract = ORDER_EVENTS) -> str:
+    """The most frequent code; of equal counts the one the contract prefers."""
     return _code_of_largest(
-        [f"named_struct('n', {counters[code]}, 'place', {-place}, 'code', '{code}')" for place, code in enumerate(order)]
+        [
+            f"named_struct('n', {counter}, 'place', {-place}, 'code', '{code}')"
+            for place, (code, counter) in enumerate(contract.counters.items())
+        ]
     )
 
 
-def first_occurring(contract: Contract = ORDER_EVENTS, order: tuple[str, ...] = TIE_ORDER) -> str:
-    """The first code of ``order`` that occurred at all, however rarely."""
-    counters = _counters(contract)
-    found = [f"CASE WHEN {counters[code]} > 0 THEN '{code}' END" for code in order]
+def first_occurring(contract: Contract = ORDER_EVENTS) -> str:
+    """The contract's most preferred code that occurred at all, however rarely."""
+    found = [f"CASE WHEN {counter} > 0 THEN '{code}' END" for code, counter in contract.counters.items()]
     return f"coalesce({', '.join(found)}, '{NO_REASON}')"
 
 

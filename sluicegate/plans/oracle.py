@@ -398,7 +398,7 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         ("raw",),
         f"""
         SELECT * FROM (
-          SELECT {_EVENT}, event_ts, epoch_ms(received_time) AS received_time,
+          SELECT {_EVENT}, event_ts, epoch_ms(received_time) AS received,
                  CAST(row_number() OVER (ORDER BY received_time DESC) AS INTEGER) AS rank FROM raw)
         WHERE rank <= 20
         """,
@@ -491,6 +491,8 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         FROM verdict WHERE NOT is_valid
         """,
     ),
+    "stored_alerts": (("alerts",), _ALERT_SELECT),
+    "stored_serving_alerts": (("blanked_alerts",), f"SELECT {_SERVING_COLUMNS} FROM blanked_alerts"),
     "stream_route": (
         ("verdict",),
         f"""

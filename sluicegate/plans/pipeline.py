@@ -53,26 +53,26 @@ class Firewall:
     # Alerts over the whole history.
 
     def dq_alerts(self, raw: DataFrame) -> DataFrame:
-        return alerting.alerts(self.dq_metrics(raw), self.settings)
+        return alerting.alerts(self.dq_metrics(raw), self.settings, self.contract)
 
     def dq_alerts_simple(self, raw: DataFrame) -> DataFrame:
-        return alerting.alerts_simple(self.dq_metrics(raw), self.settings)
+        return alerting.alerts_simple(self.dq_metrics(raw), self.settings, self.contract)
 
     def serving_alerts(self, raw: DataFrame) -> DataFrame:
-        return alerting.serving_alerts(self.serving_metrics(raw), self.settings)
+        return alerting.serving_alerts(self.serving_metrics(raw), self.settings, self.contract)
 
     # Views of the newest state.  A forecast reaches back a fixed number of
     # windows, so older metrics cannot change what these show.
 
     def source_health(self, raw: DataFrame) -> DataFrame:
         recent = newest(self.dq_metrics(raw), self.settings.train_max, "window_start")
-        return ranking.source_health(alerting.alerts(recent, self.settings, recent_only=True))
+        return ranking.source_health(alerting.alerts(recent, self.settings, self.contract, recent_only=True))
 
     def serving_recent(self, raw: DataFrame, points: int = 1) -> DataFrame:
         """Serving alerts of which at least the newest ``points`` per source are exact."""
         reach = points + self.settings.damped_points - 1
         recent = newest(self.serving_metrics(raw), reach, "window_start")
-        return alerting.serving_alerts(recent, self.settings, recent_only=True)
+        return alerting.serving_alerts(recent, self.settings, self.contract, recent_only=True)
 
     def source_history(self, raw: DataFrame) -> DataFrame:
         return ranking.history(self.serving_recent(raw, self.settings.history_points), self.settings)
@@ -86,4 +86,6 @@ class Firewall:
         )
 
     def dlq_feed(self, raw: DataFrame) -> DataFrame:
-        return ranking.dlq_feed(self.quarantine_events(raw), self.settings)
+        """The newest rejects as the serving layer shows them, with named sources."""
+        rejects = self.quarantine_events(measuring.name_blank_sources(raw))
+        return ranking.dlq_feed(rejects, self.settings)

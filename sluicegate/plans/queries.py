@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.operators import forecast, metrics, ranking, reasons, routing
-from sluicegate.plans import serving
+from sluicegate.plans import batch, serving
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.session import work_folder
 from sluicegate.sources import derived, tables, wire
@@ -105,10 +105,14 @@ def forecast_trend(raw: DataFrame) -> DataFrame:
     return known.select(*_WINDOW, "error_rate_pct", "forecast_error_pct")
 
 
+def _some_blank(raw: DataFrame) -> DataFrame:
+    blanked = "CASE sequence % 11 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END"
+    return raw.withColumn("source", F.expr(blanked))
+
+
 def serving_windows(raw: DataFrame) -> DataFrame:
     """Serving alerts when some events come without a source."""
-    blanked = F.expr("CASE sequence % 11 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END")
-    return FIREWALL.serving_alerts(raw.withColumn("source", blanked))
+    return FIREWALL.serving_alerts(_some_blank(raw))
 
 
 # Reports
@@ -170,6 +174,23 @@ def quarantine_reload(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(serving.reject_rows(tables.read_table(spark, root, "quarantine_events")))
 
 
+def _stored(raw: DataFrame, table: str) -> DataFrame:
+    root = work_folder(raw.sparkSession, "stored")
+    batch.store_metrics_and_alerts(raw, root, FIREWALL)
+    return comparable(tables.read_table(raw.sparkSession, root, table))
+
+
+def stored_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts computed from stored metrics."""
+    return _stored(derived.read_raw(spark, folder), "dq_alerts")
+
+
+def stored_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Serving alerts from stored metrics, the blank sources merged window by window."""
+    raw = derived.read_raw(spark, folder, "sequence")
+    return _stored(_some_blank(raw), "serving_alerts")
+
+
 # Streams: the events table is streamed to its end, then the stored output is read.
 
 
@@ -263,6 +284,8 @@ QUERIES: dict[str, Query] = {
     "chart_bounds": _over_raw(chart_bounds),
     "alerts_reload": alerts_reload,
     "quarantine_reload": quarantine_reload,
+    "stored_alerts": stored_alerts,
+    "stored_serving_alerts": stored_serving_alerts,
     "stream_route": stream_route,
     "stream_metrics": stream_metrics,
     "stream_alerts": stream_alerts,

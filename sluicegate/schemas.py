@@ -45,6 +45,22 @@ QUARANTINE_EVENTS = _schema(
     quarantined_at=_TIME,
 )
 
+def metrics_schema(counters: list[str], first_seen: list[str] = ()) -> T.StructType:
+    """Window metrics of a contract with these counters."""
+    return _schema(
+        source=_STRING,
+        window_start=_TIME,
+        window_end=_TIME,
+        window_time=_TIME,
+        total_events=_LONG,
+        bad_events=_LONG,
+        error_rate_pct=_DOUBLE,
+        **{name: _LONG for name in counters},
+        avg_freshness_sec=_DOUBLE,
+        **{name: _TIME for name in first_seen},
+    )
+
+
 DQ_METRICS = _schema(
     source=_STRING,
     window_start=_TIME,

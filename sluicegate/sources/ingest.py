@@ -21,12 +21,12 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet", **options:
 
 
 def stream_files(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None, **options: object
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = 1000, **options: object
 ) -> DataFrame:
     """Raw events as a file stream; existing files are replayed first.
 
     ``max_files`` bounds a micro-batch, so that a replay of a long history does
-    not become one batch.
+    not become one batch; None lifts the bound.
     """
     reader = spark.readStream.schema(schemas.RAW_EVENTS).options(**options).format(fmt)
     if max_files:

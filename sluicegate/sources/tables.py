@@ -27,19 +27,27 @@ SCHEMAS = {
 }
 
 
-def write_batch(rows: DataFrame, root: str, table: str, batch_id: int, day: Column) -> None:
-    """Store one batch of a table, replacing an earlier attempt at it."""
-    stored = schemas.conform(rows.withColumn(DAY, F.to_date(day)), _with_day(SCHEMAS[table]))
+def write_batch(
+    rows: DataFrame, root: str, table: str, batch_id: int, day: Column, schema: T.StructType | None = None
+) -> None:
+    """Store one batch of a table, replacing an earlier attempt at it.
+
+    ``schema`` is for metrics of a contract of one's own.
+    """
+    stored = schemas.conform(rows.withColumn(DAY, F.to_date(day)), _with_day(schema or SCHEMAS[table]))
     stored.write.mode("overwrite").partitionBy(DAY).parquet(f"{root}/{table}/{BATCH}={batch_id}")
 
 
-def read_table(spark: SparkSession, root: str, table: str, since: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, root: str, table: str, since: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """A stored table; ``since`` (a date) prunes older folders."""
-    layout = T.StructType([*_with_day(SCHEMAS[table]).fields, T.StructField(BATCH, T.LongType())])
+    schema = schema or SCHEMAS[table]
+    layout = T.StructType([*_with_day(schema).fields, T.StructField(BATCH, T.LongType())])
     rows = spark.read.schema(layout).parquet(f"{root}/{table}")
     if since is not None:
         rows = rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
-    return rows.select(*SCHEMAS[table].names)
+    return rows.select(*schema.names)
 
 
 def stored(spark: SparkSession, root: str) -> list[str]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.operators import alerts as alerting
+from sluicegate.operators import metrics as measuring
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables
 from sluicegate.streaming import running
@@ -28,13 +29,14 @@ def _timed(raw: DataFrame, firewall: Firewall, heartbeat: bool) -> DataFrame:
 
 def alert_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
     """Writes the metrics of the closed windows and both alert tables on them."""
+    schema = measuring.schema(firewall.contract)
 
     def write(closed: DataFrame, batch_id: int) -> None:
         held = closed.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             full = alerting.alerts_from_recent(held, firewall.settings, firewall.contract)
             simple = alerting.alerts_simple_from_recent(held, firewall.settings, firewall.contract)
-            tables.write_batch(held, root, "dq_metrics", batch_id, F.col("window_start"))
+            tables.write_batch(held, root, "dq_metrics", batch_id, F.col("window_start"), schema)
             tables.write_batch(full, root, "dq_alerts", batch_id, F.col("ts"))
             tables.write_batch(simple, root, "dq_alerts_simple", batch_id, F.col("ts"))
         finally:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluicegate.operators import metrics as measuring
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables
 from sluicegate.streaming import running
@@ -45,10 +46,13 @@ def with_heartbeat(raw: DataFrame, firewall: Firewall | None = None) -> DataFram
     return merged.filter(~F.col(_BEAT) | F.col("received_time").isNull()).drop(_BEAT)
 
 
-def metrics_writer(root: str) -> Callable[[DataFrame, int], None]:
+def metrics_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
+    schema = measuring.schema(firewall.contract)
+
     def write(closed: DataFrame, batch_id: int) -> None:
         # Few rows over many shuffle partitions: merge them into few files.
-        tables.write_batch(closed.hint("rebalance"), root, "dq_metrics", batch_id, F.col("window_start"))
+        rows = closed.hint("rebalance")
+        tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
 
     return write
 
@@ -63,9 +67,11 @@ def start_metrics(
 ) -> StreamingQuery:
     """Store every window once the watermark has passed its end.
 
+    Not needed beside ``start_alerts``, which stores the same table.
+
     Events later than the watermark no longer change a stored window; see
     :func:`running.dropped_late` for their number.
     """
     firewall = firewall or Firewall()
     timed = with_heartbeat(raw, firewall) if heartbeat else watermarked(raw, firewall)
-    return running.start(firewall.dq_metrics(timed), metrics_writer(root), "metrics", checkpoint, **trigger)
+    return running.start(firewall.dq_metrics(timed), metrics_writer(root, firewall), "metrics", checkpoint, **trigger)

@@ -17,13 +17,12 @@ START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "sluicegate-tests",
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": 4,
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
         },

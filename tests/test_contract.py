@@ -9,8 +9,9 @@ from conftest import START, event, raw_frame
 
 from sluicegate.operators import routing
 from sluicegate.operators.contract import ORDER_EVENTS, Contract, one_of, present
+from sluicegate.plans import batch
 from sluicegate.plans.pipeline import Firewall
-from sluicegate.sources import derived
+from sluicegate.sources import derived, tables
 
 
 def check(spark, rows):
@@ -135,3 +136,13 @@ def test_a_contract_of_ones_own(spark):
     assert [r["violations"] for r in judged] == [[], ["NO_SOURCE"], ["BAD_NAME"]]
     metrics = Firewall(contract).dq_metrics(raw_frame(spark, rows)).collect()
     assert sum(m["cnt_no_source"] for m in metrics) == 1 and sum(m["cnt_bad_name"] for m in metrics) == 1
+
+
+def test_tables_of_a_contract_of_ones_own_can_be_stored(spark, tmp_path):
+    contract = Contract((present("NO_SOURCE", "no_source", "source"), present("NO_USER", "no_user", "user_id")))
+    rows = [event(10 * i + j, source="a" if j else None, user_id=None) for i in range(10) for j in range(2)]
+    batch.store_tables(raw_frame(spark, rows), str(tmp_path), Firewall(contract))
+    served = tables.read_table(spark, str(tmp_path), "serving_alerts").collect()
+    assert {(r["source"], r["top_reason"]) for r in served} == {("a", "NO_USER"), ("unknown", "NO_SOURCE")}
+    alerts = tables.read_table(spark, str(tmp_path), "dq_alerts").collect()
+    assert {(r["source"], r["top_reason"]) for r in alerts} == {("a", "NO_USER"), (None, "NO_SOURCE")}

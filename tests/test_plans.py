@@ -28,7 +28,7 @@ def shuffles(text: str) -> int:
     return len(re.findall(r"Exchange (?:hash|range)partitioning", text))
 
 
-BATCH = [name for name in QUERIES if not name.startswith("stream_") and not name.endswith("_reload")]
+BATCH = [name for name in QUERIES if not name.startswith("stream_") and not name.endswith("_reload") and not name.startswith("stored_")]
 
 
 @pytest.mark.parametrize("name", BATCH)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluicegate import schemas
 from sluicegate.operators import ranking
-from sluicegate.plans import catalog, serving
+from sluicegate.plans import batch, catalog, serving
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import derived, tables
 
@@ -83,10 +83,27 @@ def test_reject_feed_is_newest_first_and_bounded(spark):
     assert [r["rank"] for r in feed] == list(range(1, 51))
     assert [r["event_id"] for r in feed[:2]] == [None, "e-58"]
     report = serving.dlq_report(Firewall().dlq_feed(raw_frame(spark, rows))).orderBy("rank").first()
-    assert (report["time"], report["source"], report["event_id"]) == ("00:00:59", "—", "null")
+    assert (report["time"], report["source"], report["event_id"]) == ("00:00:59", "unknown", "null")
     assert report["failed_rules"] == "MISSING_EVENT_ID MISSING_USER_ID"
 
 
+def test_stored_rejects_are_shown_as_they_are(spark):
+    rows = [(None, None, 1.0, "USD", "u", "t", None, START)]
+    feed = ranking.dlq_feed(spark.createDataFrame(rows, schemas.QUARANTINE_EVENTS))
+    shown = serving.dlq_report(feed).first()
+    assert (shown["source"], shown["failed_rules"]) == ("—", "—")
+
+
+def test_all_tables_of_a_batch_are_stored(spark, tmp_path, sf_medium):
+    root, firewall = str(tmp_path), Firewall()
+    raw = derived.read_raw(spark, sf_medium)
+    for _ in range(2):
+        batch.store_tables(raw, root)
+    for name in tables.SCHEMAS:
+        stored, computed = tables.read_table(spark, root, name), getattr(firewall, name)(raw)
+        assert stored.exceptAll(computed).isEmpty() and computed.exceptAll(stored).isEmpty()
+
+
 def test_reloaded_alerts_get_their_defaults(spark, tmp_path):
     rows = [
         alert("a", 1, current=None, forecast=None),
