@@ -37,7 +37,7 @@ def store_metrics_and_alerts(raw: DataFrame, root: str, firewall: Firewall) -> N
     spark, settings, contract = raw.sparkSession, firewall.settings, firewall.contract
     wide = measuring.schema(contract, with_first_seen=True)
     by_window = measuring.window_metrics(firewall.events_verdict(raw), contract, settings, with_first_seen=True)
-    tables.write_batch(by_window, root, WINDOWS, _BATCH, F.col("window_start"), wide)
+    tables.write_batch(by_window, root, WINDOWS, _BATCH, F.col("window_start"), wide, gather=True)
     stored = tables.read_table(spark, root, WINDOWS, schema=wide)
     tables.write_batch(stored, root, "dq_metrics", _BATCH, F.col("window_start"), measuring.schema(contract))
     merged = measuring.merge_blank_sources(stored, contract)
@@ -46,7 +46,7 @@ def store_metrics_and_alerts(raw: DataFrame, root: str, firewall: Firewall) -> N
         ("dq_alerts_simple", alerting.alerts_simple(stored, settings, contract)),
         ("serving_alerts", alerting.serving_alerts(merged, settings, contract)),
     ):
-        tables.write_batch(rows, root, table, _BATCH, F.col("ts"))
+        tables.write_batch(rows, root, table, _BATCH, F.col("ts"), gather=True)
 
 
 def store_tables(raw: DataFrame, root: str, firewall: Firewall | None = None) -> None:

@@ -7,6 +7,10 @@ reader of recent rows skip the older folders.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +32,43 @@ SCHEMAS = {
 
 
 def write_batch(
-    rows: DataFrame, root: str, table: str, batch_id: int, day: Column, schema: T.StructType | None = None
+    rows: DataFrame,
+    root: str,
+    table: str,
+    batch_id: int,
+    day: Column,
+    schema: T.StructType | None = None,
+    gather: bool = False,
 ) -> None:
     """Store one batch of a table, replacing an earlier attempt at it.
 
-    ``schema`` is for metrics of a contract of one's own.
+    ``schema`` is for metrics of a contract of one's own.  ``gather`` brings the rows
+    of a day together before writing; without it a table whose rows were shuffled by
+    another key ends up with a file per task and day.  Adaptive execution splits
+    large days and merges small ones.
     """
     stored = schemas.conform(rows.withColumn(DAY, F.to_date(day)), _with_day(schema or SCHEMAS[table]))
+    if gather:
+        stored = stored.hint("rebalance", DAY)
     stored.write.mode("overwrite").partitionBy(DAY).parquet(f"{root}/{table}/{BATCH}={batch_id}")
 
 
+@contextmanager
+def packed(rows: DataFrame, rows_per_file: int = 1_000_000) -> Iterator[DataFrame]:
+    """Rows of a micro-batch, computed once and laid out for few files.
+
+    Closed windows come spread thinly over as many partitions as there are state
+    stores.  Adaptive execution, which would merge these, is off inside a stream, so
+    the rows are counted; holding them also keeps the stateful plan from running
+    once per table written.
+    """
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held.repartition(1 + held.count() // rows_per_file)
+    finally:
+        held.unpersist()
+
+
 def read_table(
     spark: SparkSession, root: str, table: str, since: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,23 +31,21 @@ def alert_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], No
     schema = measuring.schema(firewall.contract)
 
     def write(closed: DataFrame, batch_id: int) -> None:
-        held = closed.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            full = alerting.alerts_from_recent(held, firewall.settings, firewall.contract)
-            simple = alerting.alerts_simple_from_recent(held, firewall.settings, firewall.contract)
-            tables.write_batch(held, root, "dq_metrics", batch_id, F.col("window_start"), schema)
+        with tables.packed(closed) as rows:
+            full = alerting.alerts_from_recent(rows, firewall.settings, firewall.contract)
+            simple = alerting.alerts_simple_from_recent(rows, firewall.settings, firewall.contract)
+            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
             tables.write_batch(full, root, "dq_alerts", batch_id, F.col("ts"))
             tables.write_batch(simple, root, "dq_alerts_simple", batch_id, F.col("ts"))
-        finally:
-            held.unpersist()
 
     return write
 
 
 def serving_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
     def write(closed: DataFrame, batch_id: int) -> None:
-        rows = alerting.serving_alerts_from_recent(closed.hint("rebalance"), firewall.settings, firewall.contract)
-        tables.write_batch(rows, root, "serving_alerts", batch_id, F.col("ts"))
+        with tables.packed(closed) as rows:
+            served = alerting.serving_alerts_from_recent(rows, firewall.settings, firewall.contract)
+            tables.write_batch(served, root, "serving_alerts", batch_id, F.col("ts"))
 
     return write
 

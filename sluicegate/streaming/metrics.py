@@ -50,9 +50,8 @@ def metrics_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int],
     schema = measuring.schema(firewall.contract)
 
     def write(closed: DataFrame, batch_id: int) -> None:
-        # Few rows over many shuffle partitions: merge them into few files.
-        rows = closed.hint("rebalance")
-        tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
+        with tables.packed(closed) as rows:
+            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
 
     return write
 

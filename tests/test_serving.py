@@ -102,6 +102,7 @@ def test_all_tables_of_a_batch_are_stored(spark, tmp_path, sf_medium):
     for name in tables.SCHEMAS:
         stored, computed = tables.read_table(spark, root, name), getattr(firewall, name)(raw)
         assert stored.exceptAll(computed).isEmpty() and computed.exceptAll(stored).isEmpty()
+        assert len(stored.inputFiles()) == 1
 
 
 def test_reloaded_alerts_get_their_defaults(spark, tmp_path):
