@@ -5,8 +5,8 @@ from __future__ import annotations
 # Fixed value: the accepted ISO-8601 shape.  Spark's own cast also takes '2026',
 # '12:30' (today) or 'now', which would tie a verdict to the wall clock.
 ISO_8601 = (
-    r"\A\d{4}-\d{2}-\d{2}"
-    r"(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:\d{2})?)?\z"
+    r"\A\d\d\d\d-\d\d-\d\d"
+    r"(?:[T ]\d\d:\d\d:\d\d(?:\.\d{1,9})?(?:Z|[+-]\d\d:\d\d)?)?\z"
 )
 
 

@@ -20,7 +20,6 @@ from pyspark.sql.window import Window
 from sluicegate.settings import DEFAULTS, Settings
 
 KEY = "source"
-_BORDER_LANE = -1
 
 
 def newest(series: DataFrame, count: int, order: str, key: str = KEY) -> DataFrame:
@@ -48,9 +47,10 @@ def trailing(
         _last(value, inside, depth).alias("_local"),
     )
     # Heads and tails of all blocks form one lane per source, in which every head
-    # finds its true predecessors; other rows stay with their block.
-    border = F.col("_head") | ~F.col("_followed")
-    joint = local.withColumn("_lane", F.when(border, F.lit(_BORDER_LANE)).otherwise(F.col("_block"))).withColumn(
+    # finds its true predecessors; other rows stay with their block.  The lane has
+    # at most 2 * (depth - 1) rows per block, so a decade is a few ten thousand.
+    inner = ~F.col("_head") & F.col("_followed")
+    joint = local.withColumn("_lane", F.when(inner, F.col("_block"))).withColumn(
         "_local", F.when(~F.col("_head"), F.col("_local"))
     )
     across = Window.partitionBy(KEY, "_lane").orderBy(order)

@@ -71,7 +71,8 @@ def test_iso_times_are_instants(spark):
 
 def test_freshness_counts_whole_seconds(spark):
     ages = [300.0, 300.9, 301.0, -60.0]
-    rows = [event(i, received_time=START + timedelta(seconds=a), event_ts="2024-01-01T00:00:00Z") for i, a in enumerate(ages)]
+    stamp = "2024-01-01T00:00:00Z"
+    rows = [event(i, received_time=START + timedelta(seconds=a), event_ts=stamp) for i, a in enumerate(ages)]
     found = {r["event_id"]: (r["freshness_sec"], r["violations"]) for r in check(spark, rows)}
     assert [found[f"e-{i}"] for i in range(4)] == [(300, []), (300, []), (301, ["STALE_EVENT"]), (-60, [])]
 

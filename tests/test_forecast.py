@@ -47,6 +47,9 @@ def random_series(seed: int) -> dict[str | None, list[tuple[int, int]]]:
         series[source] = [(w, rng.choice([0, 0, rng.randrange(400), rng.randrange(10001)])) for w in kept]
     # A long silence: the frame must reach over many empty blocks.
     series["sparse"] = [(w * 97, rng.randrange(500)) for w in range(60)]
+    # Before and after the epoch, where block numbers change their sign.
+    epoch = -170_406_720
+    series["old"] = [(epoch + w, rng.randrange(500)) for w in range(-70, 70)]
     return series
 
 
