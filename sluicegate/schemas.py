@@ -115,6 +115,9 @@ SERVING_ALERTS = _schema(
 )
 
 
+# Messages that are no JSON: kept, but without fields there is nothing to check.
+UNDECODABLE_MESSAGES = _schema(wire_text=_STRING, received_time=_TIME)
+
 # The columns of the ``events`` test table that raw events are derived from.
 EVENTS = _schema(event_id=_LONG, user_id=_LONG, event_type=_STRING, value=_DOUBLE)
 

@@ -28,6 +28,7 @@ SCHEMAS = {
     "dq_alerts": schemas.DQ_ALERTS,
     "dq_alerts_simple": schemas.DQ_ALERTS_SIMPLE,
     "serving_alerts": schemas.SERVING_ALERTS,
+    "undecodable_messages": schemas.UNDECODABLE_MESSAGES,
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluicegate.operators import routing
 from sluicegate.operators.contract import EVENT_TIME
 from sluicegate.plans.pipeline import Firewall
-from sluicegate.sources import tables
+from sluicegate.sources import tables, wire
 from sluicegate.streaming import running
 
 _ROUTED = (
@@ -53,6 +53,15 @@ def lane_writer(root: str, hold: bool = False) -> Callable[[DataFrame, int], Non
     return write
 
 
+def start_undecodable(decoded: DataFrame, root: str, checkpoint: str, **trigger: object) -> StreamingQuery:
+    """Keep the messages that could not be decoded, beside the two lanes."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        tables.write_batch(messages, root, "undecodable_messages", batch_id, F.col("received_time"))
+
+    return running.start(wire.undecodable(decoded), write, "undecodable", checkpoint, **trigger)
+
+
 def start_routing(
     raw: DataFrame,
     root: str,

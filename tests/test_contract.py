@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import timedelta
 
 import pytest
@@ -147,3 +148,37 @@ def test_tables_of_a_contract_of_ones_own_can_be_stored(spark, tmp_path):
     assert {(r["source"], r["top_reason"]) for r in served} == {("a", "NO_USER"), ("unknown", "NO_SOURCE")}
     alerts = tables.read_table(spark, str(tmp_path), "dq_alerts").collect()
     assert {(r["source"], r["top_reason"]) for r in alerts} == {("a", "NO_USER"), (None, "NO_SOURCE")}
+
+
+def test_random_combinations_agree_with_the_rules_in_plain_python(spark):
+    rng = random.Random(7)
+    choices = {
+        "event_id": [None, "", " ", "e"],
+        "user_id": [None, "", "u"],
+        "amount": [None, -1.0, 0.0, 99.5, 100000.0, 100000.5, float("nan"), float("inf")],
+        "currency": [None, "", "USD", "usd", "JPY", "EURO"],
+        "age": [None, -5, 0, 300, 301, 100000],
+    }
+    picked = [{name: rng.choice(values) for name, values in choices.items()} for _ in range(400)]
+
+    def stamp(age):
+        return "soon" if age is None else (START - timedelta(seconds=age)).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+    def expected(row):
+        amount, age = row["amount"], row["age"]
+        broken = {
+            "MISSING_EVENT_ID": not row["event_id"],
+            "MISSING_USER_ID": not row["user_id"],
+            "AMOUNT_OUT_OF_RANGE": amount is None or not 0 <= amount <= 100000,
+            "INVALID_CURRENCY": row["currency"] not in ("USD", "EUR", "GBP", "JPY", "INR"),
+            "MALFORMED_TIMESTAMP": age is None,
+            "STALE_EVENT": age is not None and age > 300,
+        }
+        return [code for code, is_broken in broken.items() if is_broken]
+
+    rows = [
+        event(0, source=str(i), event_ts=stamp(row["age"]), **{k: v for k, v in row.items() if k != "age"})
+        for i, row in enumerate(picked)
+    ]
+    found = {int(r["source"]): r["violations"] for r in Firewall().events_verdict(raw_frame(spark, rows)).collect()}
+    assert found == {i: expected(row) for i, row in enumerate(picked)}

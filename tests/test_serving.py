@@ -99,7 +99,7 @@ def test_all_tables_of_a_batch_are_stored(spark, tmp_path, sf_medium):
     raw = derived.read_raw(spark, sf_medium)
     batch.store_tables(raw, root)
     batch.store_lanes(raw, root, firewall)
-    for name in tables.SCHEMAS:
+    for name in set(tables.SCHEMAS) - {"undecodable_messages"}:
         stored, computed = tables.read_table(spark, root, name), getattr(firewall, name)(raw)
         assert stored.exceptAll(computed).isEmpty() and computed.exceptAll(stored).isEmpty()
         assert len(stored.inputFiles()) == 1

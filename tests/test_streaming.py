@@ -5,14 +5,14 @@ from __future__ import annotations
 import time
 
 import pytest
-from conftest import event, raw_frame
+from conftest import START, event, raw_frame
 
 from sluicegate.plans.pipeline import Firewall
-from sluicegate.sources import derived, ingest, tables
+from sluicegate.sources import derived, ingest, tables, wire
 from sluicegate.streaming import running
 from sluicegate.streaming.alerts import start_alerts, start_serving_alerts
 from sluicegate.streaming.metrics import start_metrics
-from sluicegate.streaming.route import lane_writer, start_routing
+from sluicegate.streaming.route import lane_writer, start_routing, start_undecodable
 
 
 def same_rows(a, b):
@@ -108,6 +108,24 @@ def test_late_events_are_routed_but_not_counted_in_closed_windows(spark, tmp_pat
     assert [r["event_id"] for r in rejects] == ["late"]
 
 
+def test_messages_are_decoded_routed_and_none_is_lost(spark, raw, tmp_path):
+    path, root = str(tmp_path / "messages"), str(tmp_path / "out")
+    first = raw.filter("received_time < TIMESTAMP '2024-01-01 00:01:00'")
+    sent = wire.encode(first, schema_id="IF(event_id IS NULL, NULL, 123)").select("value", "received_time")
+    broken = spark.createDataFrame([(bytearray(b"{oops"), START)], sent.schema)
+    sent.unionAll(broken).coalesce(1).write.parquet(path)
+    messages = spark.readStream.schema(sent.schema).parquet(path)
+    decoded = wire.decode(messages)
+    start_routing(
+        wire.events_of(decoded), root, str(tmp_path / "c1"), hold=True, available_now=True
+    ).awaitTermination()
+    start_undecodable(decoded, root, str(tmp_path / "c2"), available_now=True).awaitTermination()
+    firewall = Firewall()
+    assert same_rows(tables.read_table(spark, root, "clean_events"), firewall.clean_events(first))
+    assert same_rows(tables.read_table(spark, root, "quarantine_events"), firewall.quarantine_events(first))
+    assert [r["wire_text"] for r in tables.read_table(spark, root, "undecodable_messages").collect()] == ["{oops"]
+
+
 def test_unnamed_sources_keep_state_too(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = [event(s, source=source, user_id=None) for s in (1, 11, 21, 31) for source in (None, "", "a")]
