@@ -46,19 +46,21 @@ def start(
     available_now: bool = False,
     every: str | None = None,
     state_partitions: int | None = None,
+    suffix: str = "",
 ) -> StreamingQuery:
     """Start an append query that hands each micro-batch to ``write``.
 
     ``checkpoint`` must be on storage that survives the loss of any machine.
     ``state_partitions`` is the number of state stores, fixed for the life of the
     checkpoint; without it the session's number of shuffle partitions counts.
+    ``suffix`` tells queries of the same kind in one session apart.
     """
     settings = dict(_ROCKSDB)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     writer = (
         stream.writeStream.outputMode("append")
-        .queryName(f"{NAME_PREFIX}{name}")
+        .queryName(f"{NAME_PREFIX}{name}{suffix}")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
