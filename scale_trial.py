@@ -4,7 +4,7 @@
 
 Copies follow each other in time, so the number of windows grows with the data.
 They are written below spark.checkpoint.dir.
-Two thirds of all events are moved to one source, to show what a hot source costs.
+Three fifths of all events come from one source, to show what a hot source costs.
 """
 
 from __future__ import annotations
