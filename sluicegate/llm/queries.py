@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import decontaminate, mixing, packing, simhash, toxicity
+from sluicegate.llm import decontaminate, html_text, minhash, mixing, packing, simhash, toxicity, warc
 from sluicegate.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -22,10 +26,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.with_next(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digests(found)
@@ -36,11 +48,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op5_minhash": op5_minhash,
     "op6_token_files": op6_token_files,
+    "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {"op2_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op2_mixing": mixing.ORACLE, "op7_warc": warc.ORACLE}
