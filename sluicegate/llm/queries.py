@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluicegate.llm import decontaminate, html_text, minhash, mixing, packing, simhash, toxicity, warc
+from sluicegate.llm import decontaminate, html_text, licenses, minhash, mixing, packing, pseudonyms, simhash, toxicity, warc
 from sluicegate.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+# For the registered query alone; whoever runs the operator brings a key of their own.
+PSEUDONYM_KEY = b"key of the registered query"
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +29,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "families", "n_notices")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_next(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(found)
 
 
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonyms(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return found.select("doc_id", "text", "n_private", F.to_json("spans").alias("spans"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,10 +64,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_licenses": op4_licenses,
     "op5_minhash": op5_minhash,
     "op6_token_files": op6_token_files,
     "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
+    "op9_pseudonyms": op9_pseudonyms,
     "op10_toxicity": op10_toxicity,
 }
 
