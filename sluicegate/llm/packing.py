@@ -23,6 +23,8 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +40,29 @@ FILE_BYTES = 8 << 20
 BLOCK_IDS = 1 << 18
 BLOCKS_PER_FILE = 64
 # Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 MAGIC, VERSION, SEPARATOR = b"SGTK", 1, "\x1eSG-END\x1e"
 _HEAD = struct.Struct("<4sBBHIQ")
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def byte_characters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself where it shows,
+    else the next one from 256 on."""
+    shows = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in shows else next(hidden)) for b in range(256)]
 
 
 class Encoder:
     """Encodes texts through the library, each different word once.
 
-    The vocabulary's words never reach over white space, so a text's ids are those of its
-    words in turn.
+    The vocabulary's pieces never reach over white space, so a text's ids are those of its
+    words in turn.  ASCII letters are lower-cased first, as the library does, and a full
+    stop or comma between a letter and white space becomes a word of its own, as it is a
+    piece of its own.  A word of lower-case letters alone is one piece, and goes straight to
+    the library's model; all other words take the library's whole way.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,36 +71,73 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.characters = byte_characters()
+        # The short cut is for vocabularies that fold case and cut words into letters.
+        probe = "Ab, straße"
+        steps = [self._piece("ab"), self._way([","])[0], self._piece("straße")]
+        self.short = [i for step in steps for i in step] == self._way([probe])[0]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.starts, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _way(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _piece(self, word: str) -> list[int]:
+        written = "".join(map(self.characters.__getitem__, word.encode()))
+        return [t.id for t in self.tokenizer.model.tokenize(written)]
+
     def _learn(self, words: list[bytes]) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if not new:
-            return
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for e in ids for i in e), np.uint32, int(sizes.sum()))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.pool = np.concatenate([self.pool, flat])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        new = list(set(words).difference(self.known))
+        for first in range(0, len(new), 8192):
+            some = new[first : first + 8192]
+            texts = [w.decode() for w in some]
+            ids: list[list[int] | None] = [None] * len(some)
+            rest = []
+            for i, text in enumerate(texts):
+                # Letters that case and composition leave as they are.
+                if self.short and text.isalpha() and text.islower() and is_normalized("NFC", text):
+                    ids[i] = self._piece(text)
+                else:
+                    rest.append(i)
+            for i, found in zip(rest, self._way([texts[i] for i in rest]), strict=True):
+                ids[i] = found
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+            self.pool = np.concatenate([self.pool, flat])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def _words(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """Words of all texts, and how many come before each text and after the last."""
+        whole = b"\n".join([*texts, b""])
+        if not self.short or b"<|" in whole:  # special tokens are told by their case
+            split = [t.split() for t in texts]
+            counts = np.fromiter(map(len, split), np.int64, len(split))
+            return [w for ws in split for w in ws], np.concatenate([[0], np.cumsum(counts)])
+        data = np.frombuffer(whole.lower(), np.uint8)
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+        letter = (data >= 97) & (data <= 122)
+        mark = (data == 44) | (data == 46)
+        cut = np.flatnonzero(letter[:-2] & mark[1:-1] & _BLANK[data[2:]]) + 1
+        ends = ends + np.searchsorted(cut, ends)
+        data = np.insert(data, cut, np.uint8(32))
+        blank = _BLANK[data]
+        first = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+        return data.tobytes().split(), np.concatenate([[0], np.searchsorted(first, ends)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids per text); no end ids."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        split = [t.split() for t in texts]
-        words = [w for ws in split for w in ws]
+        words, bounds = self._words(texts)
         self._learn(words)
         index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         first, sizes = self.starts[index], self.starts[index + 1] - self.starts[index]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])]
-        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))])
         return ids, np.diff(upto[bounds])
 
 
