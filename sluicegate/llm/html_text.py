@@ -248,7 +248,8 @@ def _like(a: str, b: str) -> int:
 
 def difference(frame: pd.DataFrame) -> pd.DataFrame:
     """(row_key, gone) of the pages of a run: positions of lines shared with the nearest page."""
-    frame = frame.sort_values(["place", "row_key"])
+    order = sorted(range(len(frame)), key=list(zip(frame["place"], frame["row_key"], strict=True)).__getitem__)
+    frame = frame.iloc[order]
     places, keys = frame["place"].tolist(), frame["row_key"].tolist()
     hashes = [list(h) for h in frame["hashes"]]
     sizes, fixed = [list(s) for s in frame["sizes"]], frame["fixed"].tolist()

@@ -117,15 +117,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(clean, " "), lambda w: w != "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def n_grams(tokens: Column) -> Column:
     """The different runs of up to ``N_GRAMS`` words."""
-    parts = [tokens]
-    for n in range(2, N_GRAMS + 1):
-        runs = F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")
-        )
-        parts.append(F.when(F.size(tokens) >= n, runs).otherwise(F.expr("CAST(array() AS array<string>)")))
-    return F.array_distinct(F.concat(*parts))
+
+    def runs(own: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(own) - n + 1)
+        found = F.transform(starts, lambda i: F.array_join(F.slice(own, i, n), " "))
+        return F.when(F.size(own) >= n, found).otherwise(F.expr("CAST(array() AS array<string>)"))
+
+    return _let(tokens, lambda own: F.array_distinct(F.concat(own, *[runs(own, n) for n in range(2, N_GRAMS + 1)])))
 
 
 def _template_rows(spark: SparkSession) -> DataFrame:
@@ -227,11 +232,6 @@ class Model:
         return r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace("\\-", "-") for w in marks) + r")(?![\p{L}\p{N}])"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def probabilities(sums: Column, temperature: float) -> Column:
     """Calibrated probabilities from sums of weights."""
     scaled = _let(F.array_max(sums), lambda top: F.transform(sums, lambda s: F.exp((s - top) / F.lit(temperature))))

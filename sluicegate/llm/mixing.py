@@ -177,7 +177,7 @@ r AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, d.source,
         (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size RANGE UNBOUNDED PRECEDING))::DOUBLE
           - (sum(d.size) OVER (PARTITION BY d.source, d.key, d.doc_id, d.size))::DOUBLE / 2 AS middle
       FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
-c AS (SELECT *, epochs + CASE WHEN middle <= target - epochs * source_size THEN 1 ELSE 0 END AS copies FROM r)
+c AS (SELECT *, epochs + CASE WHEN source_size > 0 AND middle <= target - epochs * source_size THEN 1 ELSE 0 END AS copies FROM r)
 SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, source,
   copies::BIGINT AS copies FROM c
 """
