@@ -26,5 +26,7 @@ def eta_text(minutes: str) -> str:
 
 
 def clock_text(ts: str) -> str:
-    """Time of day in the session time zone."""
-    return f"date_format({ts}, 'HH:mm:ss')"
+    """UTC time of day, whatever the session's zone."""
+    seconds = f"pmod(unix_seconds({ts}), 86400)"
+    parts = (f"{seconds} div 3600", f"{seconds} div 60 % 60", f"{seconds} % 60")
+    return f"format_string('%02d:%02d:%02d', {', '.join(parts)})"

@@ -13,12 +13,20 @@ ISO_8601 = (
 def parse_iso(text: str) -> str:
     """Timestamp of an ISO-8601 text, NULL when it is missing or malformed.
 
-    Cut to whole milliseconds, the precision of the declared tables.
+    Cut to whole milliseconds, the precision of the declared tables.  A time without an
+    offset is UTC, whatever the session's zone.
     """
-    parsed = f"timestamp_millis(unix_millis(try_cast({text} AS TIMESTAMP)))"
+    zoned = f"""CASE WHEN length({text}) = 10 THEN {text} || 'T00:00:00Z'
+                     WHEN {text} RLIKE r'(?:Z|[+-][0-9]{{2}}:[0-9]{{2}})\\z' THEN {text} ELSE {text} || 'Z' END"""
+    parsed = f"timestamp_millis(unix_millis(try_cast({zoned} AS TIMESTAMP)))"
     return f"CASE WHEN {text} RLIKE r'{ISO_8601}' THEN {parsed} END"
 
 
+def utc_day(ts: str) -> str:
+    """The UTC date of a timestamp, whatever the session's zone."""
+    return f"date_from_unix_date(CAST(floor(unix_millis({ts}) / 86400000) AS INT))"
+
+
 def seconds_between(earlier: str, later: str) -> str:
     """Whole seconds from ``earlier`` to ``later``, truncated; may be negative."""
     return f"(unix_micros({later}) - unix_micros({earlier})) div 1000000"

@@ -50,30 +50,35 @@ def register_stored(
         rows.createOrReplaceTempView(name)
     boards = {}
     if "serving_alerts" in stored:
-        named = serving.usable_alerts(stored["serving_alerts"])
+        named = serving.served_alerts(stored["serving_alerts"])
         boards["health_board"] = ranking.health_board(named)
         boards["source_history"] = ranking.history(named, settings)
     if "dq_alerts" in stored:
         boards["source_health"] = ranking.source_health(stored["dq_alerts"])
     if "quarantine_events" in stored:
-        boards["dlq_feed"] = ranking.dlq_feed(stored["quarantine_events"], settings)
+        boards["dlq_feed"] = ranking.dlq_feed(serving.served_rejects(stored["quarantine_events"]), settings)
     for name, rows in boards.items():
         rows.createOrReplaceTempView(name)
     return [*stored, *boards]
 
 
 def listed(spark: SparkSession) -> list[str]:
-    """Names of the firewall's views and tables that exist, in dependency order."""
-    existing = {table.name for table in spark.catalog.listTables()}
+    """Names of the firewall's views that exist, in dependency order.
+
+    Stored tables of the same names belong to somebody else.
+    """
+    existing = {table.name for table in spark.catalog.listTables() if table.isTemporary}
     return [name for name in VIEWS if name in existing]
 
 
 def teardown(spark: SparkSession) -> list[str]:
-    """Stop the firewall's streams, then drop views and tables, dependents first."""
+    """Stop the firewall's streams, then drop its temporary views, dependents first.
+
+    Tables are left alone: nothing here creates any.
+    """
     stop_all(spark)
     dropped = []
     for name in reversed(listed(spark)):
-        if not spark.catalog.dropTempView(name):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        dropped.append(name)
+        if spark.catalog.dropTempView(name):
+            dropped.append(name)
     return dropped

@@ -267,9 +267,6 @@ _CTES["feed"] = (
     """,
 )
 
-# Windows that a stream read to its end has closed: those the watermark has passed.
-_CLOSED = "epoch_ms({end}) <= (SELECT epoch_ms(max(received_time)) - 10000 FROM raw)"
-
 _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_events": (
         ("raw",),
@@ -501,14 +498,11 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         FROM verdict
         """,
     ),
-    "stream_metrics": (("metrics",), _METRIC_SELECT + " WHERE " + _CLOSED.format(end="window_end")),
-    "stream_alerts": (("alerts",), _ALERT_SELECT + " AND " + _CLOSED.format(end="window_end")),
+    "stream_metrics": (("metrics",), _METRIC_SELECT),
+    "stream_alerts": (("alerts",), _ALERT_SELECT),
     "stream_serving_alerts": (
         ("serving_alerts",),
-        f"""
-        SELECT {_SERVING_COLUMNS} FROM serving_alerts
-        WHERE ts <= (SELECT epoch_ms(max(received_time)) - 10000 FROM raw)
-        """,
+        f"SELECT {_SERVING_COLUMNS} FROM serving_alerts",
     ),
 }
 

@@ -17,6 +17,7 @@ from sluicegate.plans import batch, serving
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.session import work_folder
 from sluicegate.sources import derived, tables, wire
+from sluicegate.streaming import idle
 from sluicegate.streaming.alerts import start_alerts, start_serving_alerts
 from sluicegate.streaming.metrics import start_metrics
 from sluicegate.streaming.route import start_routing
@@ -194,17 +195,25 @@ def stored_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
 # Streams: the events table is streamed to its end, then the stored output is read.
 
 
-def _streamed(spark: SparkSession, folder: str, start, name: str) -> str:
+def _streamed(spark: SparkSession, folder: str, start, name: str, **options: object) -> str:
+    """Run a stream over the events to its end; those with windows until the last one is closed."""
     root = work_folder(spark, name)
-    raw = derived.raw_events(derived.stream_events(spark, folder))
-    query = start(
-        raw,
-        f"{root}/tables",
-        f"{root}/checkpoint",
-        available_now=True,
-        state_partitions=spark.sparkContext.defaultParallelism,
-    )
-    query.awaitTermination()
+    checkpoint = f"{root}/checkpoint"
+
+    def run():
+        return start(
+            derived.raw_events(derived.stream_events(spark, folder)),
+            f"{root}/tables",
+            checkpoint,
+            available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+            **options,
+        )
+
+    if options:
+        idle.run_to_end(run, checkpoint, FIREWALL)
+    else:
+        run().awaitTermination()
     return f"{root}/tables"
 
 
@@ -234,17 +243,17 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    root = _streamed(spark, folder, start_metrics, "stream-metrics")
+    root = _streamed(spark, folder, start_metrics, "stream-metrics", idle_close=1e9)
     return comparable(tables.read_table(spark, root, "dq_metrics"))
 
 
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    root = _streamed(spark, folder, start_alerts, "stream-alerts")
+    root = _streamed(spark, folder, start_alerts, "stream-alerts", idle_close=1e9)
     return comparable(tables.read_table(spark, root, "dq_alerts"))
 
 
 def stream_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    root = _streamed(spark, folder, start_serving_alerts, "stream-serving")
+    root = _streamed(spark, folder, start_serving_alerts, "stream-serving", idle_close=1e9)
     return comparable(tables.read_table(spark, root, "serving_alerts"))
 
 

@@ -18,6 +18,25 @@ def usable_alerts(stored: DataFrame) -> DataFrame:
     return stored.filter("source IS NOT NULL AND source <> ''")
 
 
+def served_alerts(stored: DataFrame) -> DataFrame:
+    """Stored alerts of any variant as the serving layer reads them.
+
+    Numbers that are missing, or that the variant does not have, read as 0; a time to
+    breach reads as none.
+    """
+    named = usable_alerts(stored)
+    numbers = ("current_error_pct", "forecast_error_pct", "forecast_upper_pct")
+    filled = {c: F.coalesce(F.col(c), F.lit(0.0)) if c in stored.columns else F.lit(0.0) for c in numbers}
+    if "minutes_to_sla_breach" not in stored.columns:
+        filled["minutes_to_sla_breach"] = F.lit(None).cast("double")
+    return named.withColumns(filled)
+
+
+def served_rejects(stored: DataFrame) -> DataFrame:
+    """Stored rejects; missing violations read as none."""
+    return stored.withColumn("violations", F.expr("coalesce(violations, CAST(array() AS ARRAY<STRING>))"))
+
+
 def history_points(stored: DataFrame, now: str = "current_timestamp()") -> DataFrame:
     """Chart points of stored alerts; missing numbers read as 0, a missing time as now."""
     return usable_alerts(stored).selectExpr(
@@ -49,11 +68,11 @@ class Snapshot:
 
 
 def snapshot(alerts: DataFrame, quarantine: DataFrame, settings: Settings = DEFAULTS) -> Snapshot:
-    named = usable_alerts(alerts)
+    named = served_alerts(alerts)
     return Snapshot(
         sources=ranking.health_board(named),
         history=ranking.history(named, settings),
-        dlq=ranking.dlq_feed(quarantine, settings),
+        dlq=ranking.dlq_feed(served_rejects(quarantine), settings),
     )
 
 
@@ -64,7 +83,10 @@ def load_snapshot(
     since: str | None = None,
     settings: Settings = DEFAULTS,
 ) -> Snapshot:
-    """Snapshot of stored tables; ``since`` limits how far back folders are read."""
+    """Snapshot of stored tables; ``since`` limits how far back folders are read.
+
+    ``table`` is any of the alert tables.
+    """
     return snapshot(
         tables.read_table(spark, root, table, since),
         tables.read_table(spark, root, "quarantine_events", since),

@@ -1,7 +1,8 @@
-"""Stored tables: one parquet folder each, ``batch_id=N/received_date=D/``.
+"""Stored tables: one parquet folder each, ``writer=W/batch_id=N/received_date=D/``.
 
 Writing a batch replaces its own folder, so a repeated micro-batch changes
-nothing.  The date is that of receipt, which a producer cannot forge, and lets a
+nothing.  Every writer has a folder of its own: a stream that of its checkpoint, the
+batch job ``batch``.  Writers therefore never replace each other's rows.  The date is that of receipt, which a producer cannot forge, and lets a
 reader of recent rows skip the older folders.
 """
 
@@ -17,9 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate import schemas
+from sluicegate.functions.times import utc_day
 
 DAY = "received_date"
 BATCH = "batch_id"
+WRITER = "writer"
+BATCH_JOB = "batch"
+# Files per day that a micro-batch writes at most, so that no day is one task.
+FILES_PER_DAY = 4
 
 SCHEMAS = {
     "clean_events": schemas.CLEAN_EVENTS,
@@ -40,6 +46,7 @@ def write_batch(
     day: Column,
     schema: T.StructType | None = None,
     gather: bool = False,
+    writer: str = BATCH_JOB,
 ) -> None:
     """Store one batch of a table, replacing an earlier attempt at it.
 
@@ -48,24 +55,30 @@ def write_batch(
     another key ends up with a file per task and day.  Adaptive execution splits
     large days and merges small ones.
     """
-    stored = schemas.conform(rows.withColumn(DAY, F.to_date(day)), _with_day(schema or SCHEMAS[table]))
+    stored = schemas.conform(
+        rows.withColumn("_day_of", day.cast("timestamp")).withColumn(DAY, F.expr(utc_day("_day_of"))),
+        _with_day(schema or SCHEMAS[table]),
+    )
     if gather:
         stored = stored.hint("rebalance", DAY)
-    stored.write.mode("overwrite").partitionBy(DAY).parquet(f"{root}/{table}/{BATCH}={batch_id}")
+    stored.write.mode("overwrite").partitionBy(DAY).parquet(
+        f"{root}/{table}/{WRITER}={writer}/{BATCH}={batch_id}"
+    )
 
 
 @contextmanager
-def packed(rows: DataFrame, rows_per_file: int = 1_000_000) -> Iterator[DataFrame]:
-    """Rows of a micro-batch, computed once and laid out for few files.
+def packed(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows of a micro-batch (with window_start), computed once and laid out for few files.
 
     Closed windows come spread thinly over as many partitions as there are state
-    stores.  Adaptive execution, which would merge these, is off inside a stream, so
-    the rows are counted; holding them also keeps the stateful plan from running
-    once per table written.
+    stores, and adaptive execution, which would merge these, is off inside a stream.
+    Rows of a day and share of the sources are brought together instead.  Holding them
+    keeps the stateful plan from running once per table written.
     """
-    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    share = F.pmod(F.xxhash64("source"), F.lit(FILES_PER_DAY))
+    held = rows.repartition(F.expr(utc_day("window_start")), share).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield held.repartition(1 + held.count() // rows_per_file)
+        yield held
     finally:
         held.unpersist()
 
@@ -75,7 +88,9 @@ def read_table(
 ) -> DataFrame:
     """A stored table; ``since`` (a date) prunes older folders."""
     schema = schema or SCHEMAS[table]
-    layout = T.StructType([*_with_day(schema).fields, T.StructField(BATCH, T.LongType())])
+    layout = T.StructType(
+        [*_with_day(schema).fields, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())]
+    )
     rows = spark.read.schema(layout).parquet(f"{root}/{table}")
     if since is not None:
         rows = rows.filter(F.col(DAY) >= F.lit(since).cast("date"))

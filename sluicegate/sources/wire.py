@@ -18,8 +18,6 @@ PAYLOAD_AT = 6
 
 DECODED, CORRUPT, EMPTY = "decoded", "corrupt", "empty"
 
-_CORRUPT_TEXT = "_corrupt_text"
-
 
 def payload_text(value: str) -> str:
     """JSON text of a message, as a SQL expression.
@@ -34,26 +32,27 @@ def payload_text(value: str) -> str:
 def decode(messages: DataFrame, schema: T.StructType = schemas.PAYLOAD, value: str = "value") -> DataFrame:
     """Replace ``value`` by the fields of ``schema``, ``wire_state`` and ``wire_text``.
 
-    A field of the wrong type becomes NULL and the row stays in the stream, so
-    the contract reports it; only text that is no JSON at all is ``corrupt``, and
-    only then ``wire_text`` holds it.
+    A field of the wrong type becomes NULL and the row stays in the stream, so the
+    contract reports it.  A message is ``decoded`` if its text is exactly one JSON object;
+    joined or trailing documents, arrays, scalars and broken text are ``corrupt``, and
+    ``wire_text`` keeps what was not decoded.
     """
-    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    parse = (
-        f"from_json(wire_text, '{layout}, {_CORRUPT_TEXT} string',"
-        f" map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{_CORRUPT_TEXT}'))"
-    )
+    layout = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in schema.fields)
+    # In brackets, anything but one document makes no list of one.
+    parse = f"from_json('[' || wire_text || ']', 'array<struct<{layout}>>')"
     parsed = computed_once(messages.withColumn("wire_text", F.expr(payload_text(value))), "_payload", parse)
-    # The second parse only runs for rows that the first one stumbled over.
+    # Text that closes the bracket itself cannot close a brace as well.
+    alone = """instr(wire_text, ']') = 0
+               OR from_json('{"only":' || wire_text || '}', 'only string').only IS NOT NULL"""
     state = f"""CASE WHEN wire_text IS NULL OR trim(wire_text) IN ('', 'null') THEN '{EMPTY}'
-                     WHEN _payload.{_CORRUPT_TEXT} IS NULL THEN '{DECODED}'
-                     WHEN try_parse_json(wire_text) IS NULL THEN '{CORRUPT}'
-                     ELSE '{DECODED}' END"""
+                     WHEN size(_payload) = 1 AND _payload[0] IS NOT NULL AND ltrim(wire_text) LIKE '{{%'
+                          AND ({alone}) THEN '{DECODED}'
+                     ELSE '{CORRUPT}' END"""
     return parsed.withColumn("wire_state", F.expr(state)).selectExpr(
         *[name for name in messages.columns if name != value],
         "wire_state",
         f"CASE WHEN wire_state = '{CORRUPT}' THEN wire_text END AS wire_text",
-        *[f"CASE WHEN wire_state = '{DECODED}' THEN _payload.{name} END AS {name}" for name in schema.names],
+        *[f"CASE WHEN wire_state = '{DECODED}' THEN _payload[0].{name} END AS {name}" for name in schema.names],
     )
 
 
@@ -67,7 +66,7 @@ def events_of(decoded: DataFrame) -> DataFrame:
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
-    """Messages that are no JSON.
+    """Messages that are not one JSON object.
 
     They have no fields a rule could test, so they are kept apart from the
     quarantine table rather than dropped.

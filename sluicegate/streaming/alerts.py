@@ -7,8 +7,6 @@ as in a batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,35 +15,32 @@ from sluicegate.operators import alerts as alerting
 from sluicegate.operators import metrics as measuring
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables
-from sluicegate.streaming import running
-from sluicegate.streaming.metrics import watermarked, with_heartbeat
+from sluicegate.streaming import idle, running
+from sluicegate.streaming.metrics import timed
+from sluicegate.streaming.running import Writer
 from sluicegate.streaming.state import with_recent_state
 
 
-def _timed(raw: DataFrame, firewall: Firewall, heartbeat: bool) -> DataFrame:
-    return with_heartbeat(raw, firewall) if heartbeat else watermarked(raw, firewall)
-
-
-def alert_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
+def alert_writer(root: str, firewall: Firewall) -> Writer:
     """Writes the metrics of the closed windows and both alert tables on them."""
     schema = measuring.schema(firewall.contract)
 
-    def write(closed: DataFrame, batch_id: int) -> None:
+    def write(closed: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
         with tables.packed(closed) as rows:
             full = alerting.alerts_from_recent(rows, firewall.settings, firewall.contract)
             simple = alerting.alerts_simple_from_recent(rows, firewall.settings, firewall.contract)
-            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
-            tables.write_batch(full, root, "dq_alerts", batch_id, F.col("ts"))
-            tables.write_batch(simple, root, "dq_alerts_simple", batch_id, F.col("ts"))
+            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema, writer=writer)
+            tables.write_batch(full, root, "dq_alerts", batch_id, F.col("ts"), writer=writer)
+            tables.write_batch(simple, root, "dq_alerts_simple", batch_id, F.col("ts"), writer=writer)
 
     return write
 
 
-def serving_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
-    def write(closed: DataFrame, batch_id: int) -> None:
+def serving_writer(root: str, firewall: Firewall) -> Writer:
+    def write(closed: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
         with tables.packed(closed) as rows:
             served = alerting.serving_alerts_from_recent(rows, firewall.settings, firewall.contract)
-            tables.write_batch(served, root, "serving_alerts", batch_id, F.col("ts"))
+            tables.write_batch(served, root, "serving_alerts", batch_id, F.col("ts"), writer=writer)
 
     return write
 
@@ -55,14 +50,15 @@ def start_alerts(
     root: str,
     checkpoint: str,
     firewall: Firewall | None = None,
-    heartbeat: bool = False,
+    idle_close: float | None = None,
     **trigger: object,
 ) -> StreamingQuery:
     """Metrics, alerts and simple alerts from one scan of the stream."""
     firewall = firewall or Firewall()
-    metrics = firewall.dq_metrics(_timed(raw, firewall, heartbeat))
+    metrics = firewall.dq_metrics(timed(raw, checkpoint, firewall, idle_close))
     known = with_recent_state(metrics, firewall.settings.train_max)
-    return running.start(known, alert_writer(root, firewall), "alerts", checkpoint, **trigger)
+    query = running.start(known, alert_writer(root, firewall), "alerts", checkpoint, **trigger)
+    return idle.watch(query, checkpoint, firewall, idle_close)
 
 
 def start_serving_alerts(
@@ -70,11 +66,12 @@ def start_serving_alerts(
     root: str,
     checkpoint: str,
     firewall: Firewall | None = None,
-    heartbeat: bool = False,
+    idle_close: float | None = None,
     **trigger: object,
 ) -> StreamingQuery:
     """The serving variant.  Blank sources count as one, so it groups for itself."""
     firewall = firewall or Firewall()
-    metrics = firewall.serving_metrics(_timed(raw, firewall, heartbeat))
+    metrics = firewall.serving_metrics(timed(raw, checkpoint, firewall, idle_close))
     known = with_recent_state(metrics, firewall.settings.damped_points)
-    return running.start(known, serving_writer(root, firewall), "serving_alerts", checkpoint, **trigger)
+    query = running.start(known, serving_writer(root, firewall), "serving_alerts", checkpoint, **trigger)
+    return idle.watch(query, checkpoint, firewall, idle_close)

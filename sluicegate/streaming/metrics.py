@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sluicegate.operators import metrics as measuring
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables
-from sluicegate.streaming import running
+from sluicegate.streaming import idle, running
+from sluicegate.streaming.running import Writer
 
 _BEAT = "_heartbeat"
 
@@ -20,38 +21,34 @@ def watermarked(raw: DataFrame, firewall: Firewall) -> DataFrame:
     return raw.withWatermark("received_time", firewall.settings.watermark)
 
 
-def with_heartbeat(raw: DataFrame, firewall: Firewall | None = None) -> DataFrame:
-    """Let the clock advance the watermark, so windows close when all sources fall silent.
+def with_beats(raw: DataFrame, beats: str, firewall: Firewall) -> DataFrame:
+    """Merge the marker rows of a folder into the stream; they count towards the watermark only.
 
-    One marker row per second is merged into the stream, counts towards the
-    watermark and is removed again.  The result carries the watermark already.
     The filter names the event time so that Spark keeps it behind the watermark.
     """
-    firewall = firewall or Firewall()
-    beats = (
-        raw.sparkSession.readStream.format("rate")
-        .option("rowsPerSecond", 1)
-        .load()
-        .select(
-            *[
-                F.col("timestamp").alias(f.name)
-                if f.name == "received_time"
-                else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in raw.schema.fields
-            ],
-            F.lit(True).alias(_BEAT),
-        )
+    idle.send_beat(raw.sparkSession, beats, datetime.fromtimestamp(0, timezone.utc))
+    marks = raw.sparkSession.readStream.schema(idle.BEATS).parquet(beats)
+    rows = marks.select(
+        *[
+            F.col("beat").alias(f.name) if f.name == "received_time" else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in raw.schema.fields
+        ],
+        F.lit(True).alias(_BEAT),
     )
-    merged = watermarked(raw.withColumn(_BEAT, F.lit(False)).unionByName(beats), firewall)
+    merged = watermarked(raw.withColumn(_BEAT, F.lit(False)).unionByName(rows), firewall)
     return merged.filter(~F.col(_BEAT) | F.col("received_time").isNull()).drop(_BEAT)
 
 
-def metrics_writer(root: str, firewall: Firewall) -> Callable[[DataFrame, int], None]:
+def timed(raw: DataFrame, checkpoint: str, firewall: Firewall, idle_close: float | None) -> DataFrame:
+    return watermarked(raw, firewall) if idle_close is None else with_beats(raw, idle.folder(checkpoint), firewall)
+
+
+def metrics_writer(root: str, firewall: Firewall) -> Writer:
     schema = measuring.schema(firewall.contract)
 
-    def write(closed: DataFrame, batch_id: int) -> None:
+    def write(closed: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
         with tables.packed(closed) as rows:
-            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema)
+            tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema, writer=writer)
 
     return write
 
@@ -61,7 +58,7 @@ def start_metrics(
     root: str,
     checkpoint: str,
     firewall: Firewall | None = None,
-    heartbeat: bool = False,
+    idle_close: float | None = None,
     **trigger: object,
 ) -> StreamingQuery:
     """Store every window once the watermark has passed its end.
@@ -69,8 +66,10 @@ def start_metrics(
     Not needed beside ``start_alerts``, which stores the same table.
 
     Events later than the watermark no longer change a stored window; see
-    :func:`running.dropped_late` for their number.
+    :func:`running.dropped_late`.  ``idle_close`` closes what is open after so many seconds
+    without input, see :mod:`sluicegate.streaming.idle`.
     """
     firewall = firewall or Firewall()
-    timed = with_heartbeat(raw, firewall) if heartbeat else watermarked(raw, firewall)
-    return running.start(firewall.dq_metrics(timed), metrics_writer(root, firewall), "metrics", checkpoint, **trigger)
+    metrics = firewall.dq_metrics(timed(raw, checkpoint, firewall, idle_close))
+    query = running.start(metrics, metrics_writer(root, firewall), "metrics", checkpoint, **trigger)
+    return idle.watch(query, checkpoint, firewall, idle_close)

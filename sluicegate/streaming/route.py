@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +12,7 @@ from sluicegate.operators.contract import EVENT_TIME
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables, wire
 from sluicegate.streaming import running
+from sluicegate.streaming.running import Writer
 
 _ROUTED = (
     "event_id",
@@ -29,7 +28,7 @@ _ROUTED = (
 )
 
 
-def lane_writer(root: str, hold: bool = False) -> Callable[[DataFrame, int], None]:
+def lane_writer(root: str, hold: bool = False) -> Writer:
     """Writes one judged micro-batch to both lanes.
 
     Each lane's folder for the batch is replaced as a whole, so a repeated batch
@@ -38,14 +37,14 @@ def lane_writer(root: str, hold: bool = False) -> Callable[[DataFrame, int], Non
     with messages that have to be decoded.
     """
 
-    def write(judged: DataFrame, batch_id: int) -> None:
+    def write(judged: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
         rows = judged.persist(StorageLevel.MEMORY_AND_DISK) if hold else judged
         try:
             for table, project in (
                 ("clean_events", routing.clean_events),
                 ("quarantine_events", routing.quarantine_events),
             ):
-                tables.write_batch(project(rows, "received_time"), root, table, batch_id, F.col("received_time"))
+                tables.write_batch(project(rows, "received_time"), root, table, batch_id, F.col("received_time"), writer=writer)
         finally:
             if hold:
                 rows.unpersist()
@@ -56,8 +55,8 @@ def lane_writer(root: str, hold: bool = False) -> Callable[[DataFrame, int], Non
 def start_undecodable(decoded: DataFrame, root: str, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Keep the messages that could not be decoded, beside the two lanes."""
 
-    def write(messages: DataFrame, batch_id: int) -> None:
-        tables.write_batch(messages, root, "undecodable_messages", batch_id, F.col("received_time"))
+    def write(messages: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
+        tables.write_batch(messages, root, "undecodable_messages", batch_id, F.col("received_time"), writer=writer)
 
     return running.start(wire.undecodable(decoded), write, "undecodable", checkpoint, **trigger)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -10,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 NAME_PREFIX = "sluicegate_"
 
+# Stores a micro-batch: its rows, its number, and the name of the writer.
+Writer = Callable[[DataFrame, int, str], None]
+
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,7 +44,7 @@ def query_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 
 def start(
     stream: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Writer,
     name: str,
     checkpoint: str,
     available_now: bool = False,
@@ -62,7 +66,7 @@ def start(
         stream.writeStream.outputMode("append")
         .queryName(f"{NAME_PREFIX}{name}{suffix}")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(lambda rows, batch_id: write(rows, batch_id, run_id(rows.sparkSession, checkpoint)))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -72,6 +76,11 @@ def start(
         return writer.start()
 
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint: the same after restarts, another elsewhere."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop the firewall's own queries; others of the session keep running."""
     stopped = []
@@ -83,7 +92,11 @@ def stop_all(spark: SparkSession) -> list[str]:
 
 
 def dropped_late(query: StreamingQuery) -> int:
-    """Rows that came too late for their window, over the progress Spark still holds."""
+    """Groups of rows (source and window, per batch and task) that came too late.
+
+    A lower bound of the number of events, over the progress that Spark still holds
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

@@ -182,3 +182,16 @@ def test_random_combinations_agree_with_the_rules_in_plain_python(spark):
     ]
     found = {int(r["source"]): r["violations"] for r in Firewall().events_verdict(raw_frame(spark, rows)).collect()}
     assert found == {i: expected(row) for i, row in enumerate(picked)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_mean_the_same_in_every_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["2024-01-01T00:00:00", "2024-01-01 00:00:00", "2024-01-01", "2024-01-01T05:30:00+05:30", "2024-01-01T00:00:00Z"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = raw_frame(spark, [event(5, event_id=str(i), event_ts=text) for i, text in enumerate(texts)])
+        judged = Firewall().events_verdict(rows).selectExpr("freshness_sec", "is_valid").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [(r["freshness_sec"], r["is_valid"]) for r in judged] == [(5, True)] * len(texts)

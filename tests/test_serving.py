@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import pytest
 from conftest import START, event, raw_frame
 from pyspark.sql import functions as F
 
@@ -170,3 +171,26 @@ def test_views_of_stored_tables_follow_what_is_stored(spark, tmp_path, sf_medium
         "source_health",
         "dlq_feed",
     }
+
+
+def test_teardown_leaves_tables_of_others_alone(spark):
+    spark.sql("DROP TABLE IF EXISTS raw_events")
+    spark.range(3).write.saveAsTable("raw_events")
+    try:
+        assert "raw_events" not in catalog.teardown(spark)
+        assert spark.table("raw_events").count() == 3
+    finally:
+        spark.sql("DROP TABLE raw_events")
+
+
+@pytest.mark.parametrize("table", ["dq_alerts", "dq_alerts_simple", "serving_alerts"])
+def test_every_alert_table_can_be_served(spark, sf_medium, tmp_path, table):
+    raw = derived.read_raw(spark, sf_medium)
+    rows = getattr(Firewall(), table)(raw).withColumn("current_error_pct", F.lit(None).cast("double"))
+    tables.write_batch(rows, str(tmp_path), table, 0, F.col("ts"))
+    rejects = Firewall().quarantine_events(raw).withColumn("violations", F.lit(None).cast("array<string>"))
+    tables.write_batch(rejects, str(tmp_path), "quarantine_events", 0, F.col("quarantined_at"))
+    shown = serving.load_snapshot(spark, str(tmp_path), table)
+    assert shown.sources.count() == 5
+    assert shown.history.filter("current IS NULL").isEmpty()
+    assert shown.dlq.filter("violations IS NULL").isEmpty() and shown.dlq.count() == 50
