@@ -136,7 +136,7 @@ def test_stems_become_words_or_stems():
 
 def toxic_rows():
     rng = random.Random(2)
-    plain = [f"word{i}" for i in range(300)]
+    plain = ["".join(rng.choice("abcdeno") for _ in range(6)) for _ in range(300)]
     rows = []
     for i in range(600):
         words = [rng.choice(plain) for _ in range(60)]
@@ -189,7 +189,7 @@ def test_licences_of_documents(spark, sf_small):
         (10_002, "He passed the driving test and got his license under the old rules."),
         (10_003, None),
         (10_004, ""),
-        (10_005, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+        (10_005, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal"),
         (10_006, "words " * 50_000 + "\nAll rights reserved."),
         (10_006, "words " * 50_000 + "\nAll rights reserved."),
     ]
