@@ -35,7 +35,7 @@ from sluicegate.llm.common import stored
 
 # Pages per run of paths, and the bound of the sample of URLs that cuts hosts into runs.
 RUN_PAGES = 2000
-SAMPLE_URLS = 1 << 16
+SAMPLE_URLS = 1 << 14
 # A neighbour with more than this part of a page's own words is a copy of it.
 COPY_SHARE = 0.5
 
@@ -273,7 +273,8 @@ def main_text(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     total = rows.count()
     wanted = max(1, total // run_pages)
     # A bounded sample that reruns repeat; every page is then placed.
-    sample = rows.select("url", "page_id").orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(SAMPLE_URLS)
+    chosen = F.pmod(F.xxhash64("url", "page_id"), F.lit(1 << 30)) <= (SAMPLE_URLS << 30) // max(1, total)
+    sample = rows.select("url", "page_id").filter(chosen).distinct()
     places = sorted(_key(r.url, r.page_id) for r in sample.collect())
     cuts = sorted({places[len(places) * i // wanted] for i in range(1, wanted)}) if places else []
     parsed = stored(_parsed(rows, cuts), "lines")
