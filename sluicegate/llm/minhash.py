@@ -22,19 +22,20 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import Words, fresh, grams, stored, text_slices
+from sluicegate.llm.common import Words, grams, mixed, stored, text_slices
 from sluicegate.llm.components import components
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 64
 BANDS = 16
 LIKE = 0.8
+MAP_BITS = 1 << 24
+SALTS = 16
 _SEED = 20240613
 # Text per run of neighbouring ids.
 RUN_BYTES = 8 << 20
@@ -163,9 +164,135 @@ def with_next(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
                     names=names,
                 )
 
-    sorted_runs = placed.repartition("run").sortWithinPartitions(*order).select("doc_id", "text", "run", "tail")
+    sorted_runs = placed.repartition(len(heads) or 1, "run").sortWithinPartitions(*order).select("doc_id", "text", "run", "tail")
     return sorted_runs.mapInArrow(
         work,
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     )
+
+
+def bands(signatures: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per band of each signature (rows)."""
+    parts = signatures.reshape(len(signatures), BANDS, PERMUTATIONS // BANDS).astype(np.uint64)
+    out = np.zeros((len(signatures), BANDS), np.uint64) + mixed(np.arange(BANDS, dtype=np.uint64))
+    for j in range(PERMUTATIONS // BANDS):
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
+    return out
+
+
+def _set_key(values: np.ndarray) -> int:
+    """A 64-bit key of a set of shingles, given sorted and without repeats."""
+    spread = mixed(values.astype(np.uint64))
+    both = np.array([len(values)], np.uint64) + spread.sum(dtype=np.uint64)
+    return int(mixed(both ^ np.bitwise_xor.reduce(spread, initial=np.uint64(0))).view(np.int64)[0])
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """(doc_id, set_key, buckets) of every row; a bucket is a band's number and content."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in text_slices(batch.column(1)):
+                sets = [np.unique(s) for s in shingles(texts)]
+                found = bands(np.stack([signature(s) for s in sets])).view(np.int64)
+                buckets = [b.tolist() if len(s) else [] for s, b in zip(sets, found, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(texts)),
+                        pa.array([_set_key(s) for s in sets], pa.int64()),
+                        pa.array(buckets, pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "set_key", "buckets"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    return rows.mapInArrow(work, "doc_id bigint, set_key bigint, buckets array<bigint>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_key, shingles) of the keys ``wanted``, each once.
+
+    A bit map of fixed size sorts most other texts out before their sets are moved.
+    """
+    slots = wanted.select(F.expr(f"set_key & {MAP_BITS - 1}L AS slot")).distinct()
+    per_byte = slots.groupBy(F.expr("slot >> 3").alias("byte")).agg(F.sum(F.expr("1 << CAST(slot & 7 AS INT)")).alias("v"))
+    some = np.zeros(MAP_BITS // 8, np.uint8)
+    for batch in per_byte.toArrow().to_batches():
+        some[batch.column(0).to_numpy()] = batch.column(1).to_numpy().astype(np.uint8)
+    bits = docs.sparkSession.sparkContext.broadcast(some)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in text_slices(batch.column(0)):
+                sets = [np.unique(s) for s in shingles(texts)]
+                keys = np.array([_set_key(s) for s in sets], np.int64)
+                slot = keys & np.int64(MAP_BITS - 1)
+                kept = np.flatnonzero((bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[kept]), pa.array([sets[i].tobytes() for i in kept], pa.binary())],
+                    names=["set_key", "shingles"],
+                )
+
+    rows = docs.select(F.col("text").cast("string"))
+    found = rows.mapInArrow(work, "set_key bigint, shingles binary").join(wanted, "set_key", "left_semi")
+    return found.dropDuplicates(["set_key"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, like: float) -> DataFrame:
+    """The pairs (leader, set_key) whose shingle sets are alike enough, as links (u, v)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= like * (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    # A leader may have very many members: its set is sent to several tasks.
+    salted = pairs.withColumn("salt", F.expr(f"pmod(xxhash64(set_key), {SALTS})"))
+    own = sets.select(F.col("set_key").alias("leader"), F.col("shingles").alias("a"))
+    places = salted.select("leader", "salt").distinct().join(own, "leader")
+    joined = salted.join(places, ["leader", "salt"]).join(sets.withColumnRenamed("shingles", "b"), "set_key")
+    return joined.select("leader", "set_key", "a", "b").mapInArrow(work, "u bigint, v bigint")
+
+
+def near_copies(docs: DataFrame, like: float = LIKE) -> DataFrame:
+    """(doc_id, class_id) of every row: the smallest doc_id that verified links reach.
+
+    Pairs that share a band are candidates.  In each round every bucket verifies its members
+    against its leader, which then leaves the bucket; buckets whose members are all in one
+    class by then are done.  So every candidate pair is verified or in one class anyway.
+    """
+    described = stored(_described(docs), "described")
+    nodes = stored(
+        described.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("buckets").alias("buckets")), "sets"
+    )
+    members = nodes.select("set_key", F.explode("buckets").alias("bucket"))
+    shared_buckets = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = stored(members.join(shared_buckets, "bucket"), "members")
+    sets = stored(_sets(docs, members.select("set_key").distinct()), "shingles")
+    links = None
+    while True:
+        leaders = members.groupBy("bucket").agg(F.min("set_key").alias("leader"))
+        pairs = stored(members.join(leaders, "bucket").filter("set_key <> leader").select("leader", "set_key").distinct(), "pairs")
+        if pairs.isEmpty():
+            break
+        new = _verified(pairs, sets, like)
+        links = stored(new if links is None else links.union(new), "verified")
+        roots = stored(components(links), "roots")
+        rest = members.join(leaders, "bucket").filter("set_key <> leader").select("bucket", "set_key")
+        labelled = rest.join(roots, F.col("set_key") == F.col("node"), "left").withColumn("label", F.coalesce("root", "set_key"))
+        open_buckets = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        members = stored(rest.join(open_buckets.filter("low <> high").select("bucket"), "bucket"), "members")
+    tied = nodes.select("set_key", "first_id")
+    if links is not None:
+        tied = tied.join(roots, F.col("set_key") == F.col("node"), "left")
+        tied = tied.select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
+    else:
+        tied = tied.withColumn("root", F.col("set_key"))
+    smallest = tied.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    named = tied.join(smallest, "root").select("set_key", "class_id")
+    return described.join(named, "set_key").select("doc_id", "class_id")

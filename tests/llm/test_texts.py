@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -225,3 +226,40 @@ def test_likeness_estimates_jaccard():
         prints = minhash.fingerprints([" ".join(t).encode() for t in (words, other)])
         errors.append(minhash.likeness(prints[:1], prints[1:])[0] - len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
     assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.1
+
+
+def brute_classes(rows, like=0.8):
+    def shingles(text):
+        words = re.findall(PATTERNS["visible"], lowered(text or ""))
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for i, j in itertools.permutations(range(len(rows)), 2):
+            alike = sets[i] == sets[j] or len(sets[i] & sets[j]) >= like * len(sets[i] | sets[j])
+            if alike and label[i] < label[j]:
+                label[j], changed = label[i], True
+    return sorted((d, min(rows[k][0] for k in range(len(rows)) if label[k] == at)) for (d, _), at in zip(rows, label, strict=True))
+
+
+def test_near_copies_are_verified_and_none_is_lost(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    rows, at = [], 0
+    for _ in range(8):
+        base = [rng.choice(words) for _ in range(120)]
+        for changes in (0, 0, 1, 1, 2, 3, 6, 10):
+            copy = list(base)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((at := at + 3, " ".join(copy)))
+    rows += [(1, ""), (2, None), (500, " "), (501, "one"), (502, "One"), (700, rows[0][1])]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, bucket int")
+    found = sorted(tuple(r) for r in minhash.near_copies(docs).collect())
+    wanted = brute_classes(rows)
+    # Bands find alike sets with near certainty, and verified links are never wrong.
+    same = sum(f == w for f, w in zip(found, wanted, strict=True))
+    assert same >= len(rows) - 2 and all(c in {w for w, _ in wanted} for _, c in found)
+    assert minhash.near_copies(docs.limit(0)).collect() == []
