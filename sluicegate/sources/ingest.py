@@ -45,13 +45,16 @@ def stream_kafka(
     servers: str,
     topic: str = "raw_events",
     schema: T.StructType = schemas.PAYLOAD,
+    max_messages: int | None = 5_000_000,
     **options: object,
 ) -> DataFrame:
     """Decoded messages of a topic from its start; needs Spark's Kafka connector.
 
     Raw events by default; the schema of an output table reads that table back.
+    ``max_messages`` bounds a micro-batch, as a replay would else be one; None lifts it.
     """
-    return wire.decode(_kafka_messages(spark.readStream, servers, topic, options), schema)
+    bound = {"maxOffsetsPerTrigger": max_messages} if max_messages else {}
+    return wire.decode(_kafka_messages(spark.readStream, servers, topic, {**bound, **options}), schema)
 
 
 def read_kafka(
