@@ -17,7 +17,8 @@ def parse_iso(text: str) -> str:
     offset is UTC, whatever the session's zone.
     """
     zoned = f"""CASE WHEN length({text}) = 10 THEN {text} || 'T00:00:00Z'
-                     WHEN {text} RLIKE r'(?:Z|[+-][0-9]{{2}}:[0-9]{{2}})\\z' THEN {text} ELSE {text} || 'Z' END"""
+                     WHEN right({text}, 1) = 'Z' OR substr({text}, -6, 1) IN ('+', '-') THEN {text}
+                     ELSE {text} || 'Z' END"""
     parsed = f"timestamp_millis(unix_millis(try_cast({zoned} AS TIMESTAMP)))"
     return f"CASE WHEN {text} RLIKE r'{ISO_8601}' THEN {parsed} END"
 
