@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text that are looked at together; a longer text is looked at alone.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 _GROWTH = 0x9E3779B97F4A7C15
 
 
@@ -109,14 +109,13 @@ class Words:
         """A 64-bit polynomial hash per word, mixed."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        power, inverse = _powers(1 << int(len(self.data)).bit_length())
+        power, inverse = _powers(2 * SLICE_BYTES) if len(self.data) < 2 * SLICE_BYTES else _new_powers(len(self.data) + 1)
         total = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=total[1:])
         return mixed((total[self.ends] - total[self.starts]) * inverse[self.starts])
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     base = 0xC2B2AE3D27D4EB4F
     up = np.full(n, base, np.uint64)
@@ -125,6 +124,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _new_powers(n)
+
+
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit numbers."""
     x = values.astype(np.uint64) + np.uint64(((seed + 1) * _GROWTH) & 0xFFFFFFFFFFFFFFFF)
