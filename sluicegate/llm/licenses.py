@@ -187,7 +187,9 @@ def training_rows(docs: DataFrame) -> tuple[DataFrame, dict[str, list[tuple[list
     """
     spark = docs.sparkSession
     some = docs.select("doc_id", F.col("text").cast("string")).filter("text IS NOT NULL")
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS)
+    # About SAMPLE_DOCS different rows, chosen by a hash: no sorting, and reruns choose the same.
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) <= (SAMPLE_DOCS << 30) // max(1, docs.count())
+    some = some.filter(chosen).dropDuplicates(["doc_id", "text"])
     lines = some.select(F.explode(F.split("text", "\n")).alias("text")).filter("length(text) > 0")
     lines = lines.distinct().orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS)
     lines = stored(lines.withColumn("words", words(F.col("text"))), "paragraphs")

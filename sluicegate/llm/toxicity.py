@@ -195,18 +195,18 @@ def is_held_out(doc_id: str = "doc_id") -> F.Column:
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, toxic, early) of a bounded number of labelled rows, picked by a hash of the id.
 
-    ``early`` marks the first ``rows`` of either label.
+    ``early`` marks about ``rows`` of either label.  Nothing is sorted; reruns pick the same.
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(~is_held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    toxic = known.filter("toxic = 1").orderBy(*order).limit(rows).withColumn("early", F.lit(True))
-    clean = known.filter("toxic = 0").orderBy(*order)
-    first = clean.limit(rows).withColumn("early", F.lit(True))
-    more = clean.offset(rows).limit((CLEAN_PER_TOXIC - 1) * rows).withColumn("early", F.lit(False))
-    # At most five times ``rows`` ids, whatever the size of the corpus.
-    picked = F.broadcast(toxic.union(first).union(more))
+    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    part = {label: (rows << 30) // max(1, n) for label, n in sizes.items()}
+    early = F.when(F.col("toxic") == 1, place <= part.get(1, 0)).otherwise(place <= part.get(0, 0))
+    wanted = early | ((F.col("toxic") == 0) & (place <= CLEAN_PER_TOXIC * part.get(0, 0)))
+    # About five times ``rows`` ids, whatever the size of the corpus.
+    picked = F.broadcast(stored(known.filter(wanted).withColumn("early", early), "picked"))
     return docs.select("doc_id", F.col("text").cast("string")).join(picked, "doc_id").drop("doc_id")
 
 
