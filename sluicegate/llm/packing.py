@@ -23,7 +23,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from unicodedata import is_normalized
 
 import numpy as np
@@ -40,11 +40,13 @@ FILE_BYTES = 8 << 20
 BLOCK_IDS = 1 << 18
 BLOCKS_PER_FILE = 64
 # Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 MAGIC, VERSION, SEPARATOR = b"SGTK", 1, "\x1eSG-END\x1e"
 _HEAD = struct.Struct("<4sBBHIQ")
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# ASCII marks but the apostrophe, which may begin a piece of letters.
+_MARK = np.isin(np.arange(256), [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"])
 
 
 def byte_characters() -> list[str]:
@@ -59,10 +61,10 @@ class Encoder:
     """Encodes texts through the library, each different word once.
 
     The vocabulary's pieces never reach over white space, so a text's ids are those of its
-    words in turn.  ASCII letters are lower-cased first, as the library does, and a full
-    stop or comma between a letter and white space becomes a word of its own, as it is a
-    piece of its own.  A word of lower-case letters alone is one piece, and goes straight to
-    the library's model; all other words take the library's whole way.
+    words in turn.  ASCII letters are lower-cased first, as the library does, and a word is cut
+    between a letter and a mark, as a piece ends there.  A word of lower-case letters alone
+    is one piece, and goes straight to the library's model; all other words take the
+    library's whole way.
     """
 
     def __init__(self, path: str) -> None:
@@ -86,11 +88,11 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _piece(self, word: str) -> list[int]:
-        written = "".join(map(self.characters.__getitem__, word.encode()))
+        written = word if word.isascii() else "".join(map(self.characters.__getitem__, word.encode()))
         return [t.id for t in self.tokenizer.model.tokenize(written)]
 
     def _learn(self, words: list[bytes]) -> None:
-        new = list(set(words).difference(self.known))
+        new = list(dict.fromkeys(words))
         for first in range(0, len(new), 8192):
             some = new[first : first + 8192]
             texts = [w.decode() for w in some]
@@ -120,8 +122,9 @@ class Encoder:
         data = np.frombuffer(whole.lower(), np.uint8)
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         letter = (data >= 97) & (data <= 122)
-        mark = (data == 44) | (data == 46)
-        cut = np.flatnonzero(letter[:-2] & mark[1:-1] & _BLANK[data[2:]]) + 1
+        # Two-byte letters of western languages: all of their block but the signs for times and division.
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        cut = np.flatnonzero(letter[:-1] & _MARK[data[1:]]) + 1
         ends = ends + np.searchsorted(cut, ends)
         data = np.insert(data, cut, np.uint8(32))
         blank = _BLANK[data]
@@ -133,8 +136,12 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.forget()
         words, bounds = self._words(texts)
-        self._learn(words)
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        index = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            self._learn(new)
+            index[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
         first, sizes = self.starts[index], self.starts[index + 1] - self.starts[index]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.repeat(first - upto[:-1], sizes) + np.arange(upto[-1])]
