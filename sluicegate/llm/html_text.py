@@ -6,7 +6,10 @@ in.  Pages are then paired with a neighbour in the order of URL paths within the
 the lines of both are aligned by a longest common subsequence, and shared lines go.
 
 A page that marks its article keeps the article's own lines though a neighbour has them
-too: passages that two articles share are text, and only what stands outside is furniture.
+too: passages that two articles share are text.  Every other line, with an article or
+without, is decided by differencing.  A page without a neighbour to tell by is its article,
+or all its lines.
+
 A neighbour that shares most of a page is a copy of it and tells nothing; the other one is
 taken.
 
@@ -159,11 +162,15 @@ def lines(page: str) -> list[Line]:
     return out
 
 
+def page_lines(page: str | None) -> list[tuple[str, bool]]:
+    """(text, stays even if shared) of all lines but menus of links; the article's lines stay."""
+    return [(line.text, line.main) for line in lines(page or "") if line.main or not line.links]
+
+
 def candidate_lines(page: str | None) -> list[tuple[str, bool]]:
-    """(text, stays even if shared): the article's lines, or all lines but menus of links."""
-    found = lines(page or "")
-    own = [(line.text, True) for line in found if line.main]
-    return own or [(line.text, False) for line in found if not line.links]
+    """The lines of a page without a neighbour: the article's, or all."""
+    found = page_lines(page)
+    return [line for line in found if line[1]] or found
 
 
 def shared(a: list[int], b: list[int]) -> list[int]:
@@ -218,16 +225,17 @@ def _parsed(pages: DataFrame, cuts: list[str]) -> DataFrame:
                 part = batch.slice(first, 512)
                 rows = []
                 for page_id, url, page in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    found = candidate_lines(page)
+                    found = page_lines(page)
                     texts = [t for t, _ in found]
                     place = _key(url, page_id)
-                    row_key = xxhash.xxh64_intdigest(f"{place}\0{url}\0" + "\n".join(texts)) - (1 << 63)
+                    stays = [s for _, s in found]
+                    row_key = xxhash.xxh64_intdigest(f"{place}\0{url}\0{stays}" + "\n".join(texts)) - (1 << 63)
                     hashes = [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]
                     sizes = [t.count(" ") + 1 for t in texts]
                     run = bisect.bisect_right(cuts, place)
-                    rows.append((row_key, place, run, texts, hashes, sizes, bool(found) and found[0][1]))
+                    rows.append((row_key, place, run, texts, hashes, sizes, stays))
                 columns = zip(*rows, strict=True)
-                kinds = [pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.bool_()]
+                kinds = [pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_())]
                 arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays], names=names)
 
@@ -235,7 +243,7 @@ def _parsed(pages: DataFrame, cuts: list[str]) -> DataFrame:
     return pages.mapInArrow(
         work,
         f"page_id {kind}, url string, row_key bigint, place string, run int, "
-        "texts array<string>, hashes array<bigint>, sizes array<int>, fixed boolean",
+        "texts array<string>, hashes array<bigint>, sizes array<int>, fixed array<boolean>",
     )
 
 
@@ -247,12 +255,12 @@ def _like(a: str, b: str) -> int:
 
 
 def difference(frame: pd.DataFrame) -> pd.DataFrame:
-    """(row_key, gone) of the pages of a run: positions of lines shared with the nearest page."""
+    """(row_key, gone) of the pages of a run: positions of lines that are not main text."""
     order = sorted(range(len(frame)), key=list(zip(frame["place"], frame["row_key"], strict=True)).__getitem__)
     frame = frame.iloc[order]
     places, keys = frame["place"].tolist(), frame["row_key"].tolist()
     hashes = [list(h) for h in frame["hashes"]]
-    sizes, fixed = [list(s) for s in frame["sizes"]], frame["fixed"].tolist()
+    sizes, fixed = [list(s) for s in frame["sizes"]], [list(f) for f in frame["fixed"]]
     out: list[tuple[int, list[int]]] = []
     for i, key in enumerate(keys):
         near = [j for j in (i - 1, i + 1) if 0 <= j < len(keys) and _like(places[i], places[j]) >= 0]
@@ -260,10 +268,12 @@ def difference(frame: pd.DataFrame) -> pd.DataFrame:
             same = shared(hashes[i], hashes[j])
             if sum(sizes[i][k] for k in same) > COPY_SHARE * sum(sizes[i]):
                 continue  # a copy of the page
-            gone = [] if fixed[i] else same
-            if gone:
-                out.append((key, gone))
+            gone = [k for k in same if not fixed[i][k]]
             break
+        else:
+            gone = [k for k, stays in enumerate(fixed[i]) if not stays] if any(fixed[i]) else []
+        if gone:
+            out.append((key, gone))
     return pd.DataFrame(out, columns=["row_key", "gone"])
 
 

@@ -75,6 +75,14 @@ def test_pages_lose_what_their_neighbour_has(spark):
     assert html_text.main_text(pages.limit(0)).collect() == []
 
 
+def test_differencing_decides_outside_the_article(spark):
+    page = "<div>Top {}</div><article><p>Story {} has many words of its own</p><p>Same passage</p></article><div>Our house and its rules</div><div>Own note {}</div>"
+    rows = [(i, f"http://h/{i}", page.format("story", i, i)) for i in range(6)] + [(9, "http://alone/", page.format("x", 9, 9))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert texts == {i: f"Story {i} has many words of its own\nSame passage\nOwn note {i}" for i in range(6)} | {9: "Story 9 has many words of its own\nSame passage"}
+
+
 def mixed_rows():
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a", "b", "c", "d", None, "a", "a"])) for i in range(400)]
