@@ -10,11 +10,12 @@ too: passages that two articles share are text.  Every other line, with an artic
 without, is decided by differencing.  A page without a neighbour to tell by is its article,
 or all its lines.
 
-A neighbour that shares most of a page is a copy of it and tells nothing; the other one is
-taken.
+Neighbours in a row that share most of each other are a block.  A page is held against the
+pages beside it and those beside its block, however long that is; see ``_gone``.
 
 Hosts are cut into runs of neighbouring paths on a bounded sample of URLs, so that no host
-is one task.  The pairing sees hashes of lines; texts stay where they are.
+is one task.  A run also gets the pages that its ends need from other runs, so texts do not
+depend on where the cuts are.  The pairing sees hashes of lines; texts stay where they are.
 
 Null and empty pages have empty text.  Null URLs are a host of their own.  Repeated rows
 are one page to the pairing and get the same text.  An empty table gives no rows.
@@ -25,7 +26,7 @@ from __future__ import annotations
 import bisect
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -39,7 +40,7 @@ from sluicegate.llm.common import stored
 # Pages per run of paths, and the bound of the sample of URLs that cuts hosts into runs.
 RUN_PAGES = 2000
 SAMPLE_URLS = 1 << 14
-# A neighbour with more than this part of a page's own words is a copy of it.
+# A neighbour with more than this part of a page's words may be a copy of it.
 COPY_SHARE = 0.5
 
 # Elements without content for a reader, furniture, blocks, and empty elements.
@@ -254,29 +255,143 @@ def _like(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
+class _Run:
+    """The pages of a run in order, with those carried from other runs."""
+
+    def __init__(self, frame: pd.DataFrame) -> None:
+        order = sorted(range(len(frame)), key=list(zip(frame["place"], frame["row_key"], strict=True)).__getitem__)
+        frame = frame.iloc[order]
+        self.places, self.keys = frame["place"].tolist(), frame["row_key"].tolist()
+        self.hashes = [list(h) for h in frame["hashes"]]
+        self.sizes, self.fixed = [list(s) for s in frame["sizes"]], [list(f) for f in frame["fixed"]]
+        self.totals = [sum(s) for s in self.sizes]
+        self.carried = frame["carried"].tolist()
+
+    def words(self, i: int, lines: Iterable[int]) -> int:
+        return sum(self.sizes[i][k] for k in lines)
+
+    def linked(self, i: int) -> bool:
+        """Whether page i and the next one share most of either, so that one may copy the other."""
+        if _like(self.places[i], self.places[i + 1]) < 0:
+            return False
+        same = shared(self.hashes[i], self.hashes[i + 1])
+        return self.words(i, same) > COPY_SHARE * max(self.totals[i], self.totals[i + 1])
+
+
+def _gone(run: _Run, i: int, near: list[int]) -> list[int]:
+    """Positions of the lines that page i loses to the nearest of the pages ``near``.
+
+    A page that has all of page i tells nothing.  One that has most of it is a copy, unless
+    most of what they share is also in a page that has less of page i: then it is furniture.
+    Where all pages have most of page i, it is furniture too.
+    """
+    loose = [k for k, stays in enumerate(run.fixed[i]) if not stays]
+    if not loose:
+        return []
+    taken: list[int] | None = None
+    for j in sorted(set(near), key=lambda j: (-_like(run.places[i], run.places[j]), abs(i - j) > 1, j)):
+        same = shared(run.hashes[i], run.hashes[j])
+        if len(same) == len(run.hashes[i]):
+            continue
+        if run.words(i, same) > COPY_SHARE * run.totals[i]:
+            taken = same if taken is None else taken
+            continue
+        if taken is None or 2 * run.words(i, set(taken).intersection(same)) < run.words(i, taken):
+            taken = same
+        break
+    if taken is None:
+        return loose if len(loose) < len(run.hashes[i]) else []
+    return [k for k in taken if not run.fixed[i][k]]
+
+
 def difference(frame: pd.DataFrame) -> pd.DataFrame:
     """(row_key, gone) of the pages of a run: positions of lines that are not main text."""
-    order = sorted(range(len(frame)), key=list(zip(frame["place"], frame["row_key"], strict=True)).__getitem__)
-    frame = frame.iloc[order]
-    places, keys = frame["place"].tolist(), frame["row_key"].tolist()
-    hashes = [list(h) for h in frame["hashes"]]
-    sizes, fixed = [list(s) for s in frame["sizes"]], [list(f) for f in frame["fixed"]]
+    run = _Run(frame)
+    n = len(run.keys)
+    # Of two carried pages at one end, the inner one is of the end's block and the outer one beside it.
+    linked = [not (run.carried[i] and run.carried[i + 1]) and run.linked(i) for i in range(n - 1)]
+    low, high = list(range(-1, n - 1)), list(range(1, n + 1))
+    for i in range(1, n):
+        low[i] = low[i - 1] if linked[i - 1] else i - 1
+    for i in range(n - 2, -1, -1):
+        high[i] = high[i + 1] if linked[i] else i + 1
     out: list[tuple[int, list[int]]] = []
-    for i, key in enumerate(keys):
-        near = [j for j in (i - 1, i + 1) if 0 <= j < len(keys) and _like(places[i], places[j]) >= 0]
-        for j in sorted(near, key=lambda j: (-_like(places[i], places[j]), j)):
-            same = shared(hashes[i], hashes[j])
-            if sum(sizes[i][k] for k in same) > COPY_SHARE * sum(sizes[i]):
-                continue  # a copy of the page
-            gone = [k for k in same if not fixed[i][k]]
-            break
-        else:
-            gone = [k for k, stays in enumerate(fixed[i]) if not stays] if any(fixed[i]) else []
+    for i, key in enumerate(run.keys):
+        if run.carried[i]:
+            continue
+        near = (j for j in (i - 1, i + 1, low[i], high[i]) if 0 <= j < n)
+        gone = _gone(run, i, [j for j in near if _like(run.places[i], run.places[j]) >= 0])
         if gone:
             out.append((key, gone))
     return pd.DataFrame(out, columns=["row_key", "gone"])
 
 
+def _ends(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row per run: whether its first page is linked to the carried page before it, and
+    the first page behind its first block and the last page before its last block, if any."""
+    run = _Run(frame)
+    own = run.carried.index(False)
+    number = int(frame["run"].iloc[0])
+    low, high = own, len(run.keys) - 1
+    while low < high and run.linked(low):
+        low += 1
+    while high > own and run.linked(high - 1):
+        high -= 1
+    behind = low + 1 if low + 1 < len(run.keys) else None
+    before = high - 1 if high > own else None
+    row = [number, own > 0 and run.linked(own - 1)]
+    for i in (behind, before):
+        row += [None, None] if i is None else [run.places[i], run.keys[i]]
+    return pd.DataFrame([row], columns=["run", "joined", "behind_place", "behind_key", "before_place", "before_key"])
+
+
+def _placed(seen: DataFrame, more: list[tuple[int, str, int]]) -> DataFrame:
+    """The pages in their runs, and once more in each run that ``more`` (to, place, key) names."""
+    spark = seen.sparkSession
+    # A few rows per run, of which there are fewer than sampled URLs.
+    wanted = spark.createDataFrame(sorted(set(more)), "to int, at string, key long").groupBy("at", "key").agg(F.collect_list("to").alias("to"))
+    same = (F.col("place") == F.col("at")) & (F.col("row_key") == F.col("key"))
+    own = F.array(F.struct(F.col("run").alias("run"), F.lit(False).alias("carried")))
+    others = F.transform(F.coalesce("to", F.array().cast("array<int>")), lambda r: F.struct(r.alias("run"), F.lit(True).alias("carried")))
+    joined = seen.join(F.broadcast(wanted), same, "left").withColumn("runs", F.concat(own, others)).drop("run")
+    return joined.select("place", "row_key", "hashes", "sizes", "fixed", F.inline("runs"))
+
+
+def _carried(seen: DataFrame) -> list[tuple[int, str, int]]:
+    """(run, place, row_key) of the pages that each run needs from other ones: those beside
+    it, and those beside the blocks that its first and its last page belong to."""
+    page = F.struct("place", "row_key")
+    found = seen.groupBy("run").agg(F.min(page).alias("first"), F.max(page).alias("last")).orderBy("run").collect()
+    runs = [r.run for r in found]
+    first, last = [tuple(r.first) for r in found], [tuple(r.last) for r in found]
+    beside = [(runs[i], *last[i - 1]) for i in range(1, len(runs))]
+    ends = _placed(seen, beside).groupBy("run").applyInPandas(
+        _ends, "run int, joined boolean, behind_place string, behind_key long, before_place string, before_key long"
+    )
+    end = sorted(ends.collect(), key=lambda r: r.run)
+    out = beside + [(runs[i], *first[i + 1]) for i in range(len(runs) - 1)]
+    # The nearest page before a run, and behind it, that is in another block.
+    before = None
+    for i in range(1, len(runs)):
+        within = (end[i - 1].before_place, end[i - 1].before_key)
+        if not end[i].joined:
+            before = last[i - 1]
+        elif within[0] is not None:
+            before = within
+        if before:
+            out.append((runs[i], *before))
+    behind = None
+    for i in range(len(runs) - 2, -1, -1):
+        within = (end[i + 1].behind_place, end[i + 1].behind_key)
+        if not end[i + 1].joined:
+            behind = first[i + 1]
+        elif within[0] is not None:
+            behind = within
+        if behind:
+            out.append((runs[i], *behind))
+    return out
+
+
 def main_text(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     rows = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
@@ -289,8 +404,9 @@ def main_text(pages: DataFrame, run_pages: int = RUN_PAGES) -> DataFrame:
     cuts = sorted({places[len(places) * i // wanted] for i in range(1, wanted)}) if places else []
     parsed = stored(_parsed(rows, cuts), "lines")
     seen = parsed.filter("size(hashes) > 0").select("run", "place", "row_key", "hashes", "sizes", "fixed")
-    seen = seen.dropDuplicates(["run", "row_key"])
-    gone = seen.groupBy("run").applyInPandas(difference, "row_key bigint, gone array<int>")
+    seen = stored(seen.dropDuplicates(["run", "row_key"]), "seen")
+    placed = _placed(seen, _carried(seen))
+    gone = placed.groupBy("run").applyInPandas(difference, "row_key bigint, gone array<int>")
     gone = stored(gone, "shared").withColumnRenamed("row_key", "key")
     kept = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(
         F.filter("texts", lambda t, i: ~F.array_contains("gone", i))

@@ -83,6 +83,22 @@ def test_differencing_decides_outside_the_article(spark):
     assert texts == {i: f"Story {i} has many words of its own\nSame passage\nOwn note {i}" for i in range(6)} | {9: "Story 9 has many words of its own\nSame passage"}
 
 
+def test_furniture_goes_beside_copies_and_across_runs(spark):
+    frame = "<div>A long line of furniture that every page of this site has</div>{}<div>Imprint and more of it</div>"
+    rows = [(i, f"http://short/{i:02}", frame.format(f"<p>Text {i}</p>")) for i in range(12)]
+    story = "<p>One story told at length, many words</p><p>and its second half, many more words</p><p>and its end, also of many words indeed</p>"
+    rows += [(100 + i, f"http://copies/a?copy={i}", frame.format(story)) for i in range(9)]
+    rows += [(200 + i, f"http://near/a{i}", frame.format(story + f"<p>Read {i} times</p>")) for i in range(9)]
+    rows += [(300 + i, f"http://{h}/b", frame.format("<p>Quite another text of some length, in all its words</p>")) for i, h in enumerate(("copies", "near"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    told = "One story told at length, many words\nand its second half, many more words\nand its end, also of many words indeed"
+    wanted = {i: f"Text {i}" for i in range(12)} | {100 + i: told for i in range(9)}
+    wanted |= {200 + i: f"{told}\nRead {i} times" for i in range(9)}
+    wanted |= {300 + i: "Quite another text of some length, in all its words" for i in range(2)}
+    for run_pages in (1, 2, 3, 5, 2000):
+        assert {r.page_id: r.text for r in html_text.main_text(pages, run_pages).collect()} == wanted, run_pages
+
+
 def mixed_rows():
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a", "b", "c", "d", None, "a", "a"])) for i in range(400)]
