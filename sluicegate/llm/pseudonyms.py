@@ -28,6 +28,29 @@ ROUNDS = 10
 # The span of dates, and the characters of mail names and account numbers.
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Characters of an account number by country.
+_BY_LENGTH = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FO GL NL",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU",
+    31: "MT SC",
+    32: "LC",
+}
+IBAN_LENGTHS = {country: n for n, countries in _BY_LENGTH.items() for country in countries.split()}
+# Longer mail names are permuted in parts of so many characters.
+MAIL_PART = 64
 
 _NUMBERS = re.compile(
     r"""(?<![0-9A-Za-z.+-])(?:
@@ -41,7 +64,7 @@ _NUMBERS = re.compile(
     )""",
     re.X,
 )
-_MAIL_NAME = re.compile(r"[A-Za-z0-9._%+-]*\Z")
+_MAIL_NAME = frozenset(DIGITS + LOWER + UPPER + "._%+-")
 _MAIL_HOST = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,24}")
 _ANY = re.compile("[0-9@]")
 
@@ -158,6 +181,13 @@ def _iban(key: bytes, text: str, back: bool) -> str | None:
     return "".join(c if c == " " else next(rest) for c in text)
 
 
+def _iban_ends(text: str) -> list[int]:
+    """Where an account number that starts ``text`` may end: by its country first, then the longest first."""
+    ends = [i for i in range(len(text), 0, -1) if i == len(text) or text[i] == " "]
+    wanted = IBAN_LENGTHS.get(text[:2])
+    return sorted(ends, key=lambda i: i - text.count(" ", 0, i) != wanted)
+
+
 def _date(key: bytes, text: str, back: bool) -> str | None:
     sep = next(c for c in text if c not in DIGITS)
     parts = text.split(sep)
@@ -245,9 +275,10 @@ def _mails(text: str) -> Iterator[tuple[int, int, int]]:
     """(start, at, end) of mail addresses, the at sign in between."""
     at = text.find("@")
     while at >= 0:
-        name = _MAIL_NAME.search(text, max(0, at - 64), at)
         host = _MAIL_HOST.match(text, at + 1)
-        start = name.start() if name else at
+        start = at
+        while start and text[start - 1] in _MAIL_NAME:
+            start -= 1
         while start < at and text[start] in "._%+-":
             start += 1
         if start < at and host:
@@ -255,6 +286,14 @@ def _mails(text: str) -> Iterator[tuple[int, int, int]]:
         at = text.find("@", at + 1)
 
 
+def _mail_name(key: bytes, host: str, name: str, back: bool) -> str:
+    purpose = "mail@" + host.lower()
+    out = [_characters(key, purpose, name[:MAIL_PART], back)]
+    for at in range(MAIL_PART, len(name), MAIL_PART):
+        out.append(_characters(key, f"{purpose}/{at}", name[at : at + MAIL_PART], back))
+    return "".join(out)
+
+
 def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of what was replaced, in its own positions."""
     if not _ANY.search(text):
@@ -262,23 +301,30 @@ def pseudonymised(text: str, key: bytes, back: bool = False) -> tuple[str, list[
     found: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
     for start, at, end in _mails(text):
-        found.append((start, end, "mail", _characters(key, "mail@" + text[at + 1 : end].lower(), text[start:at], back) + text[at:end]))
+        found.append((start, end, "mail", _mail_name(key, text[at + 1 : end], text[start:at], back) + text[at:end]))
         taken.append((start, end))
     pos, mails = 0, iter([*taken, (len(text) + 1, 0)])
     mail = next(mails)
     while match := _NUMBERS.search(text, pos):
         while mail[1] and mail[1] <= match.start():
             mail = next(mails)
-        if mail[0] < match.end() and match.start() < mail[1]:
-            pos = mail[1]
-            continue
         kind = match.lastgroup if match.lastgroup in _KINDS else next(k for k in _KINDS if match[k])
-        new = _KINDS[kind](key, match[kind], back)
+        value, new = match[kind], None
+        sizes = _iban_ends(value) if kind == "iban" else [len(value)]
+        if mail[0] < match.end() and match.start() < mail[1]:
+            sizes = [n for n in sizes if match.start() + n <= mail[0]]
+            if not sizes:
+                pos = mail[1]
+                continue
+        for size in sizes:
+            new = _KINDS[kind](key, value[:size], back)
+            if new is not None:
+                break
         if new is None:
             pos = match.start() + 1
             continue
-        found.append((match.start(), match.end(), kind, new))
-        pos = match.end()
+        found.append((match.start(), match.start() + size, kind, new))
+        pos = match.start() + size
     out, done = [], 0
     for start, end, _, new in sorted(found):
         out += [text[done:start], new]

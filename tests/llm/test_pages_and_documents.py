@@ -275,6 +275,24 @@ def test_values_keep_their_format_and_check(kind, value):
     assert pseudonyms.pseudonymised(text, b"other")[0] != new
 
 
+@pytest.mark.parametrize("after", [" BIC", " 42", " BIC CAIXESBB", " USE 12 ABCD", " DE89 3704 0044 0532 0130 00", " AB12@x.org", " or so", ""])
+@pytest.mark.parametrize("value", ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947"])
+def test_account_numbers_end_before_other_words(value, after):
+    new, spans = pseudonyms.pseudonymised(f"to {value}{after}", KEY)
+    assert spans[0] == ("iban", 3, 3 + len(value)) and value not in new
+    assert len(spans) == 1 + after.startswith((" DE", " AB"))
+    assert pseudonyms.pseudonymised(new, KEY, back=True)[0] == f"to {value}{after}"
+
+
+def test_long_mail_names_are_replaced_whole():
+    name = "anna.maria" * 20
+    text = f"mail {name}@example.com now"
+    new, spans = pseudonyms.pseudonymised(text, KEY)
+    assert spans == [("mail", 5, 5 + len(name) + len("@example.com"))]
+    assert "anna" not in new and "maria" not in new
+    assert pseudonyms.pseudonymised(new, KEY, back=True)[0] == text
+
+
 @pytest.mark.parametrize(
     "text", ["", "4944339490429606", "999.1.1.1", "2021-13-45", "1.2.3.4.5", "a@b", "123-00-6789", "version 1.2", "1234", "DE88 3704 0044 0532 0130 00"]
 )
