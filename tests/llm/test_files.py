@@ -67,6 +67,15 @@ def test_files_hold_all_documents_in_order(spark):
     assert one.ids == [*Tokenizer.from_file(PATH).encode(rows[17][1], add_special_tokens=False).ids, 1]
 
 
+def test_files_beyond_five_digits_keep_their_order(spark):
+    order = ["part-00009-u-c000.txt", "part-99999-u-c000.txt", "part-99999-u-c999.txt", "part-99999-u-c1000.txt"]
+    order += ["part-100000-u-c000.txt", "part-100001-c1-2d-c000.txt", "part-1000000-u-c000.txt"]
+    rows = [(name, 10 * i + k, 5 * k, 5, 0) for i, name in enumerate(order) for k in range(2)]
+    found = packing.placed(spark.createDataFrame(rows, "file string, doc_id long, within long, n_tokens long, ids_crc32 long"))
+    starts = {r.doc_id: r.start for r in found.collect()}
+    assert starts == {10 * i + k: 10 * i + 5 * k for i in range(len(order)) for k in range(2)}
+
+
 def test_token_files_of_repeated_null_and_no_rows(spark):
     rows = [(None, "x"), (2, "a b"), (2, "a b"), (5, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
