@@ -16,6 +16,7 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -59,7 +60,7 @@ REPORTS = """said says wrote quoted called reported according sagte sagt schrieb
     écrit selon rapporte dijo dice escribió según""".split()
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-_CLAUSE_ENDS = ".!?;\n"
+_CLAUSE_END = re.compile(r"[.!?;\n]")
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 
@@ -166,14 +167,16 @@ class Reader:
         """How many clauses of each kind the text has; only matched clauses are read."""
         found: Counter[str] = Counter()
         text, done = text.lower(), 0
+        stops: list[int] | None = None
         for end, size in self.anchors.iter(text):
             start = end - size + 1
             if start < done or (start and text[start - 1].isalpha()):
                 continue
-            begin = max(done, *(text.rfind(mark, done, start) + 1 for mark in _CLAUSE_ENDS))
-            stops = [at for mark in _CLAUSE_ENDS if (at := text.find(mark, end + 1, end + 2000)) >= 0]
-            until = min(stops, default=min(len(text), end + 2000))
-            begin = max(begin, start - 2000)
+            if stops is None:
+                stops = [m.start() for m in _CLAUSE_END.finditer(text)]
+            before, behind = bisect.bisect_left(stops, start), bisect.bisect_right(stops, end)
+            begin = max(done, stops[before - 1] + 1 if before else 0)
+            until = stops[behind] if behind < len(stops) else len(text)
             outputs = read_clause([self.symbol(w) for w in _WORD.findall(text, begin, until)])
             if outputs:
                 found[clause_kind(outputs)] += 1

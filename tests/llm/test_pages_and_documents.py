@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 
 import duckdb
@@ -153,6 +154,13 @@ def test_clauses_are_read_in_their_context():
     assert scores[0] > 0.5 > scores[1] >= scores[2]
 
 
+@pytest.mark.parametrize("gap", [10, 1990, 1991, 1992, 1993, 1994, 1995, 1996, 2000, 5000, 30_000])
+def test_clauses_are_read_whole(gap):
+    reader, far = toxicity.Reader(toxicity.Model()), ("word " * gap)[:gap] + " "
+    assert reader.kinds(f"The paper said {far}idiot {far}scum.") == {"insult reported": 1}
+    assert reader.kinds(f"idiot {far}scum. Moron {far}end") == {"insult": 2}
+
+
 def test_stems_become_words_or_stems():
     counts = [("idio", 50), ("idiot", 50), ("=idiot", 49), ("lowe", 40), ("lowei", 40), ("loweis", 12), ("=loweis", 12)]
     assert toxicity.insult_class(counts) == (frozenset({"idiot"}), ("lowei",))
@@ -197,6 +205,15 @@ def test_toxicity_of_held_out_documents(spark, sf_medium):
     assert sum(r.predicted == r.toxic for r in found) >= 0.9 * len(found)
 
 
+def test_toxic_documents_of_the_held_out_ones(spark, sf_medium):
+    large = os.path.join(os.path.dirname(sf_medium), "sf0.1")
+    docs, labels = table(spark, large, "documents"), table(spark, large, "labels")
+    found = toxicity.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").select("predicted", "toxic").collect()
+    right = sum(r.predicted == r.toxic == 1 for r in found)
+    assert right >= 0.8 * sum(r.toxic for r in found) > 0
+    assert right >= 0.9 * sum(r.predicted for r in found)
+
+
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "GPL": "licensed under the GNU General Public License, version 3",
