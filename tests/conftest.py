@@ -2,18 +2,15 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime, timedelta, timezone
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from sluicegate import schemas  # noqa: E402
 from sluicegate.session import build_session  # noqa: E402
 
 TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
-START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
 @pytest.fixture(scope="session")
@@ -40,45 +37,3 @@ def sf_small():
 @pytest.fixture(scope="session")
 def sf_medium():
     return f"{TESTDATA}/sf0.01"
-
-
-def event(second: float = 0.0, **changes):
-    """One valid raw event received ``second`` seconds after the start."""
-    received = START + timedelta(seconds=second)
-    row = {
-        "event_id": f"e-{second}",
-        "source": "shop",
-        "amount": 10.0,
-        "currency": "USD",
-        "user_id": "u-1",
-        "event_ts": received.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
-        "received_time": received,
-    }
-    row.update(changes)
-    return tuple(row[f.name] for f in schemas.RAW_EVENTS.fields)
-
-
-def raw_frame(spark, rows):
-    return spark.createDataFrame(rows, schemas.RAW_EVENTS)
-
-
-def metric(source, window, error_rate_pct, total=100, **counters):
-    """One window metrics row; counters not named are 0."""
-    start = START + timedelta(seconds=10 * window)
-    end = start + timedelta(seconds=10)
-    names = [n for n in schemas.DQ_METRICS.names if n.startswith("cnt_")]
-    return (
-        source,
-        start,
-        end,
-        end - timedelta(milliseconds=1),
-        total,
-        round(total * error_rate_pct / 100),
-        float(error_rate_pct),
-        *[counters.get(n, 0) for n in names],
-        0.0,
-    )
-
-
-def metrics_frame(spark, rows):
-    return spark.createDataFrame(rows, schemas.DQ_METRICS)

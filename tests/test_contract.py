@@ -6,7 +6,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import START, event, raw_frame
+from helpers import START, event, raw_frame
 
 from sluicegate.operators import routing
 from sluicegate.operators.contract import ORDER_EVENTS, Contract, one_of, present

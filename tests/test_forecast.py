@@ -8,7 +8,7 @@ from fractions import Fraction
 from math import floor
 
 import pytest
-from conftest import metric, metrics_frame
+from helpers import metric, metrics_frame
 
 from sluicegate.operators import forecast
 from sluicegate.operators.series import newest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from conftest import START, event, metric, metrics_frame, raw_frame
+from helpers import START, event, metric, metrics_frame, raw_frame
 
 from sluicegate import schemas
 from sluicegate.operators import metrics as measuring

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import event, raw_frame
+from helpers import event, raw_frame
 
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.plans.queries import QUERIES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
-from conftest import START, event, raw_frame
+from helpers import START, event, raw_frame
 from pyspark.sql import functions as F
 
 from sluicegate import schemas

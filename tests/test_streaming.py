@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 
 import pytest
-from conftest import START, event, raw_frame
+from helpers import START, event, raw_frame
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession

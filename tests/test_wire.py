@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from conftest import START, event, raw_frame
+from helpers import START, event, raw_frame
 
 from sluicegate import schemas
 from sluicegate.plans.pipeline import Firewall
