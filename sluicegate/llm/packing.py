@@ -57,6 +57,14 @@ def byte_characters() -> list[str]:
     return [chr(b if b in shows else next(hidden)) for b in range(256)]
 
 
+def _composed_later(raw: np.ndarray, lowered: np.ndarray) -> np.ndarray:
+    """The lowered bytes, but words with combining marks (U+0300 to U+036F) as they are."""
+    word = np.cumsum(_BLANK[raw])
+    marked = np.zeros(int(word[-1]) + 1, bool)
+    marked[word[(raw == 0xCC) | (raw == 0xCD)]] = True
+    return np.where(marked[word], raw, lowered)
+
+
 class Encoder:
     """Encodes texts through the library, each different word once.
 
@@ -64,7 +72,8 @@ class Encoder:
     words in turn.  ASCII letters are lower-cased first, as the library does, and a word is cut
     between a letter and a mark, as a piece ends there.  A word of lower-case letters alone
     is one piece, and goes straight to the library's model; all other words take the
-    library's whole way.
+    library's whole way.  Words with combining marks keep their case until then: the library
+    composes letters before it lowers them, and some compose only when small.
     """
 
     def __init__(self, path: str) -> None:
@@ -120,6 +129,8 @@ class Encoder:
             counts = np.fromiter(map(len, split), np.int64, len(split))
             return [w for ws in split for w in ws], np.concatenate([[0], np.cumsum(counts)])
         data = np.frombuffer(whole.lower(), np.uint8)
+        if b"\xcc" in whole or b"\xcd" in whole:
+            data = _composed_later(np.frombuffer(whole, np.uint8), data)
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         letter = (data >= 97) & (data <= 122)
         # Two-byte letters of western languages: all of their block but the signs for times and division.
@@ -308,112 +319,6 @@ def token_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, path: str
     return placed(stored(read(spark, path), "token-rows"))
 
 
-def document(self, i: int) -> np.ndarray:
-        return unpack(self.packed, self.bits, int(self.offsets[i]), int(self.offsets[i + 1]))
-
-
-def blocks(content: bytes) -> Iterator[Block]:
-    data, at = memoryview(content), 0
-    while at < len(data):
-        found = Block(data, at)
-        yield found
-        at = found.end
-
-
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
-    """Write the ids of ``docs`` (doc_id, text) below ``path``; a repeated task replaces its file."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = 1 + size // file_bytes
-    order = ["doc_id", F.xxhash64("text")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
-        bits = bits_for(max(words.size, end_id + 1))
-        keys: list[int | None] = []
-        parts: list[np.ndarray] = []
-        held = 0
-
-        def full() -> pa.RecordBatch:
-            sizes = np.array([len(p) for p in parts], np.int64)
-            out = block(keys, sizes, np.concatenate(parts), bits)
-            return pa.RecordBatch.from_pydict({"block": pa.array([out], pa.binary())})
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                found = [t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()]
-                ids, sizes = words.encode(found)
-                stops = np.cumsum(sizes)
-                for key, start, stop in zip(rows.column(0).to_pylist(), (stops - sizes).tolist(), stops.tolist(), strict=True):
-                    keys.append(key)
-                    parts.append(np.append(ids[start:stop], np.uint32(end_id)))
-                    held += stop - start + 1
-                    if held >= BLOCK_IDS:
-                        yield full()
-                        keys, parts, held = [], [], 0
-        if keys:
-            yield full()
-
-    spread = texts.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    packed = spread.mapInArrow(run, "block binary").select(F.col("block").cast("string").alias("value"))
-    packed.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", BLOCKS_PER_FILE).text(path)
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(file, doc_id, within, n_tokens, ids_crc32) of every document in the files below ``path``."""
-    found = spark.read.format("binaryFile").load(path).filter("length > 0")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                before = 0
-                for part in blocks(content):
-                    n = len(part.doc_ids)
-                    ids = [part.document(i) for i in range(n)]
-                    sums = [zlib.crc32(d.astype("<u4").tobytes()) for d in ids]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([os.path.basename(name)] * n, pa.string()),
-                            pa.array(part.doc_ids, pa.int64()),
-                            pa.array(before + part.offsets[:-1]),
-                            pa.array(np.diff(part.offsets)),
-                            pa.array(sums, pa.int64()),
-                        ],
-                        names=["file", "doc_id", "within", "n_tokens", "ids_crc32"],
-                    )
-                    before += part.n_ids
-
-    layout = "file string, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint"
-    return found.select("path", "content").mapInArrow(run, layout)
-
-
-def placed(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of the rows of ``read``: ``start`` counts from the first file's first id."""
-    # One row per file.  The ranges of ids are in the order of part number and file counter; as text,
-    # part-100000 would come before part-99999.
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
-    numbers = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)[^-]*$")]
-    before = F.sum("ids").over(Window.orderBy(*numbers, "file").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = files.select(F.col("file").alias("named"), F.coalesce(before, F.lit(0)).alias("before"))
-    found = rows.join(offsets, F.col("file") == F.col("named"))
-    return found.select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def token_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, path: str | None = None) -> DataFrame:
-    """Write the files and read them back: (doc_id, start, n_tokens, ids_crc32) per document."""
-    spark = docs.sparkSession
-    path = path or shared_path(spark, "token-ids")
-    write(docs, path, tokenizer, end_id)
-    rows = stored(read(spark, path), "token-rows")
-    # One row per file; names sort as the ranges of ids do.
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
-    before = F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = files.select(F.col("file").alias("named"), F.coalesce(before, F.lit(0)).alias("before"))
-    placed = rows.join(offsets, F.col("file") == F.col("named"))
-    return placed.select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
-
-
 def document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
     """(doc_id, ids) of one document: only the block that holds it is unpacked."""
 

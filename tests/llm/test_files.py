@@ -7,13 +7,13 @@ import random
 import zlib
 
 import numpy as np
-import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from brute import PATH, brute_ids
 from sluicegate.llm import common, packing, warc
 
-PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECES = [*"abzAZ019.,;'!%$ \n\té", "ß", "Σς", "é", "Å", "İ", "<|", "|>", "don't", ", ", ". ", "\xa0", "中", "<|endoftext|>", "\x00"]
 
 
@@ -40,13 +40,14 @@ def test_words_have_the_ids_of_whole_texts():
     assert mine == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
 
 
-def brute_ids(rows):
-    library, out, start = Tokenizer.from_file(PATH), [], 0
-    for doc, text in rows:
-        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
-        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    return out
+def test_letters_with_combining_marks():
+    letters = [chr(c) for c in range(33, 0x180)] + ["Ω", "Ж", "ſ", "K", "ẞ", "א"]
+    some = [f"{a}{chr(m)}{b}" for a in letters for m in range(0x300, 0x370) for b in ("", "x")]
+    some += [f"{a}\u0323{chr(m)} {a.lower()}!" for a in letters for m in range(0x300, 0x310)]
+    encoder, library = packing.Encoder(PATH), Tokenizer.from_file(PATH)
+    ids, sizes = encoder.encode([t.encode() for t in some])
+    mine = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert mine == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
 
 
 def test_files_hold_all_documents_in_order(spark):
@@ -76,6 +77,26 @@ def test_files_beyond_five_digits_keep_their_order(spark):
     assert starts == {10 * i + k: 10 * i + 5 * k for i in range(len(order)) for k in range(2)}
 
 
+def test_token_files_are_ordered_by_number(spark, monkeypatch):
+    """Part numbers of six digits come after those of five, through the operator itself."""
+    rows = [(i, f"text number {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    name = "CASE WHEN doc_id < 10 THEN 'part-99999-u-c000.txt' WHEN doc_id < 25 THEN 'part-100000-u-c000.txt' ELSE 'part-100000-u-c001.txt' END"
+    first = "CASE WHEN doc_id < 10 THEN 0 WHEN doc_id < 25 THEN 10 ELSE 25 END"
+    sizes = {d: start for d, start, _, _ in brute_ids(rows)}
+    read = packing.read
+
+    def renamed(session, path):
+        starts = session.createDataFrame(list(sizes.items()), "at long, base long")
+        found = read(session, path).withColumns({"file": F.expr(name), "at": F.expr(first)})
+        own = found.withColumnRenamed("at", "first_doc").join(starts, F.col("first_doc") == F.col("at"))
+        base = session.createDataFrame(list(sizes.items()), "doc_id long, whole long")
+        return own.join(base, "doc_id").selectExpr("file", "doc_id", "whole - base AS within", "n_tokens", "ids_crc32")
+
+    monkeypatch.setattr(packing, "read", renamed)
+    assert sorted(map(tuple, packing.token_files(docs, PATH).collect())) == brute_ids(rows)
+
+
 def test_token_files_of_repeated_null_and_no_rows(spark):
     rows = [(None, "x"), (2, "a b"), (2, "a b"), (5, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -7,11 +7,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from brute import brute_ids
 from sluicegate.llm import decontaminate, mixing, queries, simhash, toxicity
 from sluicegate.llm.common import stored, table
 
-from test_files import brute_ids  # noqa: I001
-
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
