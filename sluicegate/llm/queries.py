@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and their SQL."""
+"""The registered queries of the thirteen operators, each over its whole table, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import decontaminate, html_text, licenses, minhash, mixing, packing, pseudonyms, simhash, toxicity, warc
+from sluicegate.llm import alignment, decontaminate, exact_dedup, fill_in_middle, html_text, licenses, minhash, mixing, packing, pseudonyms, simhash, toxicity, warc
 from sluicegate.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 # For the registered query alone; whoever runs the operator brings a key of their own.
 PSEUDONYM_KEY = b"key of the registered query"
 
@@ -60,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.newest_first(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
@@ -71,6 +84,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_toxicity": op10_toxicity,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE: dict[str, str] = {"op2_mixing": mixing.ORACLE, "op7_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
+    "op7_warc": warc.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
+    "op12_fill_in_middle": fill_in_middle.ORACLE,
+}
