@@ -2,7 +2,8 @@
 
 A page is cut into lines, one per block of its layout.  Lines of menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments are told by the elements they stand
-in.  Pages are then paired with a neighbour in the order of URL paths within their host,
+in.  A word in class, id or role marks an element only where it holds little of the text:
+never an article, nor a wrapper of most of a page.  Pages are then paired with a neighbour in the order of URL paths within their host,
 the lines of both are aligned by a longest common subsequence, and shared lines go.
 
 A page that marks its article keeps the article's own lines though a neighbour has them
@@ -29,6 +30,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -56,6 +58,16 @@ FURNITURE_WORDS = """ad ads advert advertisement adverts banner breadcrumb bread
     navigation newsletter notice pager pagination popup promo related search share sharing sidebar social
     sponsor sponsored subscribe toolbar widget""".split()
 
+# Words of reader comments, which may be longer than the article they stand in.
+COMMENT_WORDS = "comment comments disqus".split()
+# In compound names, the words behind a furniture word that name a part of a layout, and those
+# before one that say whether there is such a part.
+LAYOUT_WORDS = """area bar block box button buttons container content group header icons item items label
+    link links list panel post posts region section signup slot strip text title unit wrap wrapper""".split()
+STATE_WORDS = "has hide is no open show with without".split()
+# An element marked by a word is no furniture with more than this part of the words around.
+LITTLE = 0.5
+
 _RAW_NAMES = "|".join(RAW)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW_NAMES})\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -65,6 +77,7 @@ _TOKEN = re.compile(
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_HEADING = frozenset(["h1"])
 _FURNITURE, _FURNITURE_WORDS = frozenset(FURNITURE), frozenset(FURNITURE_WORDS)
 _BLOCKS, _VOID, _MAIN = frozenset(BLOCKS), frozenset(VOID), frozenset(MAIN)
 
@@ -74,19 +87,66 @@ class Line:
     text: str
     main: bool
     links: bool
+    marked: tuple[int, ...] = ()
+
+
+@dataclass
+class Marked:
+    """An element that a word in class, id or role marks as furniture."""
+
+    depth: int
+    inside_main: bool
+    comments: bool
+    heading: bool = False
+
+
+def _names_furniture(value: str) -> bool:
+    """Whether a class, id or role names furniture: the word itself, at the end of a compound
+    name, or before the word for a part of a layout."""
+    words = [w.lower() for w in _WORD.findall(value) if not w.isdigit()]
+    if not words or words[0] in STATE_WORDS:
+        return False
+    return words[-1] in _FURNITURE_WORDS or (words[0] in _FURNITURE_WORDS and words[-1] in LAYOUT_WORDS)
 
 
 def _is_furniture(name: str, attributes: str, inside_main: bool) -> bool:
+    """Whether the element is furniture by its tag, or hidden."""
     if name in _FURNITURE or (name == "header" and not inside_main):
         return True
-    if not attributes.strip():
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    if name in ("html", "body"):
-        return False
-    values = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes))
-    return any(w.lower() in _FURNITURE_WORDS for w in _WORD.findall(values))
+    return bool(attributes.strip() and _HIDDEN.search(attributes))
+
+
+def _mark(attributes: str) -> tuple[bool, bool]:
+    """Whether a word marks the element as furniture, and as reader comments."""
+    if "=" not in attributes:
+        return False, False
+    values = [v for a, b, c in _MARKS.findall(attributes) for v in (a or b or c).split() if _names_furniture(v)]
+    return bool(values), any(w.lower() in COMMENT_WORDS for v in values for w in _WORD.findall(v))
+
+
+def _kept(found: list[Line], marked: list[Marked]) -> list[Line]:
+    """The lines but those of marked elements that hold little of the page, or mostly links.
+
+    Beside a marked article, all marked elements go; within it, what they hold is measured
+    against the article.  Reader comments may be longer.  Elements with the page's heading stay.
+    """
+    if not marked:
+        return found
+    sizes = [line.text.count(" ") + 1 for line in found]
+    article = sum(n for line, n in zip(found, sizes, strict=True) if line.main)
+    total = sum(sizes)
+    own, links = [0] * len(marked), [0] * len(marked)
+    for line, n in zip(found, sizes, strict=True):
+        for k in line.marked:
+            own[k] += n
+            links[k] += n * line.links
+    gone = set()
+    for k, element in enumerate(marked):
+        around = article if element.inside_main else total
+        little = own[k] <= LITTLE * around or 2 * links[k] > own[k] or (element.comments and own[k] < around)
+        if not element.heading and (little or (article and not element.inside_main)):
+            gone.add(k)
+    return [line for line in found if gone.isdisjoint(line.marked)]
 
 
 def lines(page: str) -> list[Line]:
@@ -97,6 +157,8 @@ def lines(page: str) -> list[Line]:
     """
     out: list[Line] = []
     stack: list[str] = []
+    marked: list[Marked] = []
+    within: list[int] = []  # the marked elements that are open
     skip = main = 0  # depth of the stack at which furniture, or the main element, began
     parts: list[str] = []
     linked = plain = False
@@ -105,7 +167,7 @@ def lines(page: str) -> list[Line]:
         nonlocal linked, plain
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Line(text, main > 0, linked and not plain))
+            out.append(Line(text, main > 0, linked and not plain, tuple(within)))
         parts.clear()
         linked = plain = False
 
@@ -141,6 +203,9 @@ def lines(page: str) -> list[Line]:
                     continue  # closes something outside the article, from within it
                 del stack[depth - 1 :]
                 skip, main = (0 if len(stack) < skip else skip), (0 if len(stack) < main else main)
+                if within and marked[within[-1]].depth > len(stack):
+                    flush()
+                    within = [k for k in within if marked[k].depth <= len(stack)]
             continue
         if name in _VOID or attributes.rstrip().endswith("/"):
             continue
@@ -148,19 +213,29 @@ def lines(page: str) -> list[Line]:
             if skip and not any(s in ("aside", "form", "dialog") for s in stack):
                 skip = 0
             if not main and not skip:
-                main = len(stack) + 1
+                main, within = len(stack) + 1, []
         elif name == "body":
-            skip = 0
+            skip, within = 0, []
         if name in ("p", "li", "td", "th", "tr", "dt", "dd") and stack and stack[-1] == name:
             stack.pop()
+            within = [k for k in within if marked[k].depth <= len(stack)]
         stack.append(name)
-        if not skip and name not in _MAIN | {"body", "html"} and _is_furniture(name, attributes, bool(main)):
-            skip = len(stack)
-        elif not skip and name in _MAIN and _is_furniture(name, attributes, bool(main)):
+        if skip or name in ("body", "html"):
+            continue
+        if _is_furniture(name, attributes, bool(main)):
             skip = len(stack)
+        elif name in _HEADING:
+            for k in within:
+                marked[k].heading = True
+        elif name not in _MAIN:
+            furniture, comments = _mark(attributes)
+            if furniture:
+                flush()
+                within = [*within, len(marked)]
+                marked.append(Marked(len(stack), bool(main), comments))
     add(page[at:])
     flush()
-    return out
+    return _kept(out, marked)
 
 
 def page_lines(page: str | None) -> list[tuple[str, bool]]:
@@ -174,33 +249,76 @@ def candidate_lines(page: str | None) -> list[tuple[str, bool]]:
     return [line for line in found if line[1]] or found
 
 
+# Bits of alignment tables that are held at once.
+TABLE_BITS = 1 << 28
+
+
+def _last_row(a: list[int], b: list[int], rows: list[bytes] | None = None) -> int:
+    """Bit j is 0 where the longest common subsequence with ``a`` grows at ``b[j]``; a row per line of a.
+
+    All of b is looked at in one addition, so equal lines cost no more than others.
+    """
+    where: dict[int, int] = {}
+    for j, line in enumerate(b):
+        where[line] = where.get(line, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row, size = full, -(-len(b) // 8)
+    for line in a:
+        met = row & where.get(line, 0)
+        row = ((row + met) | (row - met)) & full
+        if rows is not None:
+            rows.append(row.to_bytes(size, "little"))
+    return row
+
+
+def _growth(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of a and each start of b."""
+    row = _last_row(a, b).to_bytes(-(-len(b) // 8), "little")
+    grows = 1 - np.unpackbits(np.frombuffer(row, np.uint8), bitorder="little")[: len(b)].astype(np.int64)
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(grows)])
+
+
+def _common(a: list[int], b: list[int]) -> list[int]:
+    """Positions in ``a`` of a longest common subsequence, the table cut in half until it fits."""
+    if not a or not b:
+        return []
+    if len(a) * len(b) > TABLE_BITS and len(a) > 1:
+        half = len(a) // 2
+        ends = _growth(a[:half], b) + _growth(a[half:][::-1], b[::-1])[::-1]
+        cut = int(ends.argmax())
+        return _common(a[:half], b[:cut]) + [half + i for i in _common(a[half:], b[cut:])]
+    rows: list[bytes] = []
+    _last_row(a, b, rows)
+
+    def level(i: int, j: int) -> int:
+        return rows[i][j >> 3] >> (j & 7) & 1
+
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if level(i - 1, j - 1):
+            j -= 1
+            continue
+        i -= 1
+        if not i or level(i - 1, j - 1):
+            j -= 1
+            out.append(i)
+    return out[::-1]
+
+
 def shared(a: list[int], b: list[int]) -> list[int]:
     """Positions in ``a`` of a longest common subsequence with ``b``."""
-    if set(a).isdisjoint(b):
-        return []
-    low = 0
-    while low < min(len(a), len(b)) and a[low] == b[low]:
+    low, high = 0, 0
+    most = min(len(a), len(b))
+    while low < most and a[low] == b[low]:
         low += 1
-    where: dict[int, list[int]] = {}
-    for j in range(len(b) - 1, low - 1, -1):
-        where.setdefault(b[j], []).append(j)
-    # Hunt and Szymanski: the least end in b of a common subsequence of each length.
-    ends: list[int] = []
-    links: list[tuple] = []
-    for i in range(low, len(a)):
-        for j in where.get(a[i], ()):
-            k = bisect.bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            elif j < ends[k]:
-                ends[k], links[k] = j, link
-    chain, link = [], links[-1] if links else None
-    while link:
-        chain.append(link[0])
-        link = link[1]
-    return [*range(low), *chain[::-1]]
+    while high < most - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    inner_b = b[low : len(b) - high]
+    there = set(inner_b)
+    at = [i for i in range(low, len(a) - high) if a[i] in there]
+    here = {a[i] for i in at}
+    middle = _common([a[i] for i in at], [line for line in inner_b if line in here])
+    return [*range(low), *(at[k] for k in middle), *range(len(a) - high, len(a))]
 
 
 def _place(url: str | None) -> tuple[str, str]:

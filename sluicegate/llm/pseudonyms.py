@@ -272,17 +272,18 @@ _KINDS: dict[str, Callable[[bytes, str, bool], str | None]] = {
 
 
 def _mails(text: str) -> Iterator[tuple[int, int, int]]:
-    """(start, at, end) of mail addresses, the at sign in between."""
-    at = text.find("@")
+    """(start, at, end) of mail addresses, the at sign in between; none begins before the last one's end."""
+    at, end = text.find("@"), 0
     while at >= 0:
         host = _MAIL_HOST.match(text, at + 1)
         start = at
-        while start and text[start - 1] in _MAIL_NAME:
+        while start > end and text[start - 1] in _MAIL_NAME:
             start -= 1
         while start < at and text[start] in "._%+-":
             start += 1
         if start < at and host:
-            yield start, at, host.end()
+            end = host.end()
+            yield start, at, end
         at = text.find("@", at + 1)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import os
 import random
+import time
 
 import duckdb
 import pytest
@@ -36,6 +37,20 @@ def text_of(page):
         ("<p>a &lt; b &#233; &eacute; 1 < 2</p>", ["a < b é é 1 < 2"]),
         ("<p title='a > b'>quoted</p><p unclosed='>x</p>", ["quoted", "x"]),
         ("<p>" * 3000 + "deep" + "</p>" * 3000, ["deep"]),
+        ("<div class='layout with-sidebar'><p>Main story text.</p></div>", ["Main story text."]),
+        ("<article class='post related-topic'><p>Main story text.</p></article>", ["Main story text."]),
+        ("<div id='search-results'><p>Main story text.</p></div>", ["Main story text."]),
+        ("<div class='content menu-open'><p>Main story text.</p></div>", ["Main story text."]),
+        ("<div class='sidebar'><p>Main story text.</p></div>", ["Main story text."]),
+        ("<div class='widget'><h1>T</h1><p>Main story text.</p></div><p>More.</p>", ["T", "Main story text.", "More."]),
+        ("<article><div class='social-science'><p>On social science.</p></div><p>End of it.</p></article>", ["On social science.", "End of it."]),
+        ("<article><div class='notice'><p>Nearly all of the story is here.</p></div><p>End.</p></article>", ["Nearly all of the story is here.", "End."]),
+        ("<article><p>A long story of some words.</p><p class='notice'>Please note</p></article>", ["A long story of some words."]),
+        ("<div class='ad'>Buy very many things here and now</div><article><p>Short.</p></article>", ["Short."]),
+        ("<article><p>Short.</p><div id='comments'><p>I do not agree at all with this</p></div></article>", ["Short."]),
+        ("<p>One two three four five six</p><ul class='related-posts'><li><a>Other things</a> now</ul>", ["One two three four five six"]),
+        ("<div class=ad>never closed<main><p>body</p></main>", ["body"]),
+        ("<div class='share-buttons'>Tell <span>all</span></div><p>the text of it</p>", ["the text of it"]),
     ],
 )
 def test_lines_of_a_page(page, lines):
@@ -59,6 +74,25 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(a[i] in rest for i in at)
 
 
+def test_alignment_of_large_and_of_equal_lines(monkeypatch):
+    begin = time.monotonic()
+    assert len(html_text.shared([1] * 20_000, [2] + [1] * 19_000 + [3])) == 19_000
+    rng = random.Random(1)
+    a, b = ([rng.randrange(2) for _ in range(20_000)] for _ in range(2))
+    n = len(html_text.shared(a, b))
+    assert time.monotonic() - begin < 20
+    monkeypatch.setattr(html_text, "TABLE_BITS", 1 << 22)
+    assert len(html_text.shared(a, b)) == n
+    for bits in (1, 20, 100):
+        monkeypatch.setattr(html_text, "TABLE_BITS", bits)
+        for _ in range(100):
+            a, b = ([rng.randrange(4) for _ in range(rng.randrange(14))] for _ in range(2))
+            at = html_text.shared(a, b)
+            assert at == sorted(set(at)) and len(at) == brute_common(a, b)
+            rest = iter(b)
+            assert all(a[i] in rest for i in at)
+
+
 def test_pages_lose_what_their_neighbour_has(spark):
     frame = "<div>Our site</div>{}<div>Imprint and more</div>"
     rows = [(i, f"http://h{i % 2}/a/{i:02}?q={i}", frame.format(f"<p>Text {i} of many words</p><p>End {i}.</p>")) for i in range(20)]
@@ -317,6 +351,19 @@ def test_what_fails_its_check_stays(text):
     assert pseudonyms.pseudonymised(text, KEY) == (text, [])
 
 
+def test_addresses_do_not_overlap():
+    rng = random.Random(9)
+    some = ["a@b.com@c.com", "x@y.org@z.org@w.net", "@@a@b.co", "a@b.c-d@e.com", "1@2.com@3.com"]
+    some += ["".join(rng.choice(["a", "B", "7", ".", "@", "@", "-", "_", "x.com", "y.org", "@z.net", " ", "555-2671", "415-"]) for _ in range(rng.randrange(2, 30))) for _ in range(3000)]
+    for text in some:
+        new, spans = pseudonyms.pseudonymised(text, KEY)
+        assert len(new) == len(text)
+        assert all(e <= s for (_, _, e), (_, s, _) in itertools.pairwise(spans))
+        again, back = pseudonyms.pseudonymised(new, KEY, back=True)
+        assert again == text and back == spans, text
+    assert [s for s in pseudonyms.pseudonymised("a@b.com@c.com", KEY)[1]] == [("mail", 0, 7)]
+
+
 def test_pseudonyms_of_documents(spark):
     rows = [(1, "call (626) 555-5759 now"), (2, None), (3, ""), (None, "(626) 555-5759"), (4, "x " * 200_000 + "70.123.182.155"), (4, "a")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, spans int")
