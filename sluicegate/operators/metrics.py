@@ -60,6 +60,32 @@ def window_metrics(
     )
 
 
+def sums(contract: Contract = ORDER_EVENTS) -> dict[str, str]:
+    """Sums that make up a window, over judged events: SQL by column.  They can be added up."""
+    return {
+        "total_events": "count(*)",
+        "bad_events": "count_if(NOT is_valid)",
+        **{rule.counter: f"count_if({rule.flag})" for rule in contract.rules},
+        "freshness_sum": f"coalesce(sum({FRESHNESS}), 0)",
+        "freshness_rows": f"count({FRESHNESS})",
+    }
+
+
+def of_sums(summed: DataFrame, contract: Contract = ORDER_EVENTS) -> DataFrame:
+    """Window metrics from added sums, with window_start and window_end."""
+    return summed.selectExpr(
+        "source",
+        "window_start",
+        "window_end",
+        "window_end - INTERVAL '0.001' SECOND AS window_time",
+        "total_events",
+        "bad_events",
+        f"{points_to_pct(share_points('bad_events', 'total_events'))} AS error_rate_pct",
+        *[rule.counter for rule in contract.rules],
+        "round(freshness_sum / nullif(freshness_rows, 0), 1) AS avg_freshness_sec",
+    )
+
+
 def schema(contract: Contract = ORDER_EVENTS, with_first_seen: bool = False) -> T.StructType:
     counters = [rule.counter for rule in contract.rules]
     return schemas.metrics_schema(counters, [first_seen(c) for c in counters] if with_first_seen else [])

@@ -75,7 +75,7 @@ def source_health(alerts: DataFrame) -> DataFrame:
 
 
 # A chart point.
-_POINT = (
+POINT = (
     "ts",
     "current_error_pct AS current",
     "forecast_error_pct AS forecast",
@@ -85,7 +85,7 @@ _POINT = (
 
 def history(alerts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The newest points per source, as a chart shows them."""
-    return newest(alerts, settings.history_points, "ts").selectExpr("source", *_POINT)
+    return newest(alerts, settings.history_points, "ts").selectExpr("source", *POINT)
 
 
 def severity(status: str) -> str:
@@ -128,7 +128,7 @@ def worst_source_history(alerts: DataFrame, settings: Settings = DEFAULTS) -> Da
         .groupBy("source")
         .agg(
             F.expr("max_by(struct(status, minutes_to_sla_breach), ts) AS now"),
-            F.expr(f"sort_array(collect_list(struct({', '.join(_POINT)}))) AS points"),
+            F.expr(f"sort_array(collect_list(struct({', '.join(POINT)}))) AS points"),
         )
         .selectExpr("source", f"{severity('now.status')} AS severity", "now.minutes_to_sla_breach", "points")
     )

@@ -168,6 +168,44 @@ _CTES = {
     ),
 }
 
+_CTES["arrived"] = (
+    ("raw",),
+    """
+    SELECT * REPLACE (CASE WHEN sequence % 1000 <> 500 THEN received_time END AS received_time),
+           CASE WHEN sequence * 2 < last AND sequence % 100 = 7 THEN 3
+                ELSE least(3, sequence * 4 // (last + 1)) END AS part
+    FROM raw, (SELECT max(sequence) AS last FROM raw)
+    """,
+)
+_CTES["lateness"] = (
+    ("arrived",),
+    """
+    SELECT a.*, coalesce(time_bucket(INTERVAL '10 seconds', a.received_time) + INTERVAL '10 seconds'
+                         <= (SELECT max(b.received_time) FROM arrived b WHERE b.part < a.part) - INTERVAL '10 seconds',
+                         false) AS late
+    FROM arrived a
+    """,
+)
+# Starts of windows, one step of the recursion after the other.
+_CTES["anchors"] = (
+    ("verdict",),
+    """
+    SELECT source, min(received_time) AS start FROM verdict GROUP BY source
+    UNION ALL
+    SELECT a.source, min(v.received_time) FROM anchors a
+    JOIN verdict v ON v.source = a.source AND v.received_time >= a.start + INTERVAL '10 seconds'
+    GROUP BY a.source
+    """,
+)
+_CTES["anchored"] = (
+    ("anchors", "verdict"),
+    """
+    SELECT v.source, max(a.start) OVER (PARTITION BY v.source, v.sequence) AS start, v.* EXCLUDE (source)
+    FROM verdict v JOIN anchors a ON a.source = v.source AND a.start <= v.received_time
+    QUALIFY row_number() OVER (PARTITION BY v.sequence ORDER BY a.start DESC) = 1
+    """,
+)
+
 _ALERT_SELECT = """
 SELECT source, epoch_ms(window_end) AS ts, total_events, cur AS current_error_pct,
        forecast AS forecast_error_pct, forecast AS forecast_upper_pct, slope AS error_rate_slope,
@@ -504,9 +542,67 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         ("serving_alerts",),
         f"SELECT {_SERVING_COLUMNS} FROM serving_alerts",
     ),
+    "late_events": (
+        ("lateness",),
+        """
+        SELECT event_id, source, amount, currency, user_id, event_ts, epoch_ms(received_time) AS received_time, late
+        FROM lateness WHERE late OR received_time IS NULL
+        """,
+    ),
+    "event_totals": (
+        ("lateness",),
+        """
+        SELECT count(*) AS events, count(*) FILTER (NOT late AND received_time IS NOT NULL) AS counted,
+               count(*) FILTER (late) AS late, count(*) FILTER (received_time IS NULL) AS timeless,
+               count(*) FILTER (NOT late AND received_time IS NOT NULL) AS in_windows
+        FROM lateness
+        """,
+    ),
+    "anchored_windows": (
+        ("anchored",),
+        """
+        SELECT source, epoch_ms(start) AS window_start, epoch_ms(start + INTERVAL '10 seconds') AS window_end,
+               total_events, bad_events, floor((20000 * bad_events + total_events) / (2e0 * total_events)) / 100e0 AS error_rate_pct,
+               cnt_missing_id, cnt_missing_user, cnt_amount_range, cnt_bad_currency, cnt_bad_timestamp, cnt_stale, avg_freshness_sec
+        FROM (SELECT source, start, count(*) AS total_events, count(*) FILTER (NOT is_valid) AS bad_events,
+                     count(*) FILTER (v_missing_id) AS cnt_missing_id, count(*) FILTER (v_missing_user) AS cnt_missing_user,
+                     count(*) FILTER (v_amount_range) AS cnt_amount_range, count(*) FILTER (v_bad_currency) AS cnt_bad_currency,
+                     count(*) FILTER (v_bad_timestamp) AS cnt_bad_timestamp, count(*) FILTER (v_stale) AS cnt_stale,
+                     round(avg(CAST(freshness_sec AS DOUBLE)), 1) AS avg_freshness_sec
+              FROM anchored GROUP BY ALL)
+        """,
+    ),
+    "quarantine_replay": (
+        ("verdict",),
+        """
+        SELECT event_id, source, currency, violations, CASE WHEN passes THEN 1 ELSE 2 END AS attempts, passes AS released
+        FROM (SELECT *, violations = 'INVALID_CURRENCY' AND coalesce(currency IN ('BTC', 'usd'), false) AS passes
+              FROM verdict WHERE NOT is_valid)
+        """,
+    ),
+    "replayed_clean": (
+        ("verdict",),
+        f"""
+        SELECT {_EVENT}, epoch_ms(parsed_event_ts) AS event_time
+        FROM verdict WHERE is_valid OR (violations = 'INVALID_CURRENCY' AND currency IN ('BTC', 'usd'))
+        """,
+    ),
+    "stored_newest_rejects": (
+        ("verdict",),
+        """
+        SELECT row_number() OVER (ORDER BY moved DESC, event_id NULLS FIRST, source NULLS FIRST) AS rank,
+               source, event_id, violations, epoch_ms(moved) AS quarantined_at
+        FROM (SELECT *, received_time + to_days(CAST(sequence % 7 AS INTEGER)) AS moved FROM verdict WHERE NOT is_valid)
+        ORDER BY moved DESC, event_id NULLS FIRST, source NULLS FIRST LIMIT 25
+        """,
+    ),
 }
 
 
+# What a stream keeps current is what a batch shows at the end.
+_FINAL |= {"live_board": _FINAL["health_board"], "live_history": _FINAL["source_history"]}
+
+
 def _needed(names: tuple[str, ...]) -> list[str]:
     """The named tables and what they are built on, each after its inputs."""
     ordered: list[str] = []
@@ -524,7 +620,7 @@ def _needed(names: tuple[str, ...]) -> list[str]:
 
 def _sql(names: tuple[str, ...], final: str) -> str:
     ctes = ",\n".join(f"{name} AS ({_CTES[name][1].strip()})" for name in _needed(names))
-    return f"WITH {ctes}\n{final.strip()}"
+    return f"WITH {'RECURSIVE ' if 'anchors' in _needed(names) else ''}{ctes}\n{final.strip()}"
 
 
 ORACLE: dict[str, str] = {key: _sql(names, final) for key, (names, final) in _FINAL.items()}

@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.operators import forecast, metrics, ranking, reasons, routing
-from sluicegate.plans import batch, serving
+from sluicegate.operators import anchored, forecast, metrics, ranking, reasons, routing
+from sluicegate.operators.contract import ORDER_EVENTS, Contract, one_of
+from sluicegate.plans import batch, replay, serving
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.session import work_folder
-from sluicegate.sources import derived, tables, wire
+from sluicegate.settings import CURRENCIES, INVALID_CURRENCY
+from sluicegate.sources import derived, ingest, tables, wire
 from sluicegate.streaming import idle
 from sluicegate.streaming.alerts import start_alerts, start_serving_alerts
+from sluicegate.streaming.board import LiveBoard
+from sluicegate.streaming.ledger import Ledger, start_ledger
 from sluicegate.streaming.metrics import start_metrics
 from sluicegate.streaming.route import start_routing
 
@@ -257,6 +261,96 @@ def stream_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(tables.read_table(spark, root, "serving_alerts"))
 
 
+def stream_late(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Run the ledger over four files of events; some of the first come with the last."""
+    root = work_folder(spark, "stream-late")
+    raw = derived.read_raw(spark, folder, "sequence")
+    last = raw.agg(F.max("sequence")).first()[0] or 0
+    part = F.expr(f"CASE WHEN sequence * 2 < {last} AND sequence % 100 = 7 THEN 3 ELSE least(3, sequence * 4 DIV {last + 1}) END")
+    timeless = F.expr("CASE WHEN sequence % 1000 <> 500 THEN received_time END")
+    parted = raw.withColumn("part", part).withColumn("received_time", timeless).drop("sequence")
+    for number in range(4):  # files are read in the order in which they were written
+        parted.filter(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/raw")
+    stream = ingest.stream_files(spark, f"{root}/raw", max_files=1)
+    start_ledger(stream, f"{root}/tables", f"{root}/checkpoint", FIREWALL, available_now=True).awaitTermination()
+    return f"{root}/tables", f"{root}/checkpoint"
+
+
+def late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that came too late, or without a record time, one by one."""
+    root, _ = stream_late(spark, folder)
+    return comparable(tables.read_table(spark, root, "late_events"))
+
+
+def event_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of all events: those counted are in closed or in open windows."""
+    root, checkpoint = stream_late(spark, folder)
+    names = ("events", "counted", "late", "timeless")
+    totals = tables.read_table(spark, root, "event_totals").agg(*[F.sum(c).alias(c) for c in names])
+    closed = tables.read_table(spark, root, "dq_metrics").select("total_events")
+    windows = closed.union(Ledger(checkpoint, FIREWALL).open_windows(spark).select("total_events"))
+    return totals.crossJoin(F.broadcast(windows.agg(F.sum("total_events").alias("in_windows"))))
+
+
+def live_board(spark: SparkSession, folder: str) -> DataFrame:
+    """The board that a stream keeps current, after its last batch."""
+    root = _streamed(spark, folder, start_serving_alerts, "live-board", idle_close=1e9)
+    return comparable(LiveBoard(root).board(spark))
+
+
+def live_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The chart points that a stream keeps current, after its last batch."""
+    root = _streamed(spark, folder, start_serving_alerts, "live-history", idle_close=1e9)
+    return comparable(LiveBoard(root).history(spark))
+
+
+# The contract that rejects are judged by again: two more currencies.
+_LENIENT = Firewall(
+    Contract(
+        tuple(
+            one_of(rule.code, "bad_currency", "currency", (*CURRENCIES, "BTC", "usd")) if rule.code == INVALID_CURRENCY else rule
+            for rule in ORDER_EVENTS.rules
+        ),
+        ORDER_EVENTS.tie_order,
+    )
+)
+
+
+def quarantine_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reject after two replays: whether it was released, and after how many attempts."""
+    root = work_folder(spark, "quarantine-replay")
+    batch.store_lanes(derived.read_raw(spark, folder), root, FIREWALL)
+    for _ in range(2):
+        replay.replay(spark, root, _LENIENT)
+    rejects = replay.with_hash(tables.read_table(spark, root, "quarantine_events"))
+    known = rejects.join(replay.history(spark, root), "row_hash")
+    return comparable(known.select("event_id", "source", "currency", "violations", "attempts", "released"))
+
+
+def replayed_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean table after two replays: each released event is in it once."""
+    root = work_folder(spark, "replayed-clean")
+    batch.store_lanes(derived.read_raw(spark, folder), root, FIREWALL)
+    for _ in range(2):
+        replay.replay(spark, root, _LENIENT)
+    return comparable(tables.read_table(spark, root, "clean_events"))
+
+
+def stored_newest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed of a stored table of many days, read from its newest days."""
+    root = work_folder(spark, "newest-rejects")
+    raw = derived.read_raw(spark, folder, "sequence")
+    rejects = routing.quarantine_events(FIREWALL.events_verdict(raw), "sequence")
+    spread = rejects.withColumn("quarantined_at", F.expr("quarantined_at + make_interval(0, 0, 0, CAST(sequence % 7 AS INT))"))
+    tables.write_batch(spread, root, "quarantine_events", 0, F.col("quarantined_at"), gather=True)
+    rows = tables.newest_rows(spark, root, "quarantine_events", 25)
+    return comparable(ranking.latest_quarantine(rows))
+
+
+def anchored_windows(raw: DataFrame) -> DataFrame:
+    return anchored.anchored_windows(FIREWALL.events_verdict(raw)).drop("window_time")
+
+
 QUERIES: dict[str, Query] = {
     "raw_events": _over_raw(lambda raw: raw, "sequence", "mode"),
     "inject_rate": inject_rate,
@@ -299,4 +393,12 @@ QUERIES: dict[str, Query] = {
     "stream_metrics": stream_metrics,
     "stream_alerts": stream_alerts,
     "stream_serving_alerts": stream_serving_alerts,
+    "late_events": late_events,
+    "event_totals": event_totals,
+    "live_board": live_board,
+    "live_history": live_history,
+    "anchored_windows": _over_raw(anchored_windows),
+    "quarantine_replay": quarantine_replay,
+    "replayed_clean": replayed_clean,
+    "stored_newest_rejects": stored_newest_rejects,
 }

@@ -118,6 +118,13 @@ SERVING_ALERTS = _schema(
 # Messages that are no JSON: kept, but without fields there is nothing to check.
 UNDECODABLE_MESSAGES = _schema(wire_text=_STRING, received_time=_TIME)
 
+# Events that came after their window was closed, or without a record time: routed like any
+# other, but in no window.
+LATE_EVENTS = T.StructType([*RAW_EVENTS.fields, T.StructField("late", T.BooleanType(), True)])
+
+# What became of the events of a batch: counted in windows, late, or without a record time.
+EVENT_TOTALS = _schema(counted_at=_TIME, events=_LONG, counted=_LONG, late=_LONG, timeless=_LONG)
+
 # The columns of the ``events`` test table that raw events are derived from.
 EVENTS = _schema(event_id=_LONG, user_id=_LONG, event_type=_STRING, value=_DOUBLE)
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from sluicegate import schemas
 from sluicegate.functions.times import utc_day
+from sluicegate.sources import folders
 
 DAY = "received_date"
 BATCH = "batch_id"
@@ -35,6 +36,8 @@ SCHEMAS = {
     "dq_alerts_simple": schemas.DQ_ALERTS_SIMPLE,
     "serving_alerts": schemas.SERVING_ALERTS,
     "undecodable_messages": schemas.UNDECODABLE_MESSAGES,
+    "late_events": schemas.LATE_EVENTS,
+    "event_totals": schemas.EVENT_TOTALS,
 }
 
 
@@ -97,6 +100,31 @@ def read_table(
     return rows.select(*schema.names)
 
 
+def days(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Days that a stored table has rows of, the newest first; told from its folders."""
+    found = folders.names_below(spark, f"{root}/{table}", f"{WRITER}=*/{BATCH}=*/{DAY}=*")
+    return sorted({name.partition("=")[2] for name in found if "__" not in name}, reverse=True)
+
+
+def newest_rows(
+    spark: SparkSession, root: str, table: str, count: int, schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the newest days of a table, as few days as hold ``count`` rows.
+
+    Whoever sorts by the time of receipt, newest first, finds the first ``count`` rows of the
+    whole table in them.  Days are taken one, two, four at a time, so that a long history
+    is not read for a short list.  Rows without a day are taken only when all days are.
+    """
+    known = days(spark, root, table)
+    taken = 1
+    while taken <= len(known):
+        rows = read_table(spark, root, table, since=known[taken - 1], schema=schema)
+        if rows.limit(count).count() >= count:
+            return rows
+        taken *= 2
+    return read_table(spark, root, table, schema=schema)
+
+
 def stored(spark: SparkSession, root: str) -> list[str]:
     """Names of the tables that have been stored below ``root``."""
     return [name for name in SCHEMAS if _exists(spark, f"{root}/{name}")]

@@ -41,12 +41,12 @@ def _behind(query: StreamingQuery, firewall: Firewall) -> datetime | None:
     newest = [p["eventTime"]["max"] for p in query.recentProgress if "max" in p.get("eventTime", {})]
     if not newest and (not mark or mark.startswith("1970")):
         return None
-    delay = _seconds(firewall.settings.watermark)
+    delay = duration(firewall.settings.watermark)
     at = [datetime.fromisoformat(n) for n in newest] + [datetime.fromisoformat(mark) + delay] * bool(mark)
     return max(at) + delay + timedelta(seconds=firewall.settings.window_seconds)
 
 
-def _seconds(text: str) -> timedelta:
+def duration(text: str) -> timedelta:
     number, unit = text.split()
     return timedelta(**{unit if unit.endswith("s") else f"{unit}s": float(number)})
 
