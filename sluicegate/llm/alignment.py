@@ -27,7 +27,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from sluicegate.llm.common import stored, text_slices
 from sluicegate.llm.packing import byte_characters
 
 # Different units that a worker remembers, and the links of theirs.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_LINKS = 4_000_000
 # Pairs of a group beyond this number are counted by different ids instead of one by one.
 WIDE_GROUP = 1 << 16
@@ -194,16 +194,6 @@ def linked(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarra
     return found // scale, found % scale, n_times
 
 
-def _written(a: list[int], b: list[int], na: list[int], nb: list[int]) -> bytes:
-    """``a1,a2|b1;a3|b2,b3`` of groups with so many tokens of each kind."""
-    out, i, j = [], 0, 0
-    a_text, b_text = list(map(str, a)), list(map(str, b))
-    for n, m in zip(na, nb, strict=True):
-        out.append(f"{','.join(a_text[i : i + n])}|{','.join(b_text[j : j + m])}")
-        i, j = i + n, j + m
-    return ";".join(out).encode()
-
-
 class Aligner:
     """Aligns texts of UTF-8 bytes; remembers the units it has met."""
 
@@ -211,6 +201,8 @@ class Aligner:
         self.a, self.b = ByteLevel(first), Pieces(second)
         self.cuts = not (self.a.spelling.reaches or self.b.spelling.reaches)
         self.n_a, self.n_b = self.a.spelling.n, self.b.spelling.n
+        # Every id in decimals, and a place for the mark behind it.
+        self.decimals = Spelling([b"%d," % i for i in range(max(self.n_a, self.n_b))])
         self.forget()
 
     def forget(self) -> None:
@@ -238,7 +230,7 @@ class Aligner:
         a_ids, b_ids = self.a.encode(texts), self.b.encode(texts)
         n = len(new)
         na, nb = (np.fromiter(map(len, ids), np.int64, n) for ids in (a_ids, b_ids))
-        a, b = (np.fromiter((i for ids in found for i in ids), np.int64) for found in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, int(k.sum())) for ids, k in ((a_ids, na), (b_ids, nb)))
         sizes = np.fromiter(map(len, new), np.int64, n)
         valid = (_totals(self.a.spelling.sizes[a], na) == sizes) & (_totals(self.b.spelling.sizes[b], nb) == sizes)
         a, b = a[np.repeat(valid, na)], b[np.repeat(valid, nb)]
@@ -262,8 +254,21 @@ class Aligner:
         np.add.at(links, owner, in_a * in_b)
         of, keys, times = linked(a, b, a_group, b_group, owner, self.n_b, self.n_a)
         self._remember(new, np.stack([valid, na, nb, groups, links], axis=1), of, keys, times)
-        parts = [np.split(x, np.cumsum(k)[:-1]) for x, k in ((a, na), (b, nb), (in_a, groups), (in_b, groups))]
-        self.texts += [_written(*(p.tolist() for p in unit)) for unit in zip(*parts, strict=True)]
+        self.texts += self._written(a, b, a_group, b_group, in_a, in_b, na + nb)
+
+    def _written(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, per_unit: np.ndarray) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3`` of every unit; the tokens of a group follow each other, the first kind first."""
+        ids, marks = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        a_at = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[a_group]
+        b_at = np.arange(len(b)) + np.cumsum(in_a)[b_group]
+        ids[a_at], ids[b_at] = a, b
+        ends = np.cumsum(in_a + in_b) - 1
+        marks[ends] = ord(";")
+        marks[ends - in_b] = ord("|")
+        text, sizes = self.decimals.write(ids), self.decimals.sizes[ids]
+        text[np.cumsum(sizes) - 1] = marks
+        whole, stops = text.tobytes(), np.cumsum(_totals(sizes, per_unit)).tolist()
+        return [whole[start : max(start, stop - 1)] for start, stop in zip([0, *stops[:-1]], stops, strict=True)]
 
     def _remember(self, new: list[bytes], facts: np.ndarray, of: np.ndarray, keys: np.ndarray, times: np.ndarray) -> None:
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
