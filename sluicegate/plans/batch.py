@@ -1,9 +1,9 @@
 """Build and store all tables from a bounded set of raw events.
 
-Raw events are read once per lane and once for the metrics.  Everything else is
-computed from the stored metrics, which hold one row per source and window; the
-stored table also cuts the lineage, so losing an executor later does not send
-Spark back to the raw events.
+Raw events are read and judged once, in one write that is split by lane and day.  Metrics
+come from the few columns they need of what was stored, everything else from the stored
+metrics, which hold one row per source and window; stored tables also cut the lineage, so
+losing an executor later does not send Spark back to the raw events.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from sluicegate.operators import alerts as alerting
 from sluicegate.operators import metrics as measuring
-from sluicegate.operators import routing
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables
 
@@ -25,18 +24,13 @@ _BATCH = 0
 
 
 def store_lanes(raw: DataFrame, root: str, firewall: Firewall) -> None:
-    judged = firewall.events_verdict(raw)
-    for table, project in (
-        ("clean_events", routing.clean_events),
-        ("quarantine_events", routing.quarantine_events),
-    ):
-        tables.write_batch(project(judged, "received_time"), root, table, _BATCH, F.col("received_time"))
+    tables.write_judged(firewall.events_verdict(raw), root, _BATCH, firewall.contract)
 
 
-def store_metrics_and_alerts(raw: DataFrame, root: str, firewall: Firewall) -> None:
-    spark, settings, contract = raw.sparkSession, firewall.settings, firewall.contract
+def store_metrics_and_alerts(judged: DataFrame, root: str, firewall: Firewall) -> None:
+    spark, settings, contract = judged.sparkSession, firewall.settings, firewall.contract
     wide = measuring.schema(contract, with_first_seen=True)
-    by_window = measuring.window_metrics(firewall.events_verdict(raw), contract, settings, with_first_seen=True)
+    by_window = measuring.window_metrics(judged, contract, settings, with_first_seen=True)
     tables.write_batch(by_window, root, WINDOWS, _BATCH, F.col("window_start"), wide, gather=True)
     stored = tables.read_table(spark, root, WINDOWS, schema=wide)
     tables.write_batch(stored, root, "dq_metrics", _BATCH, F.col("window_start"), measuring.schema(contract))
@@ -53,4 +47,6 @@ def store_tables(raw: DataFrame, root: str, firewall: Firewall | None = None) ->
     """Store all six tables below ``root``, replacing those of an earlier run."""
     firewall = firewall or Firewall()
     store_lanes(raw, root, firewall)
-    store_metrics_and_alerts(raw, root, firewall)
+    judged = tables.read_judged(raw.sparkSession, root, firewall.contract)
+    own = judged.filter((F.col(tables.WRITER) == tables.BATCH_JOB) & (F.col(tables.BATCH) == _BATCH))
+    store_metrics_and_alerts(own, root, firewall)

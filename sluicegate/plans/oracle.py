@@ -600,7 +600,7 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
 
 
 # What a stream keeps current is what a batch shows at the end.
-_FINAL |= {"live_board": _FINAL["health_board"], "live_history": _FINAL["source_history"]}
+_FINAL |= {"wire_stream": _FINAL["stream_route"], "live_board": _FINAL["health_board"], "live_history": _FINAL["source_history"]}
 
 
 def _needed(names: tuple[str, ...]) -> list[str]:

@@ -18,7 +18,7 @@ from sluicegate.plans import batch, replay, serving
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.session import work_folder
 from sluicegate.settings import CURRENCIES, INVALID_CURRENCY
-from sluicegate.sources import derived, ingest, tables, wire
+from sluicegate.sources import derived, ingest, segments, tables, wire
 from sluicegate.streaming import idle
 from sluicegate.streaming.alerts import start_alerts, start_serving_alerts
 from sluicegate.streaming.board import LiveBoard
@@ -181,7 +181,7 @@ def quarantine_reload(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored(raw: DataFrame, table: str) -> DataFrame:
     root = work_folder(raw.sparkSession, "stored")
-    batch.store_metrics_and_alerts(raw, root, FIREWALL)
+    batch.store_metrics_and_alerts(FIREWALL.events_verdict(raw), root, FIREWALL)
     return comparable(tables.read_table(raw.sparkSession, root, table))
 
 
@@ -221,8 +221,8 @@ def _streamed(spark: SparkSession, folder: str, start, name: str, **options: obj
     return f"{root}/tables"
 
 
-def stream_route(spark: SparkSession, folder: str) -> DataFrame:
-    root = _streamed(spark, folder, start_routing, "stream-route")
+def lanes_of(spark: SparkSession, root: str) -> DataFrame:
+    """Both stored lanes, in the same columns."""
     clean = tables.read_table(spark, root, "clean_events").select(
         F.lit("clean_events").alias("lane"),
         "event_id",
@@ -246,6 +246,25 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
     return clean.unionByName(rejects)
 
 
+def stream_route(spark: SparkSession, folder: str) -> DataFrame:
+    return lanes_of(spark, _streamed(spark, folder, start_routing, "stream-route"))
+
+
+def wire_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events framed and enveloped, streamed from segments a few at a time, stopped and started again."""
+    root = work_folder(spark, "wire-stream")
+    raw = derived.read_raw(spark, folder, "sequence")
+    schema_id = "CASE sequence % 4 WHEN 1 THEN 1 WHEN 2 THEN 123 WHEN 3 THEN 10 END"
+    sent = wire.encode(raw, schema_id=schema_id).select("sequence", "value", "received_time")
+    for part in range(2):
+        some = sent.filter(F.expr(f"sequence % 2 = {part}")).select("value", "received_time")
+        segments.write_segments(some.repartition(3, "value"), f"{root}/segments")
+        decoded = wire.decode(segments.stream_segments(spark, f"{root}/segments", max_files=2))
+        events = wire.events_of(decoded)
+        start_routing(events, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return lanes_of(spark, f"{root}/tables")
+
+
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
     root = _streamed(spark, folder, start_metrics, "stream-metrics", idle_close=1e9)
     return comparable(tables.read_table(spark, root, "dq_metrics"))
@@ -390,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "stored_alerts": stored_alerts,
     "stored_serving_alerts": stored_serving_alerts,
     "stream_route": stream_route,
+    "wire_stream": wire_stream,
     "stream_metrics": stream_metrics,
     "stream_alerts": stream_alerts,
     "stream_serving_alerts": stream_serving_alerts,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from sluicegate import schemas
 from sluicegate.functions.times import utc_day
+from sluicegate.operators.contract import EVENT_TIME, FRESHNESS, Contract
 from sluicegate.sources import folders
 
 DAY = "received_date"
@@ -69,6 +70,60 @@ def write_batch(
     )
 
 
+# Judged events hold both lanes, each in folders of its own.
+JUDGED, LANE = "judged_events", "lane"
+CLEAN, QUARANTINE = "clean_events", "quarantine_events"
+_LANES = {
+    CLEAN: {},
+    QUARANTINE: {"raw_event_ts": "event_ts", "quarantined_at": "received_time"},
+}
+
+
+def judged_schema(contract: Contract) -> T.StructType:
+    """Raw columns, what the contract found, and its flags: all that lanes and metrics need."""
+    found = [
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField(FRESHNESS, T.LongType()),
+        T.StructField("violations", T.ArrayType(T.StringType())),
+    ]
+    flags = [T.StructField(rule.flag, T.BooleanType()) for rule in contract.rules]
+    return T.StructType([*schemas.RAW_EVENTS.fields, *found, *flags])
+
+
+def write_judged(judged: DataFrame, root: str, batch_id: int, contract: Contract, writer: str = BATCH_JOB) -> None:
+    """Store judged events, split by lane and day, in one pass over them."""
+    lane = F.when(F.col("is_valid"), F.lit(CLEAN)).otherwise(F.lit(QUARANTINE))
+    schema = judged_schema(contract)
+    rows = judged.withColumnRenamed(EVENT_TIME, "event_time").select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], lane.alias(LANE), F.expr(utc_day("received_time")).alias(DAY)
+    )
+    rows.write.mode("overwrite").partitionBy(LANE, DAY).parquet(f"{root}/{JUDGED}/{WRITER}={writer}/{BATCH}={batch_id}")
+
+
+def _folders(schema: T.StructType, lane: bool) -> T.StructType:
+    keys = [T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())]
+    return T.StructType([*_with_day(schema).fields, *keys, *[T.StructField(LANE, T.StringType())] * lane])
+
+
+def read_judged(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
+    """Stored judged events, with ``is_valid``."""
+    schema = judged_schema(contract)
+    rows = spark.read.schema(_folders(schema, lane=True)).parquet(f"{root}/{JUDGED}")
+    return rows.select(*schema.names, (F.col(LANE) == CLEAN).alias("is_valid"), BATCH, WRITER)
+
+
+def _lane(spark: SparkSession, root: str, table: str, schema: T.StructType, since: str | None) -> DataFrame:
+    """A lane of the judged events, as the table it stands for."""
+    names = _LANES[table]
+    stored = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType) for f in schema.fields])
+    rows = spark.read.schema(_folders(stored, lane=True)).parquet(f"{root}/{JUDGED}").filter(F.col(LANE) == table)
+    return _since(rows, since).select(*[F.col(names.get(n, n)).alias(n) for n in schema.names])
+
+
+def _since(rows: DataFrame, since: str | None) -> DataFrame:
+    return rows if since is None else rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
+
+
 @contextmanager
 def packed(rows: DataFrame) -> Iterator[DataFrame]:
     """Rows of a micro-batch (with window_start), computed once and laid out for few files.
@@ -89,20 +144,25 @@ def packed(rows: DataFrame) -> Iterator[DataFrame]:
 def read_table(
     spark: SparkSession, root: str, table: str, since: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """A stored table; ``since`` (a date) prunes older folders."""
+    """A stored table; ``since`` (a date) prunes older folders.
+
+    The lanes are kept among the judged events, and beside them what was written to them alone.
+    """
     schema = schema or SCHEMAS[table]
-    layout = T.StructType(
-        [*_with_day(schema).fields, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())]
-    )
-    rows = spark.read.schema(layout).parquet(f"{root}/{table}")
-    if since is not None:
-        rows = rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
-    return rows.select(*schema.names)
+    path = f"{root}/{table}"
+    if table in _LANES and _exists(spark, f"{root}/{JUDGED}"):
+        rows = _lane(spark, root, table, schema, since)
+        if not _exists(spark, path):
+            return rows
+        return rows.unionByName(_since(spark.read.schema(_folders(schema, lane=False)).parquet(path), since).select(*schema.names))
+    return _since(spark.read.schema(_folders(schema, lane=False)).parquet(path), since).select(*schema.names)
 
 
 def days(spark: SparkSession, root: str, table: str) -> list[str]:
     """Days that a stored table has rows of, the newest first; told from its folders."""
     found = folders.names_below(spark, f"{root}/{table}", f"{WRITER}=*/{BATCH}=*/{DAY}=*")
+    if table in _LANES:
+        found += folders.names_below(spark, f"{root}/{JUDGED}", f"{WRITER}=*/{BATCH}=*/{LANE}={table}/{DAY}=*")
     return sorted({name.partition("=")[2] for name in found if "__" not in name}, reverse=True)
 
 
@@ -127,7 +187,8 @@ def newest_rows(
 
 def stored(spark: SparkSession, root: str) -> list[str]:
     """Names of the tables that have been stored below ``root``."""
-    return [name for name in SCHEMAS if _exists(spark, f"{root}/{name}")]
+    judged = _exists(spark, f"{root}/{JUDGED}")
+    return [name for name in SCHEMAS if (judged and name in _LANES) or _exists(spark, f"{root}/{name}")]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -2,52 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluicegate.operators import routing
-from sluicegate.operators.contract import EVENT_TIME
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.sources import tables, wire
 from sluicegate.streaming import running
 from sluicegate.streaming.running import Writer
 
-_ROUTED = (
-    "event_id",
-    "source",
-    "amount",
-    "currency",
-    "user_id",
-    "event_ts",
-    "received_time",
-    EVENT_TIME,
-    "violations",
-    "is_valid",
-)
+def lane_writer(root: str, firewall: Firewall | None = None) -> Writer:
+    """Writes one judged micro-batch to both lanes in one pass.
 
-
-def lane_writer(root: str, hold: bool = False) -> Writer:
-    """Writes one judged micro-batch to both lanes.
-
-    Each lane's folder for the batch is replaced as a whole, so a repeated batch
-    leaves the same rows.  Every lane reads and judges the batch for itself, which
-    costs less than holding it in between; ``hold`` it where reading is dear, as
-    with messages that have to be decoded.
+    The batch's folder is replaced as a whole, so a repeated batch leaves the same rows.
     """
+    contract = (firewall or Firewall()).contract
 
     def write(judged: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
-        rows = judged.persist(StorageLevel.MEMORY_AND_DISK) if hold else judged
-        try:
-            for table, project in (
-                ("clean_events", routing.clean_events),
-                ("quarantine_events", routing.quarantine_events),
-            ):
-                tables.write_batch(project(rows, "received_time"), root, table, batch_id, F.col("received_time"), writer=writer)
-        finally:
-            if hold:
-                rows.unpersist()
+        tables.write_judged(judged, root, batch_id, contract, writer)
 
     return write
 
@@ -62,13 +34,8 @@ def start_undecodable(decoded: DataFrame, root: str, checkpoint: str, **trigger:
 
 
 def start_routing(
-    raw: DataFrame,
-    root: str,
-    checkpoint: str,
-    firewall: Firewall | None = None,
-    hold: bool = False,
-    **trigger: object,
+    raw: DataFrame, root: str, checkpoint: str, firewall: Firewall | None = None, **trigger: object
 ) -> StreamingQuery:
     """Route a raw event stream.  Stateless, so late events are routed like any other."""
-    judged = (firewall or Firewall()).events_verdict(raw).select(*_ROUTED)
-    return running.start(judged, lane_writer(root, hold), "routing", checkpoint, **trigger)
+    firewall = firewall or Firewall()
+    return running.start(firewall.events_verdict(raw), lane_writer(root, firewall), "routing", checkpoint, **trigger)

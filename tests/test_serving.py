@@ -100,10 +100,11 @@ def test_all_tables_of_a_batch_are_stored(spark, tmp_path, sf_medium):
     raw = derived.read_raw(spark, sf_medium)
     batch.store_tables(raw, root)
     batch.store_lanes(raw, root, firewall)
-    for name in set(tables.SCHEMAS) - {"undecodable_messages"}:
+    for name in set(tables.SCHEMAS) - {"undecodable_messages", "late_events", "event_totals"}:
         stored, computed = tables.read_table(spark, root, name), getattr(firewall, name)(raw)
         assert stored.exceptAll(computed).isEmpty() and computed.exceptAll(stored).isEmpty()
-        assert len(stored.inputFiles()) == 1
+        # Lanes lie side by side; each is a file.
+        assert len([f for f in stored.inputFiles() if "lane=" not in f or f"lane={name}/" in f]) == 1
 
 
 def test_reloaded_alerts_get_their_defaults(spark, tmp_path):

@@ -120,9 +120,7 @@ def test_messages_are_decoded_routed_and_none_is_lost(spark, raw, tmp_path):
     sent.unionAll(broken).coalesce(1).write.parquet(path)
     messages = spark.readStream.schema(sent.schema).parquet(path)
     decoded = wire.decode(messages)
-    start_routing(
-        wire.events_of(decoded), root, str(tmp_path / "c1"), hold=True, available_now=True
-    ).awaitTermination()
+    start_routing(wire.events_of(decoded), root, str(tmp_path / "c1"), available_now=True).awaitTermination()
     start_undecodable(decoded, root, str(tmp_path / "c2"), available_now=True).awaitTermination()
     firewall = Firewall()
     assert same_rows(tables.read_table(spark, root, "clean_events"), firewall.clean_events(first))
