@@ -37,8 +37,10 @@ LIKE = 0.8
 MAP_BITS = 1 << 24
 SALTS = 16
 _SEED = 20240613
-# Text per run of neighbouring ids.
+# Text per run of neighbouring ids, and how many runs, each a task and a row on the driver, there may be:
+# beyond half a terabyte runs get longer.  They are read in order, a slice at a time, so memory stays bounded.
 RUN_BYTES = 8 << 20
+MOST_RUNS = 1 << 16
 _BLOCK = 2048
 NONE = np.uint16(0xFFFF)
 
@@ -99,7 +101,7 @@ def _runs(docs: DataFrame, run_bytes: int) -> tuple[DataFrame, DataFrame]:
     """Rows with the run of neighbouring ids they are in, and the first row of each run."""
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + size // run_bytes
+    n = min(MOST_RUNS, 1 + size // run_bytes)
     cuts = whole.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
     splits = [-float("inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
     rows = whole.withColumn("tie", F.xxhash64("text")).withColumn("at", F.col("doc_id").cast("double"))
@@ -118,7 +120,7 @@ def with_next(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
     run before it as well.
     """
     rows, first = _runs(docs, run_bytes)
-    # One row per run: as many as there are tasks.
+    # One row per run, MOST_RUNS at most; so is the table that is broadcast.
     heads = sorted((r.run, r.doc_id, r.tie) for r in first.collect())
     before = [(heads[i - 1][0], doc_id, tie) for i, (_, doc_id, tie) in enumerate(heads)]
     spark = docs.sparkSession
