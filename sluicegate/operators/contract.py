@@ -20,6 +20,8 @@ from sluicegate.functions.times import parse_iso, seconds_between
 
 EVENT_TIME = "parsed_event_ts"
 FRESHNESS = "freshness_sec"
+# The column that holds an event's own time, unless a contract names another.
+EVENT_TS = "event_ts"
 
 
 @dataclass(frozen=True)
@@ -75,11 +77,12 @@ class Contract:
     """Rules in the order in which violations are listed.
 
     ``tie_order`` decides which of equally frequent codes is the top reason; without
-    it the rules' own order does.
+    it the rules' own order does.  ``time_column`` holds the event's own time, as text.
     """
 
     rules: tuple[Rule, ...]
     tie_order: tuple[str, ...] = ()
+    time_column: str = EVENT_TS
 
     @property
     def counters(self) -> dict[str, str]:
@@ -89,7 +92,7 @@ class Contract:
 
     def check(self, raw: DataFrame) -> DataFrame:
         """Add the parsed time, the freshness, one flag per rule and the violations."""
-        timed = computed_once(raw, EVENT_TIME, parse_iso("event_ts"))
+        timed = computed_once(raw, EVENT_TIME, parse_iso(f"`{self.time_column}`"))
         aged = timed.selectExpr("*", f"{seconds_between(EVENT_TIME, 'received_time')} AS {FRESHNESS}")
         flagged = aged.selectExpr("*", *[f"({rule.broken}) AS {rule.flag}" for rule in self.rules])
         # Joined arrays compile; dropping the NULLs of one array would not.

@@ -177,6 +177,17 @@ _CTES["arrived"] = (
     FROM raw, (SELECT max(sequence) AS last FROM raw)
     """,
 )
+_CTES["judged_again"] = (
+    ("checked",),
+    """
+    SELECT *, concat_ws(',', CASE WHEN no_id THEN 'NO_ID' END, CASE WHEN bad_amount THEN 'AMOUNT' END,
+                        CASE WHEN foreign_money THEN 'FOREIGN' END, CASE WHEN v_bad_timestamp THEN 'NO_TIME' END,
+                        CASE WHEN old THEN 'OLD' END) AS found
+    FROM (SELECT *, v_missing_id AS no_id, NOT coalesce(amount BETWEEN 1 AND 150, false) AS bad_amount,
+                 coalesce(currency, '') NOT IN ('EUR', 'USD') AS foreign_money, coalesce(freshness_sec > 60, false) AS old
+          FROM checked)
+    """,
+)
 _CTES["lateness"] = (
     ("arrived",),
     """
@@ -572,6 +583,26 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
               FROM anchored GROUP BY ALL)
         """,
     ),
+    "contract_metrics": (
+        ("judged_again",),
+        """
+        SELECT source, epoch_ms(window_start) AS window_start, epoch_ms(window_start) + 10000 AS window_end, total_events, bad_events,
+               floor((20000 * bad_events + total_events) / (2e0 * total_events)) / 100e0 AS error_rate_pct,
+               cnt_no_id, cnt_amount, cnt_foreign, cnt_no_time, cnt_old
+        FROM (SELECT source, time_bucket(INTERVAL '10 seconds', received_time) AS window_start, count(*) AS total_events,
+                     count(*) FILTER (found <> '') AS bad_events, count(*) FILTER (no_id) AS cnt_no_id,
+                     count(*) FILTER (bad_amount) AS cnt_amount, count(*) FILTER (foreign_money) AS cnt_foreign,
+                     count(*) FILTER (v_bad_timestamp) AS cnt_no_time, count(*) FILTER (old) AS cnt_old
+              FROM judged_again GROUP BY ALL)
+        """,
+    ),
+    "contract_rejects": (
+        ("judged_again",),
+        f"""
+        SELECT {_EVENT}, event_ts AS raw_event_ts, found AS violations, epoch_ms(received_time) AS quarantined_at
+        FROM judged_again WHERE found <> ''
+        """,
+    ),
     "quarantine_replay": (
         ("verdict",),
         """

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.operators import anchored, forecast, metrics, ranking, reasons, routing
+from sluicegate.operators import anchored, forecast, metrics, ranking, reasons, routing, rules
 from sluicegate.operators.contract import ORDER_EVENTS, Contract, one_of
 from sluicegate.plans import batch, replay, serving
 from sluicegate.plans.pipeline import Firewall
@@ -366,6 +366,42 @@ def stored_newest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(ranking.latest_quarantine(rows))
 
 
+# A second contract as a table of rules: other limits, other counters, the user's id as an allowed list of one.
+_RULES = [
+    (0, "NO_ID", "no_id", "present", "event_id", None, None, None, None, 2),
+    (1, "AMOUNT", "amount", "range", "amount", 1.0, 150.0, None, None, 1),
+    (2, "FOREIGN", "foreign", "one_of", "currency", None, None, ["EUR", "USD"], None, None),
+    (3, "NO_TIME", "no_time", "time", "event_ts", None, None, None, None, 0),
+    (4, "OLD", "old", "fresh", "event_ts", None, None, None, 60, None),
+]
+
+
+def _second_contract(spark: SparkSession, folder: str) -> tuple[str, Firewall]:
+    """Store all tables under a contract read from a table, and that table beside them."""
+    root = work_folder(spark, "second-contract")
+    rules.store(spark.createDataFrame(_RULES, rules.SCHEMA), root)
+    firewall = Firewall(rules.load(spark, root))
+    batch.store_tables(derived.read_raw(spark, folder), root, firewall)
+    return root, firewall
+
+
+def contract_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored window metrics under the second contract, with its own counters."""
+    root, _ = _second_contract(spark, folder)
+    schema = metrics.schema(rules.load(spark, root))
+    return comparable(tables.read_table(spark, root, "dq_metrics", schema=schema).drop("avg_freshness_sec", "window_time"))
+
+
+def contract_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects of a stream under the second contract."""
+    root = work_folder(spark, "contract-rejects")
+    rules.store(spark.createDataFrame(_RULES, rules.SCHEMA), root)
+    firewall = Firewall(rules.load(spark, root))
+    raw = derived.raw_events(derived.stream_events(spark, folder))
+    start_routing(raw, f"{root}/tables", f"{root}/checkpoint", firewall, available_now=True).awaitTermination()
+    return comparable(tables.read_table(spark, f"{root}/tables", "quarantine_events"))
+
+
 def anchored_windows(raw: DataFrame) -> DataFrame:
     return anchored.anchored_windows(FIREWALL.events_verdict(raw)).drop("window_time")
 
@@ -418,6 +454,8 @@ QUERIES: dict[str, Query] = {
     "live_board": live_board,
     "live_history": live_history,
     "anchored_windows": _over_raw(anchored_windows),
+    "contract_metrics": contract_metrics,
+    "contract_rejects": contract_rejects,
     "quarantine_replay": quarantine_replay,
     "replayed_clean": replayed_clean,
     "stored_newest_rejects": stored_newest_rejects,

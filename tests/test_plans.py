@@ -29,7 +29,7 @@ def shuffles(text: str) -> int:
 
 
 # Queries that are one plan, without a stored table in between.
-STORING = {"wire_stream", "late_events", "event_totals", "live_board", "live_history", "anchored_windows", "quarantine_replay", "replayed_clean"}
+STORING = {"wire_stream", "late_events", "event_totals", "live_board", "live_history", "anchored_windows", "quarantine_replay", "replayed_clean", "contract_metrics", "contract_rejects"}
 BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_")) and not name.endswith("_reload") and name not in STORING]
 
 
