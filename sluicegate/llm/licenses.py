@@ -4,7 +4,10 @@ A paragraph (a line of a document) is a set of word n-grams.  A sparse multinomi
 regression over them tells licence families from paragraphs without a licence, the class
 ``unknown``.  It is trained on variants of fixed templates and on a bounded sample of the
 corpus's own paragraphs; a temperature, fitted on training rows kept apart, calibrates its
-probabilities.  A prediction counts as a finding if a template of its family confirms it.
+probabilities.  A prediction counts as a finding if a template of its family confirms it; a
+template that names its family confirms only what names it too.  A paragraph that is a notice
+may grant several licences by name, which are all found; denials and notices of licences
+that are no family here are ``unknown``.
 
 Scoring is a projection: a document's paragraphs are filtered, scored and compared inside
 its own row, so nothing is shuffled.  No template can confirm a paragraph that lacks all of its
@@ -33,6 +36,8 @@ from sluicegate.llm.common import stored
 SAMPLE_DOCS = 400
 SAMPLE_PARAGRAPHS = 4000
 N_GRAMS = 3
+# The most frequent n-grams of notices, which the classifier has weights for.
+VOCABULARY = 8000
 # Calibrated probability from which a family is predicted, and the part of a template's
 # words (or of the paragraph's, for a quoted part of a template) that confirms it.
 LEAST_PROBABILITY = 0.5
@@ -63,16 +68,53 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met",
     ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Released under the simplified BSD license.",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the GNU General Public License, version 2 or later.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Released under the GPL version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation",
     ),
+    "LGPL": (
+        "Licensed under the GNU Lesser General Public License, version 2.1 or later.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "Released under the LGPL version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation",
+    ),
+    "AGPL": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "Released under the AGPL version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
     ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
@@ -82,12 +124,25 @@ TEMPLATES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-SA": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-NC-ND": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
     "CC0": (
         "Released under CC0 1.0, dedicated to the public domain.",
+        "SPDX-License-Identifier: CC0-1.0",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ),
     "all-rights-reserved": (
@@ -107,7 +162,55 @@ NO_NOTICE = (
     "The creative work of the commons was an attribution of their success.",
     "This is a list of the terms that you may use.",
     "The foundation published a report on general conditions.",
+    "The article was published by researchers at MIT in the spring.",
+    "The Apache helicopter was released under pressure from the public.",
+    "The eclipse was made available to the public on film.",
+    "The bar is licensed under the general rules of the city.",
+)
+# Names of licences that are no family here; a notice of one of them is unknown.
+OTHERS = (
+    "Sleepycat License",
+    "Microsoft Public License",
+    "European Union Public Licence 1.2",
+    "Artistic License 2.0",
+    "Boost Software License 1.0",
+    "zlib License",
+    "Open Software License 3.0",
+    "Common Development and Distribution License",
+    "Academic Free License",
+    "Open Data Commons Open Database License",
+    "SIL Open Font License 1.1",
+    "Python Software Foundation License",
+    "Business Source License 1.1",
+    "Server Side Public License",
+    "PostgreSQL License",
 )
+# How families are named, as patterns on a line of any case.
+NAMES = {
+    "Apache-2.0": r"\bapache(?:[- ]2|(?: software)? licen[cs]e|,? v(?:ersion|\.)? ?2)",
+    "MIT": r"(?-i:\bMIT\b)|\bmit licen[cs]e",
+    "BSD": r"(?<!(?:two|2)[- ]clause )(?<!simplified )\bbsd\b(?!-2|[- ]2[- ]clause)",
+    "BSD-2-Clause": r"\bbsd[- ]2[- ]clause|\b(?:two|2)[- ]clause bsd|\bsimplified bsd",
+    "ISC": r"(?-i:\bISC\b)|\bisc licen[cs]e",
+    "GPL": r"(?<!lesser )(?<!library )(?<!affero )\bgeneral public licen[cs]e|\bgpl",
+    "LGPL": r"\blgpl|\b(?:lesser|library) general public licen[cs]e",
+    "AGPL": r"\bagpl|\baffero general public",
+    "MPL-2.0": r"\bmpl\b|\bmozilla public licen[cs]e",
+    "EPL": r"\bepl\b|\beclipse public licen[cs]e",
+    "Unlicense": r"\bunlicense\b",
+    "CC-BY": r"\bcc[- ]by(?![- ](?:sa|nc|nd)\b)\b|\bcommons attribution(?![- ]?(?:share|non|no))",
+    "CC-BY-SA": r"\bcc[- ]by[- ]sa\b|\battribution[- ]share",
+    "CC-BY-ND": r"\bcc[- ]by[- ]nd\b|\battribution[- ]no-?deriv",
+    "CC-BY-NC": r"\bcc[- ]by[- ]nc(?![- ](?:sa|nd)\b)\b|\battribution[- ]non-?commercial(?![- ](?:share|no))",
+    "CC-BY-NC-SA": r"\bcc[- ]by[- ]nc[- ]sa\b|\bnon-?commercial[- ]share",
+    "CC-BY-NC-ND": r"\bcc[- ]by[- ]nc[- ]nd\b|\bnon-?commercial[- ]no-?deriv",
+    "CC0": r"\bcc0\b|\bcommons zero\b",
+    "all-rights-reserved": r"\ball rights reserved",
+}
+# Words that grant, before a name; such a clause is a template whose name is a blank.
+GRANT = r"(?:\b(?:licen[cs]ed|released|distributed|available|published|provided|covered|dedicated|subject|redistribute|used|shared)\b[^;]{0,60}?\b(?:under|to|by)\b|\bspdx-license-identifier:|\blicen[cs]e:)"
+# Denials of a grant.
+DENIAL = r"\b(?:not|never|no longer|isn't|aren't|wasn't|neither|nor)\b(?: \w+){0,2} (?:licen[cs]ed|released|distributed|available|published|covered|under)\b"
 FAMILIES = (UNKNOWN, *TEMPLATES)
 
 
@@ -142,6 +245,8 @@ def _template_rows(spark: SparkSession) -> DataFrame:
             rows.append((text, family))
             rows += [(" ".join(parts[:i] + parts[i + 1 :]), family) for i in range(len(parts)) if len(parts) > 3]
     rows += [(text, UNKNOWN) for text in NO_NOTICE]
+    for other in OTHERS:
+        rows += [(f"{start} the {other}.", UNKNOWN) for start in ("Licensed under", "This work is licensed under", "Released under")]
     return spark.createDataFrame(rows, "text string, family string")
 
 
@@ -229,9 +334,10 @@ class Model:
         return F.aggregate(known, start, lambda s, w: F.zip_with(s, w, lambda a, b: a + b))
 
     def pattern(self) -> str:
-        """Matches every paragraph that a template can confirm: each needs one of its marks."""
+        """Matches every paragraph that a template can confirm: each needs one of its marks, or a name."""
         marks = sorted({w for texts in self.templates.values() for _, own in texts for w in own})
-        return r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace("\\-", "-") for w in marks) + r")(?![\p{L}\p{N}])"
+        words = r"(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace("\\-", "-") for w in marks) + r")(?![\p{L}\p{N}])"
+        return "(?i)" + "|".join([words, *NAMES.values()])
 
 
 def probabilities(sums: Column, temperature: float) -> Column:
@@ -246,8 +352,10 @@ def probabilities(sums: Column, temperature: float) -> Column:
 def train(docs: DataFrame) -> Model:
     """Weights by elastic-net logistic regression, and the temperature that suits rows kept apart."""
     rows, templates = training_rows(docs)
-    template_grams = rows.filter((F.col("family") != UNKNOWN) & F.col("alone")).select("grams")
-    vocabulary = CountVectorizer(inputCol="grams", outputCol="x", binary=True, minDF=3, vocabSize=4000).fit(template_grams)
+    # Names of other licences have weights too: they speak against all families.
+    other = F.arrays_overlap("grams", n_grams(words(F.lit(" ".join(OTHERS)))))
+    template_grams = rows.filter(F.col("alone") & ((F.col("family") != UNKNOWN) | other)).select("grams")
+    vocabulary = CountVectorizer(inputCol="grams", outputCol="x", binary=True, minDF=3, vocabSize=VOCABULARY).fit(template_grams)
     label = F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")).cast("double") - 1
     # Families weigh alike, as the number of their templates says nothing.
     sizes = {r.family: r["count"] for r in rows.groupBy("family").count().collect()}
@@ -283,21 +391,42 @@ def _temperature(model: Model, rows: DataFrame) -> float:
     return min(pairs)[1] if pairs else 1.0
 
 
-def _confirmed(tokens: Column, family: Column, templates: dict[str, list[tuple[list[str], list[str]]]]) -> Column:
-    """Whether a template of the family is there, or the words are a quoted part of it with a mark."""
+def _confirmed(tokens: Column, line: Column, family: Column, templates: dict[str, list[tuple[list[str], list[str]]]]) -> Column:
+    """Whether a template of the family is there, or the words are a quoted part of it with a mark.
+
+    A template that names its family confirms only a line that names it too.
+    """
     out = F.lit(False)
     own = F.array_distinct(tokens)
     for name, texts in templates.items():
         fits = F.lit(False)
-        for template, marks in texts:
+        for (template, marks), text in zip(texts, TEMPLATES[name], strict=True):
             common = F.size(F.array_intersect(own, _array(template)))
             whole = common >= math.ceil(len(template) * LEAST_TEMPLATE)
             quoted = (common >= 2 * LEAST_WORDS) & (common >= F.ceil(F.size(own) * LEAST_TEMPLATE))
-            fits = fits | whole | (quoted & F.arrays_overlap(own, _array(marks)))
+            there = whole | (quoted & F.arrays_overlap(own, _array(marks)))
+            fits = fits | (there & F.rlike(line, F.lit(f"(?i){NAMES[name]}")) if _names(name, text) else there)
         out = F.when(family == name, fits).otherwise(out)
     return out
 
 
+def _names(family: str, text: str) -> bool:
+    """Whether a template's text names its family."""
+    pattern = NAMES.get(family, "(?!)").replace("(?-i:", "(?:")
+    # Alternatives of equal length, which Python asks of a look behind.
+    pattern = pattern.replace("(?<!(?:two|2)[- ]clause )", "")
+    return re.search(pattern, text, re.I) is not None
+
+
+def _named(line: Column) -> Column:
+    """Families that a clause of the line grants by name, in the order of ``NAMES``."""
+    said = [
+        F.when(F.rlike(line, F.lit(f"(?i){name if family == 'all-rights-reserved' else f'{GRANT}[^;]{{0,120}}?(?:{name})'}")), F.lit(family))
+        for family, name in NAMES.items()
+    ]
+    return F.array_compact(F.array(*said))
+
+
 def findings(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, licences, n_notices): per document its confirmed notices, in their order.
 
@@ -309,35 +438,54 @@ def findings(docs: DataFrame, model: Model) -> DataFrame:
     lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct((i + 1).alias("paragraph"), line.alias("line")))
     cued = F.filter(lines, lambda p: F.rlike(p["line"], pattern))
     rows = rows.select("doc_id", F.when(F.rlike("text", pattern), cued).alias("cued"))
-    tokens = F.transform("cued", lambda p: F.struct(p["paragraph"].alias("paragraph"), words(p["line"]).alias("words")))
+    tokens = F.transform("cued", lambda p: F.struct(p["paragraph"].alias("paragraph"), p["line"].alias("line"), words(p["line"]).alias("words")))
     rows = rows.select("doc_id", tokens.alias("cued"))
     scored = F.transform(
         "cued",
         lambda p: F.struct(
             p["paragraph"].alias("paragraph"),
+            p["line"].alias("line"),
             p["words"].alias("words"),
             _let(model.sums(n_grams(p["words"])), lambda sums: probabilities(sums, model.temperature)).alias("p"),
         ),
     )
-    rows = rows.select("doc_id", scored.alias("cued"))
+    rows = rows.select("doc_id", F.filter(scored, lambda s: (s["p"][0] < 1 - LEAST_PROBABILITY) & ~F.rlike(s["line"], F.lit(f"(?i){DENIAL}"))).alias("cued"))
     families = F.array(*[F.lit(f) for f in FAMILIES])
     named = F.transform(
         "cued",
         lambda s: F.struct(
             F.element_at(families, F.array_position(s["p"], F.array_max(s["p"])).cast("int")).alias("family"),
             F.array_max(s["p"]).alias("probability"),
+            (1 - s["p"][0]).alias("notice"),
             s["paragraph"].alias("paragraph"),
+            s["line"].alias("line"),
             s["words"].alias("words"),
+            _named(s["line"]).alias("named"),
         ),
     )
     rows = rows.select("doc_id", named.alias("cued"))
-    kept = F.filter(
+    found = F.transform(
         "cued",
-        lambda s: (s["family"] != UNKNOWN) & (s["probability"] >= LEAST_PROBABILITY) & _confirmed(s["words"], s["family"], model.templates),
+        lambda s: F.struct(
+            s["paragraph"].alias("paragraph"),
+            s["notice"].alias("notice"),
+            F.when(
+                (s["family"] != UNKNOWN) & (s["probability"] >= LEAST_PROBABILITY) & _confirmed(s["words"], s["line"], s["family"], model.templates),
+                F.array_union(F.array(s["family"]), s["named"]),
+            )
+            .otherwise(s["named"])
+            .alias("families"),
+        ),
     )
+    rows = rows.select("doc_id", found.alias("cued"))
     empty = F.expr("CAST(array() AS array<struct<family: string, probability: double, paragraph: int>>)")
-    plain = F.transform(
-        kept, lambda s: F.struct(s["family"].alias("family"), s["probability"].alias("probability"), s["paragraph"].alias("paragraph"))
+    plain = F.flatten(
+        F.transform(
+            "cued",
+            lambda s: F.transform(
+                s["families"], lambda f: F.struct(f.alias("family"), s["notice"].alias("probability"), s["paragraph"].alias("paragraph"))
+            ),
+        )
     )
     rows = rows.select("doc_id", F.coalesce(plain, empty).alias("licences"))
     return rows.select("doc_id", "licences", F.size("licences").cast("long").alias("n_notices"))

@@ -283,6 +283,59 @@ def test_licences_of_documents(spark, sf_small):
     assert licenses.findings(docs.limit(0), model).collect() == []
 
 
+# Paragraphs that are no templates, with the families they grant.
+LABELLED = [
+    ("This library is distributed under the terms of the GNU Lesser General Public License v2.1.", "LGPL"),
+    ("Our server is licensed under the GNU Affero General Public License version 3 or later.", "AGPL"),
+    ("The plugin is made available under the terms of the Eclipse Public License 2.0.", "EPL"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL"),
+    ("SPDX-License-Identifier: GPL-2.0-only", "GPL"),
+    ("SPDX-License-Identifier: LGPL-3.0-only", "LGPL"),
+    ("SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("SPDX-License-Identifier: ISC", "ISC"),
+    ("SPDX-License-Identifier: Apache-2.0 OR MIT", "Apache-2.0,MIT"),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0,MIT"),
+    ("This project is licensed under the BSD 2-Clause License.", "BSD-2-Clause"),
+    ("Released under the ISC License by its author.", "ISC"),
+    ("All text on this page is licensed under CC BY-ND 4.0.", "CC-BY-ND"),
+    ("Photos are licensed under CC BY-NC-SA 4.0 unless noted.", "CC-BY-NC-SA"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND"),
+    ("This article is licensed under a Creative Commons Attribution-ShareAlike 3.0 License.", "CC-BY-SA"),
+    ("The data set is licensed under CC BY 4.0.", "CC-BY"),
+    ("You can redistribute it under the terms of the GNU General Public License, version 2.", "GPL"),
+    ("The code of this site is released under the MIT license, see the file.", "MIT"),
+    ("This file is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"),
+    ("Licensed under the BSD 3-Clause License (see below).", "BSD"),
+    ("Copyright 2019 by the publisher. All rights reserved.", "all-rights-reserved"),
+    ("The figures are released under CC0 1.0 and dedicated to the public domain.", "CC0"),
+    ("This tool is released under the Unlicense.", "Unlicense"),
+    ("This software is not licensed under the MIT license.", ""),
+    ("The code is no longer released under the Apache License, Version 2.0.", ""),
+    ("Licensed under the Sleepycat License.", ""),
+    ("This work is licensed under the Boost Software License, version 1.0.", ""),
+    ("Licensed under the Common Public Attribution License 1.0.", ""),
+    ("This work is licensed under the Open Government Licence version 3.", ""),
+    ("Released under the Microsoft Reciprocal License.", ""),
+    ("She studied at MIT and published a book on general licensing.", ""),
+    ("The Apache helicopter was seen by the public.", ""),
+    ("Er fuhr mit dem Zug und kam mit Freunden wieder.", ""),
+    ("The driver was licensed by the city of Boston.", ""),
+    ("A total eclipse was made available to the public under a clear sky.", ""),
+]
+
+
+def test_licences_of_labelled_paragraphs(spark, sf_small):
+    docs = table(spark, sf_small, "documents").select("doc_id", "text")
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(LABELLED)], "doc_id long, text string")
+    found = {r.doc_id: {x.family for x in r.licences} for r in licenses.findings(frame, licenses.train(docs)).collect()}
+    wanted = {i: set(filter(None, families.split(","))) for i, (_, families) in enumerate(LABELLED)}
+    right = sum(len(found[i] & wanted[i]) for i in wanted)
+    wrong = {LABELLED[i][0]: (found[i], wanted[i]) for i in wanted if found[i] != wanted[i]}
+    assert right >= 0.9 * sum(map(len, wanted.values())), wrong
+    assert right >= 0.9 * sum(map(len, found.values())), wrong
+    assert len(wrong) <= 3, wrong
+
+
 def test_licences_are_scanned_without_python(spark, sf_small):
     docs = table(spark, sf_small, "documents")
     scan = licenses.findings(docs, licenses.Model({"mit license": [0.0] * len(licenses.FAMILIES)}, [0.0] * len(licenses.FAMILIES), {}))
