@@ -207,6 +207,11 @@ NAMES = {
     "CC0": r"\bcc0\b|\bcommons zero\b",
     "all-rights-reserved": r"\ball rights reserved",
 }
+# How the names above begin; every line with a name has one of these.
+HEADS = (
+    r"(?-i:MIT|ISC)\b|mit licen|isc licen|apache|bsd|general public licen|l?gpl|agpl|affero|mpl\b|mozilla public|epl\b|"
+    r"eclipse public|unlicense|cc[- ]by|cc0|commons (?:attribution|zero)|attribution[- ](?:share|no)|non-?commercial[- ]|all rights reserved"
+)
 # Words that grant, before a name; such a clause is a template whose name is a blank.
 GRANT = r"(?:\b(?:licen[cs]ed|released|distributed|available|published|provided|covered|dedicated|subject|redistribute|used|shared)\b[^;]{0,60}?\b(?:under|to|by)\b|\bspdx-license-identifier:|\blicen[cs]e:)"
 # Denials of a grant.
@@ -336,8 +341,8 @@ class Model:
     def pattern(self) -> str:
         """Matches every paragraph that a template can confirm: each needs one of its marks, or a name."""
         marks = sorted({w for texts in self.templates.values() for _, own in texts for w in own})
-        words = r"(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace("\\-", "-") for w in marks) + r")(?![\p{L}\p{N}])"
-        return "(?i)" + "|".join([words, *NAMES.values()])
+        words = "|".join(re.escape(w).replace("\\-", "-") for w in marks)
+        return rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{HEADS}|(?:{words})(?![\p{{L}}\p{{N}}]))"
 
 
 def probabilities(sums: Column, temperature: float) -> Column:
