@@ -14,7 +14,7 @@ from sluicegate.llm.common import stored, table
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert names.keys() >= {"pipeline"} and names.keys() >= queries.QUERIES.keys()
     assert [s for s, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_dedup", "decontamination", "mixing", "token_files"]
