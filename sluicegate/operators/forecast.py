@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.functions.exact import floor_ratio, pct_to_points, points_to_pct
-from sluicegate.operators.series import bounded, trailing
+from sluicegate.operators.series import bounded, tails, trailing, trailing_from
 from sluicegate.settings import DEFAULTS, Settings
 
 POINTS = "error_points"
@@ -41,6 +41,16 @@ def with_recent(
     return trailing(series, POINTS, depth, RECENT, settings=settings).drop(POINTS)
 
 
+def block_tails(metrics: DataFrame, depth: int, batch: int = 0, settings: Settings = DEFAULTS) -> DataFrame:
+    """The last rates of every source and block, which later blocks and batches look back on."""
+    return tails(with_points(metrics), POINTS, depth, batch, settings=settings)
+
+
+def with_recent_from(metrics: DataFrame, handed: DataFrame, depth: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """Add ``recent_points`` to stored metrics, from what ``series.carried`` hands to their blocks."""
+    return trailing_from(with_points(metrics), handed, POINTS, depth, RECENT, settings=settings).drop(POINTS)
+
+
 def add_damped(known: DataFrame) -> DataFrame:
     """Mean of the recent rates plus half their rise, kept within 0..100 %."""
     sums = known.selectExpr(

@@ -538,6 +538,8 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
         """,
     ),
     "stored_alerts": (("alerts",), _ALERT_SELECT),
+    "batched_alerts": (("alerts",), _ALERT_SELECT),
+    "batched_serving_alerts": (("blanked_alerts",), f"SELECT {_SERVING_COLUMNS} FROM blanked_alerts"),
     "stored_serving_alerts": (("blanked_alerts",), f"SELECT {_SERVING_COLUMNS} FROM blanked_alerts"),
     "stream_route": (
         ("verdict",),

@@ -196,6 +196,31 @@ def stored_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(_some_blank(raw), "serving_alerts")
 
 
+def _in_batches(raw: DataFrame, name: str) -> str:
+    """Store the events in three batches, which are cut between windows and not between blocks."""
+    root = work_folder(raw.sparkSession, name)
+    seconds = FIREWALL.settings.window_seconds
+    window = F.floor(F.unix_seconds("received_time") / F.lit(seconds))
+    first, last = raw.agg(F.min(window), F.max(window)).first()
+    cuts = [first + (last - first + 1) * part // 3 for part in range(4)] if first is not None else [0] * 4
+    for number in range(3):
+        some = raw.filter((window >= cuts[number]) & (window < cuts[number + 1]))
+        batch.store_tables(some, root, FIREWALL, number)
+    return root
+
+
+def batched_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of three batches, of which each goes on from the tails of those before."""
+    root = _in_batches(derived.read_raw(spark, folder), "batched")
+    return comparable(tables.read_table(spark, root, "dq_alerts"))
+
+
+def batched_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The serving variant in three batches, with events that lack a source."""
+    root = _in_batches(_some_blank(derived.read_raw(spark, folder, "sequence")), "batched-serving")
+    return comparable(tables.read_table(spark, root, "serving_alerts"))
+
+
 # Streams: the events table is streamed to its end, then the stored output is read.
 
 
@@ -444,6 +469,8 @@ QUERIES: dict[str, Query] = {
     "quarantine_reload": quarantine_reload,
     "stored_alerts": stored_alerts,
     "stored_serving_alerts": stored_serving_alerts,
+    "batched_alerts": batched_alerts,
+    "batched_serving_alerts": batched_serving_alerts,
     "stream_route": stream_route,
     "wire_stream": wire_stream,
     "stream_metrics": stream_metrics,

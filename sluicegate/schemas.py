@@ -125,6 +125,11 @@ LATE_EVENTS = T.StructType([*RAW_EVENTS.fields, T.StructField("late", T.BooleanT
 # What became of the events of a batch: counted in windows, late, or without a record time.
 EVENT_TOTALS = _schema(counted_at=_TIME, events=_LONG, counted=_LONG, late=_LONG, timeless=_LONG)
 
+# The last rates of a source's blocks of windows, kept beside the metrics for later batches.
+BLOCK_TAILS = T.StructType(
+    [*_schema(source=_STRING, block=_LONG, batch=_LONG).fields, T.StructField("tail", T.ArrayType(_LONG), True)]
+)
+
 # The columns of the ``events`` test table that raw events are derived from.
 EVENTS = _schema(event_id=_LONG, user_id=_LONG, event_type=_STRING, value=_DOUBLE)
 

@@ -158,6 +158,14 @@ def read_table(
     return _since(spark.read.schema(_folders(schema, lane=False)).parquet(path), since).select(*schema.names)
 
 
+def read_batch(
+    spark: SparkSession, root: str, table: str, batch_id: int, schema: T.StructType | None = None, writer: str = BATCH_JOB
+) -> DataFrame:
+    """One batch of a stored table; no folder of another is listed."""
+    schema = schema or SCHEMAS[table]
+    return spark.read.schema(schema).parquet(f"{root}/{table}/{WRITER}={writer}/{BATCH}={batch_id}")
+
+
 def days(spark: SparkSession, root: str, table: str) -> list[str]:
     """Days that a stored table has rows of, the newest first; told from its folders."""
     found = folders.names_below(spark, f"{root}/{table}", f"{WRITER}=*/{BATCH}=*/{DAY}=*")

@@ -11,7 +11,7 @@ import pytest
 from helpers import metric, metrics_frame
 
 from sluicegate.operators import forecast
-from sluicegate.operators.series import newest
+from sluicegate.operators.series import carried, newest, tails, trailing, trailing_from
 from sluicegate.settings import DEFAULTS
 
 
@@ -84,6 +84,51 @@ def test_newest_rows_give_the_same_forecast_as_the_whole_series(spark):
     assert {s: f[-1] for s, f in got.items()} == {s: trend([p for _, p in pts]) for s, pts in series.items()}
 
 
+def cut_in_batches(series, cuts):
+    """The same series in batches: per source, windows before the first cut, then those before the next."""
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        yield {
+            s: [p for p in points if (low is None or p[0] >= low) and (high is None or p[0] < high)]
+            for s, points in series.items()
+        }
+
+
+@pytest.mark.parametrize("block, cuts", [(3, [40]), (31, [13, 13, 14, 90]), (65536, [13, 14, 15])])
+def test_batches_go_on_from_the_tails_of_earlier_ones(spark, tmp_path, block, cuts):
+    series = random_series(block)
+    settings = replace(DEFAULTS, block_windows=block)
+    for depth, finish, plain in ((5, forecast.add_damped, damped), (30, forecast.add_trend, trend)):
+        got: dict = {}
+        folder = str(tmp_path / f"tails-{depth}")
+        for number, part in enumerate(cut_in_batches(series, cuts)):
+            rows = as_metrics(spark, part)
+            forecast.block_tails(rows, depth, number, settings).write.mode("append").parquet(folder)
+            handed = carried(spark.read.parquet(folder), depth, number)
+            known = forecast.with_recent_from(rows, handed, depth, settings)
+            assert known.columns == [*rows.columns, forecast.RECENT]
+            for source, values in by_source(finish(known).collect()).items():
+                got[source] = got.get(source, []) + values
+        assert got == {s: [plain([p for _, p in pts[: i + 1]]) for i in range(len(pts))] for s, pts in series.items()}
+
+
+def test_frames_count_rows_without_a_value(spark):
+    """Null values take a place in a frame and are left out of its list, inside blocks and across."""
+    rng = random.Random(3)
+    rows = [(s, w, None if rng.random() < 0.3 else w) for s in ("a", None) for w in range(60) if rng.random() < 0.7]
+    frame = spark.createDataFrame(rows, "source string, w int, v long").selectExpr(
+        "source", "timestamp_seconds(w * 10) AS window_start", "v", "1 AS block", "2 AS batch", "3 AS tail"
+    )
+    settings = replace(DEFAULTS, block_windows=7)
+    handed = carried(tails(frame, "v", 6, settings=settings), 6)
+    once = trailing_from(frame, handed, "v", 6, "recent", settings=settings)
+    key = lambda r: (r["source"] or "", r["window_start"])
+    assert once.columns == [*frame.columns, "recent"]
+    assert sorted(once.collect(), key=key) == sorted(trailing(frame, "v", 6, "recent", settings=settings).collect(), key=key)
+    empty = frame.limit(0)
+    assert trailing_from(empty, carried(tails(empty, "v", 6), 6), "v", 6, "recent").collect() == []
+
+
 def test_damped_forecast_is_clamped_and_trend_is_not(spark):
     falling = [(w, max(0, 10000 - 1000 * w)) for w in range(12)]
     rising = [(w, min(10000, 1200 * w)) for w in range(12)]

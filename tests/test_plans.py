@@ -7,6 +7,7 @@ import re
 import pytest
 from helpers import event, raw_frame
 
+from sluicegate.operators import forecast, series
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.plans.queries import QUERIES
 from sluicegate.sources import ingest
@@ -30,7 +31,7 @@ def shuffles(text: str) -> int:
 
 # Queries that are one plan, without a stored table in between.
 STORING = {"wire_stream", "late_events", "event_totals", "live_board", "live_history", "anchored_windows", "quarantine_replay", "replayed_clean", "contract_metrics", "contract_rejects"}
-BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_")) and not name.endswith("_reload") and name not in STORING]
+BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_", "batched_")) and not name.endswith("_reload") and name not in STORING]
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -65,6 +66,20 @@ def test_number_of_shuffles(stored, name, expected):
     assert shuffles(plan(getattr(Firewall(), name)(stored))) == expected
 
 
+def test_stored_metrics_are_shuffled_once_for_forecasts(spark, stored, tmp_path):
+    """Whole rows go through one exchange; the others have tails alone, or are cut before."""
+    metrics, tails = str(tmp_path / "metrics"), str(tmp_path / "tails")
+    Firewall().dq_metrics(stored).write.parquet(metrics)
+    rows = spark.read.parquet(metrics)
+    forecast.block_tails(rows, 30).write.parquet(tails)
+    assert "WindowGroupLimit" in plan(forecast.block_tails(rows, 30))
+    handed = series.carried(spark.read.parquet(tails), 30)
+    assert "cnt_" not in plan(handed)
+    text = plan(forecast.with_recent_from(rows, handed, 30))
+    assert "Join" not in text and "Python" not in text
+    assert shuffles(text) - shuffles(plan(handed)) == 1
+
+
 def test_metrics_combine_before_the_shuffle(stored):
     text = plan(Firewall().dq_metrics(stored))
     assert text.index("Exchange") < text.index("partial_count")
