@@ -633,6 +633,10 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
 
 
 # What a stream keeps current is what a batch shows at the end.
+_FINAL |= {
+    "stored_events": (("raw",), f"SELECT {_EVENT}, event_ts, epoch_ms(received_time) AS received_time FROM raw"),
+    "stream_replayed": _FINAL["stream_route"],
+}
 _FINAL |= {"wire_stream": _FINAL["stream_route"], "live_board": _FINAL["health_board"], "live_history": _FINAL["source_history"]}
 
 

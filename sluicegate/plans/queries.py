@@ -275,6 +275,29 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
     return lanes_of(spark, _streamed(spark, folder, start_routing, "stream-route"))
 
 
+def _as_files(spark: SparkSession, folder: str, name: str) -> str:
+    """Events written as a producer would send them, keyed by source, as files of JSON lines."""
+    root = work_folder(spark, name)
+    events = ingest.by_source(derived.read_raw(spark, folder), 6)
+    events.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{root}/raw")
+    return root
+
+
+def stored_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events read back from keyed files with the declared schema."""
+    root = _as_files(spark, folder, "stored-events")
+    return comparable(ingest.read_files(spark, f"{root}/raw", "json"))
+
+
+def stream_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Files replayed from the first one, two per micro-batch, and routed; run again, which adds nothing."""
+    root = _as_files(spark, folder, "stream-replayed")
+    for _ in range(2):
+        stream = ingest.stream_files(spark, f"{root}/raw", "json", max_files=2)
+        start_routing(stream, f"{root}/tables", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return lanes_of(spark, f"{root}/tables")
+
+
 def wire_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Events framed and enveloped, streamed from segments a few at a time, stopped and started again."""
     root = work_folder(spark, "wire-stream")
@@ -471,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "stored_serving_alerts": stored_serving_alerts,
     "batched_alerts": batched_alerts,
     "batched_serving_alerts": batched_serving_alerts,
+    "stored_events": stored_events,
+    "stream_replayed": stream_replayed,
     "stream_route": stream_route,
     "wire_stream": wire_stream,
     "stream_metrics": stream_metrics,
