@@ -65,6 +65,5 @@ def store_tables(raw: DataFrame, root: str, firewall: Firewall | None = None, ba
     """Store all six tables below ``root``: a batch of them, replacing an earlier run of it."""
     firewall = firewall or Firewall()
     store_lanes(raw, root, firewall, batch_id)
-    judged = tables.read_judged(raw.sparkSession, root, firewall.contract)
-    own = judged.filter((F.col(tables.WRITER) == tables.BATCH_JOB) & (F.col(tables.BATCH) == batch_id))
+    own = tables.read_judged(raw.sparkSession, root, firewall.contract, (tables.BATCH_JOB, batch_id))
     store_metrics_and_alerts(own, root, firewall, batch_id)

@@ -539,6 +539,7 @@ _FINAL: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "stored_alerts": (("alerts",), _ALERT_SELECT),
     "batched_alerts": (("alerts",), _ALERT_SELECT),
+    "committed_alerts": (("alerts",), _ALERT_SELECT),
     "batched_serving_alerts": (("blanked_alerts",), f"SELECT {_SERVING_COLUMNS} FROM blanked_alerts"),
     "stored_serving_alerts": (("blanked_alerts",), f"SELECT {_SERVING_COLUMNS} FROM blanked_alerts"),
     "stream_route": (
@@ -660,4 +661,7 @@ def _sql(names: tuple[str, ...], final: str) -> str:
     return f"WITH {'RECURSIVE ' if 'anchors' in _needed(names) else ''}{ctes}\n{final.strip()}"
 
 
+# The same rows, read through manifests.
+_FINAL["committed_rejects"] = _FINAL["quarantine_events"]
+
 ORACLE: dict[str, str] = {key: _sql(names, final) for key, (names, final) in _FINAL.items()}

@@ -196,16 +196,24 @@ def stored_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(_some_blank(raw), "serving_alerts")
 
 
-def _in_batches(raw: DataFrame, name: str) -> str:
-    """Store the events in three batches, which are cut between windows and not between blocks."""
+def _in_batches(raw: DataFrame, name: str, store: Callable = batch.store_tables, whole: bool = False, again: int = 0) -> str:
+    """Store the events in three batches, which are cut between windows and not between blocks.
+
+    ``whole``: as committed tables.  ``again``: so many of the batches are stored a second time, the
+    judged events being compacted before the last of them.
+    """
     root = work_folder(raw.sparkSession, name)
+    if whole:
+        tables.commit_whole(raw.sparkSession, root)
     seconds = FIREWALL.settings.window_seconds
     window = F.floor(F.unix_seconds("received_time") / F.lit(seconds))
     first, last = raw.agg(F.min(window), F.max(window)).first()
     cuts = [first + (last - first + 1) * part // 3 for part in range(4)] if first is not None else [0] * 4
-    for number in range(3):
+    for turn, number in enumerate([*range(3), *range(again)]):
+        if turn == again + 2 > 2:
+            tables.compact(raw.sparkSession, root, tables.JUDGED)
         some = raw.filter((window >= cuts[number]) & (window < cuts[number + 1]))
-        batch.store_tables(some, root, FIREWALL, number)
+        store(some, root, FIREWALL, number)
     return root
 
 
@@ -221,6 +229,19 @@ def batched_serving_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(tables.read_table(spark, root, "serving_alerts"))
 
 
+def committed_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of three batches, their metrics and tails read through manifests."""
+    root = _in_batches(derived.read_raw(spark, folder), "committed-alerts", whole=True)
+    return comparable(tables.read_table(spark, root, "dq_alerts"))
+
+
+def committed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects of three batches, the first stored again, then compaction, then the second stored again."""
+    raw = derived.read_raw(spark, folder)
+    root = _in_batches(raw, "committed-rejects", batch.store_lanes, whole=True, again=2)
+    return comparable(tables.read_table(spark, root, "quarantine_events"))
+
+
 # Streams: the events table is streamed to its end, then the stored output is read.
 
 
@@ -494,6 +515,8 @@ QUERIES: dict[str, Query] = {
     "stored_serving_alerts": stored_serving_alerts,
     "batched_alerts": batched_alerts,
     "batched_serving_alerts": batched_serving_alerts,
+    "committed_alerts": committed_alerts,
+    "committed_rejects": committed_rejects,
     "stored_events": stored_events,
     "stream_replayed": stream_replayed,
     "stream_route": stream_route,

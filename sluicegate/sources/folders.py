@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +29,26 @@ def numbers(spark: SparkSession, path: str, key: str) -> list[int]:
     return sorted(int(n) for k, _, n in found if k == key and n.isdigit())
 
 
+def make(spark: SparkSession, path: str) -> None:
+    files, place = _at(spark, path)
+    files.mkdirs(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _at(spark, path)
     files.delete(place, True)
+
+
+def moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a name that must be free; False if it was taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    place = hadoop.FileContext.getFileContext(_at(spark, source)[0].getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        place.rename(old, new, options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True

@@ -1,7 +1,8 @@
 """Stored tables: one parquet folder each, ``writer=W/batch_id=N/received_date=D/``.
 
 Writing a batch replaces its own folder, so a repeated micro-batch changes
-nothing.  Every writer has a folder of its own: a stream that of its checkpoint, the
+nothing; readers miss its rows meanwhile, unless the table is a committed one
+(``committed.py``), which the functions below tell by its manifest.  Every writer has a folder of its own: a stream that of its checkpoint, the
 batch job ``batch``.  Writers therefore never replace each other's rows.  The date is that of receipt, which a producer cannot forge, and lets a
 reader of recent rows skip the older folders.
 """
@@ -19,12 +20,10 @@ from pyspark.sql import types as T
 
 from sluicegate import schemas
 from sluicegate.functions.times import utc_day
-from sluicegate.operators.contract import EVENT_TIME, FRESHNESS, Contract
-from sluicegate.sources import folders
+from sluicegate.operators.contract import EVENT_TIME, FRESHNESS, ORDER_EVENTS, Contract
+from sluicegate.sources import committed, folders
+from sluicegate.sources.committed import BATCH, DAY, LANE, WRITER
 
-DAY = "received_date"
-BATCH = "batch_id"
-WRITER = "writer"
 BATCH_JOB = "batch"
 # Files per day that a micro-batch writes at most, so that no day is one task.
 FILES_PER_DAY = 4
@@ -65,13 +64,18 @@ def write_batch(
     )
     if gather:
         stored = stored.hint("rebalance", DAY)
-    stored.write.mode("overwrite").partitionBy(DAY).parquet(
-        f"{root}/{table}/{WRITER}={writer}/{BATCH}={batch_id}"
-    )
+    _write(stored, f"{root}/{table}", batch_id, writer, [DAY])
+
+
+def _write(rows: DataFrame, path: str, batch_id: int, writer: str, keys: list[str]) -> None:
+    if committed.enabled(rows.sparkSession, path):
+        committed.write(rows, path, batch_id, writer, keys)
+    else:
+        rows.write.mode("overwrite").partitionBy(*keys).parquet(f"{path}/{WRITER}={writer}/{BATCH}={batch_id}")
 
 
 # Judged events hold both lanes, each in folders of its own.
-JUDGED, LANE = "judged_events", "lane"
+JUDGED = "judged_events"
 CLEAN, QUARANTINE = "clean_events", "quarantine_events"
 _LANES = {
     CLEAN: {},
@@ -97,7 +101,7 @@ def write_judged(judged: DataFrame, root: str, batch_id: int, contract: Contract
     rows = judged.withColumnRenamed(EVENT_TIME, "event_time").select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], lane.alias(LANE), F.expr(utc_day("received_time")).alias(DAY)
     )
-    rows.write.mode("overwrite").partitionBy(LANE, DAY).parquet(f"{root}/{JUDGED}/{WRITER}={writer}/{BATCH}={batch_id}")
+    _write(rows, f"{root}/{JUDGED}", batch_id, writer, [LANE, DAY])
 
 
 def _folders(schema: T.StructType, lane: bool) -> T.StructType:
@@ -105,10 +109,33 @@ def _folders(schema: T.StructType, lane: bool) -> T.StructType:
     return T.StructType([*_with_day(schema).fields, *keys, *[T.StructField(LANE, T.StringType())] * lane])
 
 
-def read_judged(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """Stored judged events, with ``is_valid``."""
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    since: str | None = None,
+    lane: str | None = None,
+    batch: tuple[str, int] | None = None,
+) -> DataFrame:
+    """Rows of a table's folders, of some days, a lane, or one (writer, batch) of them."""
+    if committed.enabled(spark, path):
+        return committed.read(spark, path, schema, since, lane, batch)
+    rows = spark.read.schema(schema).parquet(path)
+    if since is not None:
+        rows = rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
+    if lane is not None:
+        rows = rows.filter(F.col(LANE) == lane)
+    if batch is not None:
+        rows = rows.filter((F.col(WRITER) == batch[0]) & (F.col(BATCH) == batch[1]))
+    return rows
+
+
+def read_judged(
+    spark: SparkSession, root: str, contract: Contract, batch: tuple[str, int] | None = None
+) -> DataFrame:
+    """Stored judged events, or those of one (writer, batch), with ``is_valid``."""
     schema = judged_schema(contract)
-    rows = spark.read.schema(_folders(schema, lane=True)).parquet(f"{root}/{JUDGED}")
+    rows = _read(spark, f"{root}/{JUDGED}", _folders(schema, lane=True), batch=batch)
     return rows.select(*schema.names, (F.col(LANE) == CLEAN).alias("is_valid"), BATCH, WRITER)
 
 
@@ -116,12 +143,8 @@ def _lane(spark: SparkSession, root: str, table: str, schema: T.StructType, sinc
     """A lane of the judged events, as the table it stands for."""
     names = _LANES[table]
     stored = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType) for f in schema.fields])
-    rows = spark.read.schema(_folders(stored, lane=True)).parquet(f"{root}/{JUDGED}").filter(F.col(LANE) == table)
-    return _since(rows, since).select(*[F.col(names.get(n, n)).alias(n) for n in schema.names])
-
-
-def _since(rows: DataFrame, since: str | None) -> DataFrame:
-    return rows if since is None else rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
+    rows = _read(spark, f"{root}/{JUDGED}", _folders(stored, lane=True), since, lane=table)
+    return rows.select(*[F.col(names.get(n, n)).alias(n) for n in schema.names])
 
 
 @contextmanager
@@ -154,8 +177,8 @@ def read_table(
         rows = _lane(spark, root, table, schema, since)
         if not _exists(spark, path):
             return rows
-        return rows.unionByName(_since(spark.read.schema(_folders(schema, lane=False)).parquet(path), since).select(*schema.names))
-    return _since(spark.read.schema(_folders(schema, lane=False)).parquet(path), since).select(*schema.names)
+        return rows.unionByName(_read(spark, path, _folders(schema, lane=False), since).select(*schema.names))
+    return _read(spark, path, _folders(schema, lane=False), since).select(*schema.names)
 
 
 def read_batch(
@@ -163,15 +186,23 @@ def read_batch(
 ) -> DataFrame:
     """One batch of a stored table; no folder of another is listed."""
     schema = schema or SCHEMAS[table]
-    return spark.read.schema(schema).parquet(f"{root}/{table}/{WRITER}={writer}/{BATCH}={batch_id}")
+    path = f"{root}/{table}"
+    if committed.enabled(spark, path):
+        return committed.read(spark, path, _folders(schema, lane=False), batch=(writer, batch_id)).select(*schema.names)
+    return spark.read.schema(schema).parquet(f"{path}/{WRITER}={writer}/{BATCH}={batch_id}")
 
 
 def days(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Days that a stored table has rows of, the newest first; told from its folders."""
-    found = folders.names_below(spark, f"{root}/{table}", f"{WRITER}=*/{BATCH}=*/{DAY}=*")
-    if table in _LANES:
-        found += folders.names_below(spark, f"{root}/{JUDGED}", f"{WRITER}=*/{BATCH}=*/{LANE}={table}/{DAY}=*")
-    return sorted({name.partition("=")[2] for name in found if "__" not in name}, reverse=True)
+    """Days that a stored table has rows of, the newest first; told from its folders or manifest."""
+    found = set()
+    for path, lane in ((f"{root}/{table}", None), *[(f"{root}/{JUDGED}", table)] * (table in _LANES)):
+        if committed.enabled(spark, path):
+            found |= committed.days(spark, path, lane)
+        else:
+            below = f"{WRITER}=*/{BATCH}=*/" + (f"{LANE}={lane}/" if lane else "") + f"{DAY}=*"
+            names = folders.names_below(spark, path, below)
+            found |= {name.partition("=")[2] for name in names if "__" not in name}
+    return sorted(found, reverse=True)
 
 
 def newest_rows(
@@ -193,6 +224,33 @@ def newest_rows(
     return read_table(spark, root, table, schema=schema)
 
 
+def _schema(table: str, contract: Contract) -> T.StructType:
+    return judged_schema(contract) if table == JUDGED else SCHEMAS[table]
+
+
+def commit_whole(spark: SparkSession, root: str) -> None:
+    """Make every table below ``root`` a committed one; whatever writes there later goes through manifests."""
+    committed.enable(spark, root, [*SCHEMAS, JUDGED])
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    before: str | None = None,
+    schema: T.StructType | None = None,
+    contract: Contract = ORDER_EVENTS,
+) -> int:
+    """Bring the folders of each day of a committed table together; ``contract`` is that of judged events."""
+    stored_as = _folders(schema or _schema(table, contract), lane=table == JUDGED)
+    return committed.compact(spark, f"{root}/{table}", stored_as, before)
+
+
+def expire(spark: SparkSession, root: str, table: str, spare: int = committed.SPARE_VERSIONS) -> int:
+    """Remove what only old versions of a committed table name."""
+    return committed.expire(spark, f"{root}/{table}", spare)
+
+
 def stored(spark: SparkSession, root: str) -> list[str]:
     """Names of the tables that have been stored below ``root``."""
     judged = _exists(spark, f"{root}/{JUDGED}")
@@ -201,6 +259,8 @@ def stored(spark: SparkSession, root: str) -> list[str]:
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder can be read, on whatever file system it lies."""
+    if committed.enabled(spark, path):
+        return committed.written(spark, path)
     try:
         spark.read.schema("present int").parquet(path)
     except AnalysisException:
