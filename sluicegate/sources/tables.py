@@ -148,16 +148,18 @@ def _lane(spark: SparkSession, root: str, table: str, schema: T.StructType, sinc
 
 
 @contextmanager
-def packed(rows: DataFrame) -> Iterator[DataFrame]:
+def packed(rows: DataFrame, tasks: int | None = None) -> Iterator[DataFrame]:
     """Rows of a micro-batch (with window_start), computed once and laid out for few files.
 
     Closed windows come spread thinly over as many partitions as there are state
-    stores, and adaptive execution, which would merge these, is off inside a stream.
-    Rows of a day and share of the sources are brought together instead.  Holding them
+    stores, and adaptive execution, which would merge these, is off inside a stream
+    with state and leaves the partitions of held rows alone.
+    Rows of a day and share of the sources are brought together instead, in ``tasks``
+    partitions if the caller knows how many rows there are.  Holding them
     keeps the stateful plan from running once per table written.
     """
-    share = F.pmod(F.xxhash64("source"), F.lit(FILES_PER_DAY))
-    held = rows.repartition(F.expr(utc_day("window_start")), share).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = (F.expr(utc_day("window_start")), F.pmod(F.xxhash64("source"), F.lit(FILES_PER_DAY)))
+    held = (rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:

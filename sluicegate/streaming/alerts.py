@@ -32,10 +32,14 @@ def tails_of(checkpoint: str, depth: int, settings: Settings) -> Tails:
 
 
 @contextmanager
-def with_recent(closed: DataFrame, batch_id: int, tails: Tails) -> Iterator[DataFrame]:
-    """Windows that a batch closed, with their recent rates, computed once; then the tails move on."""
-    with tables.packed(closed) as rows:
-        known = tails.known(rows, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+def with_recent(closed: DataFrame, batch_id: int, tails: Tails, tasks: int | None = None) -> Iterator[DataFrame]:
+    """Windows that a batch closed, with their recent rates, computed once; then the tails move on.
+
+    They are held in ``tasks`` partitions at most, as each table written reads them all.
+    """
+    with tables.packed(closed, tasks) as rows:
+        known = tails.known(rows, batch_id)
+        known = (known.coalesce(tasks) if tasks else known).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield known
             tails.keep(known, batch_id)
@@ -47,8 +51,8 @@ def alert_writer(root: str, firewall: Firewall, tails: Tails) -> Writer:
     """Writes the metrics of the closed windows and both alert tables on them."""
     schema = measuring.schema(firewall.contract)
 
-    def write(closed: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB) -> None:
-        with with_recent(closed, batch_id, tails) as rows:
+    def write(closed: DataFrame, batch_id: int, writer: str = tables.BATCH_JOB, tasks: int | None = None) -> None:
+        with with_recent(closed, batch_id, tails, tasks) as rows:
             full = alerting.alerts_from_recent(rows, firewall.settings, firewall.contract)
             simple = alerting.alerts_simple_from_recent(rows, firewall.settings, firewall.contract)
             tables.write_batch(rows, root, "dq_metrics", batch_id, F.col("window_start"), schema, writer=writer)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from helpers import START, event, metric, metrics_frame, raw_frame
@@ -15,10 +16,12 @@ from sluicegate import schemas
 from sluicegate.operators import anchored, routing
 from sluicegate.operators.contract import ORDER_EVENTS, Contract
 from sluicegate.operators.forecast import RECENT, with_recent
-from sluicegate.plans import replay
+from sluicegate.plans import queries, replay
 from sluicegate.plans.pipeline import Firewall
 from sluicegate.settings import Settings
 from sluicegate.sources import folders, ingest, tables
+from sluicegate.streaming import ledger as ledgers
+from sluicegate.streaming import running
 from sluicegate.streaming.board import LiveBoard
 from sluicegate.streaming.kept import Kept, Tails
 from sluicegate.streaming.ledger import Ledger, ledger_writer, start_ledger
@@ -105,6 +108,39 @@ def test_a_repeated_batch_of_the_ledger_changes_nothing(spark, tmp_path):
     assert tables.read_table(spark, root, "event_totals").agg(F.sum("events"), F.sum("late")).first()[:] == (5, 1)
 
 
+def test_tasks_of_the_ledger_follow_the_windows(spark, tmp_path, monkeypatch):
+    """Not the session's shuffle partitions: what is held, and so every table and file, is split by rows."""
+    rows = raw_frame(spark, [event(s, source=f"s{k}") for k in range(40) for s in (1, 25, 35)])
+    kept = []
+    for number, most in enumerate((1000, 30)):
+        monkeypatch.setattr(ledgers, "WINDOWS_PER_TASK", most)
+        folder = tmp_path / str(number)
+        ledger_writer(str(folder / "out"), str(folder / "c"), FIREWALL)(rows, 0, "w")
+        files = [len(list(folder.glob(f"{below}/**/part-*.parquet"))) for below in ("c-ledger/open", "out/dq_metrics")]
+        assert files == [1, 1] if number == 0 else min(files) > 1
+        opened = Ledger(str(folder / "c"), FIREWALL).open_windows(spark)
+        closed = tables.read_table(spark, str(folder / "out"), "dq_metrics").select(opened.columns)
+        assert (opened.count(), closed.count()) == (80, 40)
+        kept.append(sorted(map(str, opened.unionByName(closed).collect())))
+    assert kept[0] == kept[1]
+
+
+def test_deliveries_are_written_and_read_by_many_tasks(spark, tmp_path):
+    """Each is one batch all the same: what is late depends on it."""
+    columns = ("id AS event_id", "id % 7 AS user_id", "if(id % 2 = 0, 'click', 'view') AS event_type", "1D AS value")
+    spark.range(4000).selectExpr(*columns).write.parquet(f"{tmp_path}/events.parquet")
+    with running.query_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}):
+        root, checkpoint = queries.stream_late(spark, str(tmp_path))
+    assert len(list(Path(root).parent.glob("raw/part-*.parquet"))) > 4
+    late = tables.read_table(spark, root, "late_events").collect()
+    assert sorted(r.event_id for r in late if r.late) == sorted(f"e-{n}" for n in range(7, 2000, 100))
+    assert sorted(r.event_id for r in late if r.received_time is None) == sorted(f"e-{n}" for n in range(500, 4000, 1000))
+    totals = tables.read_table(spark, root, "event_totals")
+    assert totals.count() == 4 and totals.agg(F.sum("events"), F.sum("late"), F.sum("timeless")).first()[:] == (4000, 20, 4)
+    windows = tables.read_table(spark, root, "dq_metrics").select("total_events").union(Ledger(checkpoint, FIREWALL).open_windows(spark).select("total_events"))
+    assert windows.agg(F.sum("total_events")).first()[0] == 3976
+
+
 def test_the_board_is_current_after_every_batch(spark, tmp_path):
     settings = Settings(history_points=3)
     firewall, board = Firewall(settings=settings), LiveBoard(str(tmp_path), settings)
